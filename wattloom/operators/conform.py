@@ -159,7 +159,7 @@ def lookup_accounts(requests: DataFrame, accounts: DataFrame) -> DataFrame:
 
     One account may attract a large share of the requests, hence the salted join.
     """
-    keyed = one_row_per_key(accounts.select("account_id", "building_id"), ["account_id"])
+    keyed = accounts.select("account_id", "building_id")
     return skewed_join(requests, keyed, ["account_id"], "left").withColumn(
         "account_known", F.col("building_id").isNotNull()
     )

@@ -32,15 +32,19 @@ def skewed_join(
 
     Rows of hot keys are spread over ``salts`` partitions by a hash of
     ``spread_by`` (all columns by default); only the matching rows of ``one`` are
-    copied. Rows of all other keys take the ordinary path in the same join.
+    copied. Rows of all other keys take the ordinary path in the same join. Rows
+    with a null key match nothing and are spread as well.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     hot = F.broadcast(hot_keys(many, keys).withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*(spread_by or many.columns)), F.lit(salts)).cast("int")
+    scatter = F.col("_hot")
+    for key in keys:
+        scatter = scatter | F.col(key).isNull()
     left = (
         many.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
+        .withColumn("_salt", F.when(scatter, spread).otherwise(F.lit(0)))
         .drop("_hot")
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
