@@ -7,6 +7,7 @@ raises before anything is written.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,17 @@ def exists_probe(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def probe_report(probes: dict[str, DataFrame]) -> DataFrame:
+    """Whether each probe finds any row, as one plan that stops at the first hit."""
+    flags = [
+        df.limit(1)
+        .agg((F.count("*") > 0).alias("found"))
+        .select(F.lit(name).alias("probe"), "found")
+        for name, df in probes.items()
+    ]
+    return reduce(DataFrame.unionByName, flags)
+
+
 def rescued(bronze: DataFrame) -> Gate:
     return Gate("rescued rows", bronze.filter(F.col("_rescued_data").isNotNull()))
 

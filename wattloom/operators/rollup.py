@@ -7,6 +7,8 @@ gathered in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,7 +144,4 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("layer"), "rows")
         for name, df in layers.items()
     ]
-    merged = counts[0]
-    for one in counts[1:]:
-        merged = merged.unionByName(one)
-    return merged
+    return reduce(DataFrame.unionByName, counts)

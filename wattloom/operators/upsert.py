@@ -58,17 +58,28 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def upsert_path(
-    source: DataFrame, path: str, keys: list[str], partition_by: str | None = None
+    source: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_by: str | None = None,
+    *,
+    staged: bool = False,
+    keys_unique: bool = False,
 ) -> None:
     """Upsert into a parquet table at ``path``.
 
     ``partition_by`` names a date column that is a function of the keys (the month
     of a time key), so a row never moves between partitions; only partitions with
     source rows are read and rewritten. Their list is bounded by the calendar.
+
+    ``staged`` says that the source already is a written table, and
+    ``keys_unique`` that it was grouped by exactly the keys; both save a pass.
     """
     spark = source.sparkSession
-    source = stage(source, "upsert-source")
-    key_conflicts(source, keys).enforce()
+    if not staged:
+        source = stage(source, "upsert-source")
+    if not keys_unique:
+        key_conflicts(source, keys).enforce()
     target = read_table(spark, path, source.schema)
     if target is None:
         _write(source, path, keys, partition_by)
