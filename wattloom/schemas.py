@@ -47,10 +47,19 @@ PLACE = ["state", "county_code", "weather_city"]
 END_USES = ["cooling_system_kwh", "heating_system_kwh", "hot_water_kwh"]
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _fields(spec: dict[str, str]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in spec.items()]
-    )
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in spec.items()])
 
 
 def readings_schema(extra: dict[str, str] | None = None) -> T.StructType:
