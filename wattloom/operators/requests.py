@@ -217,7 +217,7 @@ def _comparison_data(*extra: Column) -> Column:
     )
 
 
-def evidence(found: DataFrame, metadata: DataFrame) -> Column:
+def evidence(metadata: DataFrame) -> Column:
     """JSON document that a text model may use as its only evidence."""
     return F.to_json(_result("explain_usage", metadata, _comparison_data()), _KEEP_NULLS)
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.operators import compare, publish, requests
+from wattloom.operators import compare, publish, requests, rollup
 from wattloom.operators.skew import skewed_join
+from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
 
@@ -15,25 +16,30 @@ CREATED_AT = "2024-02-01T00:00:00+00:00"
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The snapshot datasets of the seven-year accounts, not written out."""
-    days = b.daily_long(spark, sf_dir)
-    months = b.monthly_long(spark, sf_dir)
+    """The snapshot datasets of the seven-year accounts.
+
+    Days and months are written once, as a published snapshot would be, instead of
+    being computed again for every dataset that derives from them.
+    """
+    days = b.stored(b.daily_long, spark, sf_dir)
+    months = stage(rollup.monthly_rollup(days, energy_digits=2), "monthly-long")
     return {
-        "accounts": b.long_accounts(spark, sf_dir),
+        "accounts": publish.published_accounts(
+            days, b.supplier_buildings(spark, sf_dir), digits=2
+        ),
         "daily_usage": publish.with_account_id(days),
         "monthly_usage": publish.with_account_id(months),
         "investigations": publish.with_account_id(compare.investigation(months)),
         "metadata": publish.snapshot_metadata(
-            spark,
-            "s1",
-            b.table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate").isNull()),
-            CREATED_AT,
+            spark, "s1", days.filter(F.col("weather_city").isNull()), CREATED_AT
         ),
     }
 
 
-def located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = snapshot(spark, sf_dir)
+def located(
+    spark: SparkSession, sf_dir: str, current: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    current = current or snapshot(spark, sf_dir)
     return requests.locate(
         b.account_requests(spark, sf_dir), current["accounts"], current["investigations"]
     )
@@ -125,8 +131,10 @@ def answer_investigate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return located(spark, sf_dir).filter(
+def _explained(
+    spark: SparkSession, sf_dir: str, current: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    return located(spark, sf_dir, current).filter(
         F.col("error").isNull() & (F.col("operation") == "explain_usage")
     )
 
@@ -174,14 +182,14 @@ def answer_explain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The evidence documents, read back from their JSON."""
     current = snapshot(spark, sf_dir)
-    document = requests.evidence(_explained(spark, sf_dir), current["metadata"])
+    document = requests.evidence(current["metadata"])
     row = schemas.INVESTIGATIONS.simpleString()
     shape = (
         "operation string, metadata struct<created_at_utc: string>, "
         f"data struct<account_id: string, comparison: {row}>"
     )
     return (
-        _explained(spark, sf_dir)
+        _explained(spark, sf_dir, current)
         .select("request_id", F.from_json(document, shape).alias("e"))
         .select(
             "request_id",
