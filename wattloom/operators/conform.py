@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from wattloom import schemas
 from wattloom.functions import measures, periods
-from wattloom.operators.skew import skewed_join
 
 
 def quoted(name: str) -> str:
@@ -157,9 +156,10 @@ def account_context(accounts: DataFrame, buildings: DataFrame) -> DataFrame:
 def lookup_accounts(requests: DataFrame, accounts: DataFrame) -> DataFrame:
     """Attach the building of each request's account; unknown accounts are flagged.
 
-    One account may attract a large share of the requests, hence the salted join.
+    One account may attract a large share of the requests. Both sides are narrow
+    and shuffled for this join alone, so AQE can split such an account.
     """
     keyed = accounts.select("account_id", "building_id")
-    return skewed_join(requests, keyed, ["account_id"], "left").withColumn(
+    return requests.join(keyed, "account_id", "left").withColumn(
         "account_known", F.col("building_id").isNotNull()
     )

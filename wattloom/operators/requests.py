@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from wattloom.functions import periods, text
 from wattloom.operators import conform
-from wattloom.operators.skew import skewed_join
+from wattloom.operators.skew import hot_keys, skewed_join
 
 # Operations, error codes, messages and texts of the request contract.
 OPERATIONS = ["list_accounts", "account_details", "investigate_usage", "explain_usage"]
@@ -53,21 +53,20 @@ def _string_field(document: Column, name: str) -> Column:
 
 
 def parse(requests: DataFrame) -> DataFrame:
-    """Split request documents into operation, account and month."""
+    """Split request documents into operation, account and month.
+
+    The fields leave through a generator of one element. Filters on them cannot be
+    pushed below it, where every mention of a field would parse the text again.
+    """
     document = F.col("_document")
-    return (
-        requests.withColumn("_document", F.try_parse_json("request_json"))
-        .withColumns(
-            {
-                "is_object": F.coalesce(
-                    F.schema_of_variant(document).startswith("OBJECT"), F.lit(False)
-                ),
-                "operation": _string_field(document, "operation"),
-                "account_id": _string_field(document, "account_id"),
-                "month": _string_field(document, "month"),
-            }
-        )
-        .drop("_document")
+    fields = F.struct(
+        F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False)).alias(
+            "is_object"
+        ),
+        *[_string_field(document, n).alias(n) for n in ("operation", "account_id", "month")],
+    )
+    return requests.withColumn("_document", F.try_parse_json("request_json")).select(
+        *requests.columns, F.inline(F.array(fields))
     )
 
 
@@ -152,7 +151,7 @@ def find_comparison(requests: DataFrame, investigations: DataFrame) -> DataFrame
         F.struct(*[c for c in investigations.columns if c != "account_id"]).alias("comparison"),
         _not_finite(investigations).alias("_comparison_bad"),
     )
-    return skewed_join(requests, rows, ["account_id", "month"], "left").withColumn(
+    return requests.join(rows, ["account_id", "month"], "left").withColumn(
         "comparison_available",
         F.col("comparison").isNotNull() & F.col("comparison.previous_month").isNotNull(),
     )
@@ -290,7 +289,9 @@ def answer(
         ).alias("_details"),
         (F.col("_bad") | F.coalesce("_usage_bad", F.lit(False))).alias("_details_bad"),
     )
-    full = skewed_join(located, documents, ["operation", "account_id"], "left")
+    keys = ["operation", "account_id"]
+    hot = hot_keys(parse(requests).filter(F.col("operation") == "account_details"), keys)
+    full = skewed_join(located, documents, keys, "left", hot)
     full = full.withColumn(
         "error",
         F.coalesce("error", _first_failure([(wants_details & F.col("_details_bad"), NOT_JSON)])),

@@ -16,7 +16,8 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     result may be broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*").alias("_total")).scalar()
+    # Summed over the counts, so that both uses share one aggregation.
+    total = counts.agg(F.sum("_n")).scalar()
     return counts.filter(F.col("_n") > total * F.lit(share)).select(*keys)
 
 
@@ -25,19 +26,27 @@ def skewed_join(
     one: DataFrame,
     keys: list[str],
     how: str = "inner",
+    hot: DataFrame | None = None,
     spread_by: list[str] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``many`` rows per key to at most one row of ``one`` per key.
+    """Join ``many`` rows per key to at most one, possibly very wide, row of ``one``.
 
-    Rows of hot keys are spread over ``salts`` partitions by a hash of
+    AQE splits a skewed join by the size of its input. Here a few small rows of
+    ``many`` may each pick up a large row, so the output is what overloads a task.
+    Rows of hot keys are therefore spread over ``salts`` partitions by a hash of
     ``spread_by`` (all columns by default); only the matching rows of ``one`` are
-    copied. Rows of all other keys take the ordinary path in the same join. Rows
-    with a null key match nothing and are spread as well.
+    copied. Rows of other keys take the ordinary path in the same join. Rows with a
+    null key match nothing and are spread as well.
+
+    ``hot`` gives the keys to spread, where they can be had for less than a second
+    pass over ``many``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    hot = F.broadcast(hot_keys(many, keys).withColumn("_hot", F.lit(True)))
+    if hot is None:
+        hot = hot_keys(many, keys)
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*(spread_by or many.columns)), F.lit(salts)).cast("int")
     scatter = F.col("_hot")
     for key in keys:

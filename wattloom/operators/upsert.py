@@ -21,9 +21,6 @@ from wattloom.operators import gates
 from wattloom.session import scratch_dir
 
 
-FILES_PER_PARTITION = 64
-
-
 def key_conflicts(source: DataFrame, keys: list[str]) -> gates.Gate:
     """Keys that would update one target row twice."""
     return gates.Gate("source keys occur twice", gates.duplicate_keys(source, keys))
@@ -82,24 +79,27 @@ def upsert_path(
         key_conflicts(source, keys).enforce()
     target = read_table(spark, path, source.schema)
     if target is None:
-        _write(source, path, keys, partition_by)
+        _write(source, path, partition_by)
         return
     if partition_by:
         touched = [row[0] for row in source.select(partition_by).distinct().collect()]
         target = target.filter(F.col(partition_by).isin(touched))
+    if target.isEmpty():
+        # New partitions only: nothing to merge with.
+        _write(source, path, partition_by)
+        return
     merged = stage(merge_rows(target.select(*source.columns), source, keys), "upsert-merged")
-    _write(merged, path, keys, partition_by)
+    _write(merged, path, partition_by)
 
 
-def _write(rows: DataFrame, path: str, keys: list[str], partition_by: str | None) -> None:
+def _write(rows: DataFrame, path: str, partition_by: str | None) -> None:
     if partition_by is None:
         rows.write.mode("overwrite").parquet(path)
         return
-    # One shuffle by partition value and key hash: few files per partition, and a
-    # large partition is still written by many tasks.
-    spread = F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_PARTITION))
+    # Rebalancing brings the rows of a partition value together, and AQE splits a
+    # large one over several tasks: few files per folder, no overloaded task.
     (
-        rows.repartition(partition_by, spread)
+        rows.hint("rebalance", partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)

@@ -108,9 +108,11 @@ def meter_15min(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     first, last = _bounds(spark, sf_dir)
     step = F.expr("INTERVAL '15' MINUTE")
+    # The building list is tiny next to the grid it expands to: spread it first.
     grid = (
         sparse.select("bldg_id")
         .distinct()
+        .repartition(spark.sparkContext.defaultParallelism, "bldg_id")
         .select("bldg_id", F.explode(F.sequence(first + step, last, step)).alias("timestamp"))
     )
     return grid.join(used, ["bldg_id", "timestamp"], "left").select(
