@@ -28,7 +28,7 @@ def _rows(columns: list[str], rows) -> list[str]:
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+def difference(df, con: duckdb.DuckDBPyConnection, sql: str, allow_empty: bool = False) -> str | None:
     """None if the rows are equal (any order, exact values), else what differs."""
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
@@ -42,6 +42,6 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     wrong = [(a, e) for a, e in zip(actual, expected) if a != e]
     if wrong:
         return f"{len(wrong)} of {len(actual)} rows differ; {sorted(names)}; first: {wrong[0]}"
-    if not actual:
+    if not actual and not allow_empty:
         return "both results are empty"
     return None

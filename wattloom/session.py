@@ -40,6 +40,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .appName("wattloom")
         .config("spark.driver.memory", os.environ.get("WATTLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Eight cores and small tables: split written partitions finer than the 64 MB
+        # that suit a cluster.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
