@@ -10,12 +10,12 @@ HOT_SHARE = 1 / 256
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that each hold more than ``share`` of all rows.
+    """Keys without nulls that each hold more than ``share`` of such rows.
 
     At most ``1 / share`` keys can qualify, whatever the size of the data, so the
     result may be broadcast.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
     # Summed over the counts, so that both uses share one aggregation.
     total = counts.agg(F.sum("_n")).scalar()
     return counts.filter(F.col("_n") > total * F.lit(share)).select(*keys)

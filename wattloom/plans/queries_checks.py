@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.operators import compare, conform, gates, publish, rollup
+from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
 from wattloom.plans import medallion
 from wattloom.plans.catalog import query
@@ -182,28 +183,29 @@ def gate_snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "gate_snapshot_current",
-    """SELECT o_orderkey AS request_id, 's1' AS snapshot_id,
-              CASE WHEN o_orderkey % 10 = 0 THEN '2024-01-01T00:00:00+00:00' END AS created_at_utc,
-              '2024-02-01T00:00:00+00:00' AS published_at_utc
-       FROM orders WHERE o_orderkey % 10 IN (0, 1)""",
+    """SELECT o_orderkey AS request_id, CASE o_orderkey % 10 WHEN 2 THEN 's0' ELSE 's1' END AS snapshot_id,
+              CASE o_orderkey % 10 WHEN 0 THEN '2024-01-01T00:00:00+00:00'
+                                   WHEN 2 THEN '2024-02-01T00:00:00+00:00' END AS created_at_utc,
+              CASE WHEN o_orderkey % 10 <> 2 THEN '2024-02-01T00:00:00+00:00' END AS published_at_utc
+       FROM orders WHERE o_orderkey % 10 IN (0, 1, 2)""",
 )
 def gate_snapshot_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers stamped by an older snapshot, or not at all."""
+    """Answers with an older stamp, with none, or from a snapshot no longer there."""
     key = F.col("request_id") % 10
     served = b.account_requests(spark, sf_dir).select(
         "request_id",
-        F.lit("s1").alias("snapshot_id"),
+        F.when(key == 2, F.lit("s0")).otherwise(F.lit("s1")).alias("snapshot_id"),
         F.when(key == 0, F.lit("2024-01-01T00:00:00+00:00"))
         .when(key > 1, F.lit("2024-02-01T00:00:00+00:00"))
         .alias("created_at_utc"),
     )
-    current = publish.snapshot_metadata(
+    described = publish.snapshot_metadata(
         spark,
         "s1",
         b.table(spark, sf_dir, "events").filter(F.col("ts").isNull()),
         "2024-02-01T00:00:00+00:00",
     )
-    return gates.not_current(served, current).violations
+    return gates.not_current(served, stage(described, "snapshot-metadata")).violations
 
 
 @query(
