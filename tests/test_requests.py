@@ -164,7 +164,8 @@ def test_listing_too_large_to_inline_is_given_by_location(spark, snapshot, monke
 
 def test_evidence_is_the_investigation_without_text(spark, snapshot):
     frame = spark.createDataFrame([(json.dumps(GOOD[5]),)], "request_json string")
-    located = requests.locate(frame, snapshot["accounts"], snapshot["investigations"])
+    checked = requests.validate(requests.parse(frame))
+    located = requests.locate(checked, snapshot["accounts"], snapshot["investigations"])
     document = json.loads(located.select(requests.evidence(snapshot["metadata"])).first()[0])
     assert set(document) == {"operation", "metadata", "data"}
     assert set(document["data"]) == {

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from wattloom.functions import periods, text
 from wattloom.operators import conform
 from wattloom.operators.skew import hot_keys, skewed_join
+from wattloom.operators.upsert import stage
 
 # Operations, error codes, messages and texts of the request contract.
 OPERATIONS = ["list_accounts", "account_details", "investigate_usage", "explain_usage"]
@@ -236,9 +237,9 @@ def _listing(accounts: DataFrame, listing_at: str | None) -> Column:
     return F.struct(F.lit(listing_at).alias("accounts_at"))
 
 
-def locate(requests: DataFrame, accounts: DataFrame, investigations: DataFrame) -> DataFrame:
+def locate(checked: DataFrame, accounts: DataFrame, investigations: DataFrame) -> DataFrame:
     """Validated requests with account, comparison row and final ``error``."""
-    known = conform.lookup_accounts(validate(parse(requests)), accounts)
+    known = conform.lookup_accounts(checked, accounts)
     found = find_comparison(known, investigations)
     has_account = F.col("error").isNull() & (F.col("operation") != "list_accounts")
     by_month = F.col("error").isNull() & _needs_month()
@@ -261,17 +262,23 @@ def answer(
     there are too many accounts to put into one response.
     """
     metadata = snapshot["metadata"]
-    located = locate(requests, snapshot["accounts"], snapshot["investigations"])
+    # Parsed once and written: the requests are looked at from several sides below.
+    checked = stage(validate(parse(requests)), "parsed-requests")
+    located = locate(checked, snapshot["accounts"], snapshot["investigations"])
 
     wants_details = F.col("error").isNull() & (F.col("operation") == "account_details")
-    asked = located.filter(wants_details).select("building_id").distinct()
+    wanted = checked.filter(wants_details).select("operation", "account_id")
+    accounts = snapshot["accounts"].join(
+        wanted.select("account_id").distinct(), "account_id", "left_semi"
+    )
+    asked = accounts.select("building_id")
     bad_usage = [
         snapshot[name].filter(_not_finite(snapshot[name])).select("building_id")
         for name in ("daily_usage", "monthly_usage")
     ]
     bad_buildings = bad_usage[0].union(bad_usage[1]).distinct().withColumn("_usage_bad", F.lit(True))
     details = account_details(
-        snapshot["accounts"].join(asked, "building_id", "left_semi"),
+        accounts.select(*snapshot["accounts"].columns),
         snapshot["daily_usage"].join(asked, "building_id", "left_semi"),
         snapshot["monthly_usage"].join(asked, "building_id", "left_semi"),
     ).join(bad_buildings, "building_id", "left")
@@ -290,8 +297,7 @@ def answer(
         (F.col("_bad") | F.coalesce("_usage_bad", F.lit(False))).alias("_details_bad"),
     )
     keys = ["operation", "account_id"]
-    hot = hot_keys(parse(requests).filter(F.col("operation") == "account_details"), keys)
-    full = skewed_join(located, documents, keys, "left", hot)
+    full = skewed_join(located, documents, keys, "left", hot_keys(wanted, keys))
     full = full.withColumn(
         "error",
         F.coalesce("error", _first_failure([(wants_details & F.col("_details_bad"), NOT_JSON)])),

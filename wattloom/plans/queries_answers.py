@@ -40,9 +40,8 @@ def located(
     spark: SparkSession, sf_dir: str, current: dict[str, DataFrame] | None = None
 ) -> DataFrame:
     current = current or snapshot(spark, sf_dir)
-    return requests.locate(
-        b.account_requests(spark, sf_dir), current["accounts"], current["investigations"]
-    )
+    checked = requests.validate(requests.parse(b.account_requests(spark, sf_dir)))
+    return requests.locate(checked, current["accounts"], current["investigations"])
 
 
 @query(
