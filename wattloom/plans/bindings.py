@@ -247,8 +247,12 @@ def dense_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense hours with place and weather; the dimension is a written table, so that
+    Spark knows its size when it picks the join."""
     return conform.enrich_hours(
-        dense_hours(spark, sf_dir), buildings(spark, sf_dir), weather_hourly(spark, sf_dir)
+        dense_hours(spark, sf_dir),
+        stored(buildings, spark, sf_dir),
+        weather_hourly(spark, sf_dir),
     )
 
 
