@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,11 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="wattloom-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for staged data that every executor can reach.
 
@@ -66,6 +72,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError(
                 f"{CHECKPOINT_DIR_CONF} must name a shared folder on a cluster"
             )
-        root = tempfile.mkdtemp(prefix="wattloom-")
-        spark.conf.set(CHECKPOINT_DIR_CONF, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
