@@ -143,7 +143,12 @@ def layers(tables: Tables, spark: SparkSession, bronze: DataFrame) -> dict[str,
 
 
 def publish_current(tables: Tables, spark: SparkSession, weather: DataFrame) -> str:
-    """Publish the current layers as a new snapshot."""
+    """Publish the current layers as a new snapshot.
+
+    Refused if a first month carries a comparison or a later one carries none.
+    """
+    investigations = tables.read(spark, "usage_investigation_weather")
+    gates.Gate("first periods", compare.first_period_violations(investigations)).enforce()
     located = conform.join_buildings(
         tables.read(spark, "consumption_hourly"), tables.read(spark, "buildings")
     )
@@ -152,6 +157,6 @@ def publish_current(tables: Tables, spark: SparkSession, weather: DataFrame) ->
         accounts(tables, spark),
         tables.read(spark, "daily_energy_weather"),
         tables.read(spark, "monthly_energy_weather"),
-        tables.read(spark, "usage_investigation_weather"),
+        investigations,
         conform.unmatched_weather(located, weather),
     )
