@@ -2,8 +2,6 @@
 
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
-
 from wattloom import schemas
 from wattloom.operators import conform, gates, rollup
 from wattloom.streaming import ingest as streaming
