@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, grid_join, simhash
+from wattloom.llm import common, decontaminate, grid_join, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +23,20 @@ def op2_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.groups(common.table(common.prepare(spark), sf_dir, "embeddings"))
 
 
+@query
+def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.prepare(spark)
+    found = decontaminate.report(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(common.table(common.prepare(spark), sf_dir, "documents"))
