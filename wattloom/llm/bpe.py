@@ -23,6 +23,7 @@ _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 # Latin letters, then marks: two pre-tokens of a byte-level tokenizer. An apostrophe
 # may open a contraction and is left out.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]*)([!\"#$%&()*+,./:;=?@\[\]^_`{|}~-]*)")
+_SPACED = re.compile(r" ([A-Za-zÀ-ÖØ-öø-ſ]+)([!\"#$%&()*+,./:;=?@\[\]^_`{|}~-]*)")
 
 
 def _byte_names() -> dict[int, str]:
@@ -39,6 +40,7 @@ _ONE_FEED = re.compile(r" ?\S+\n\S+")
 # A worker keeps at most this many pieces and ids between slices of a batch.
 MAX_PIECES = 700_000
 MAX_IDS = 6_000_000
+WORDS_AT_ONCE = 64
 SLICE_BYTES = 4_000_000
 END_ID = 0
 
@@ -72,6 +74,12 @@ class Encoder:
             and self.tokenizer.normalizer is None
             and self.tokenizer.post_processor is None
         )
+        vocabulary = self.tokenizer.get_vocab()
+        # Words may share a call of the model if no token holds a space after another
+        # character: then the tokens that start with a space show where words start.
+        self.joined = self.direct and not any(_SPACE_BYTE in t.lstrip(_SPACE_BYTE) for t in vocabulary)
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for t, i in vocabulary.items() if t[0] == _SPACE_BYTE]] = True
         self._reset()
 
     def _reset(self) -> None:
@@ -117,14 +125,44 @@ class Encoder:
             return self._model_ids(lead + marks) if lead + marks else []
         return self._model_ids(lead + word) + self._marks_ids(marks)
 
+    def _word_ids(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of words that start with the space byte, and where each word ends."""
+        ids: list[int] = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            ids.extend([t.id for t in self.tokenizer.model.tokenize("".join(words[at : at + WORDS_AT_ONCE]))])
+        starts = np.flatnonzero(self.opens[np.array(ids, np.int64)]) if ids else np.zeros(0, np.int64)
+        if len(starts) != len(words):
+            raise ValueError("the vocabulary merges across spaces")
+        return ids, [*starts[1:].tolist(), len(ids)] if words else []
+
     def _absorb(self) -> None:
         """Encode the queued pieces."""
         if not self.queue:
             return
+        simple: list[str | None] = []
+        words: list[str] = []
+        for piece in self.queue:
+            match = _SPACED.fullmatch(piece) if self.joined else None
+            if match is None or (match[2] and any(s in piece for s in self.special)):
+                simple.append(None)
+                continue
+            word = match[1]
+            words.append(_SPACE_BYTE + (word if word.isascii() else word.encode().decode("latin-1").translate(_NAMES)))
+            simple.append(match[2])
+        known, stops = self._word_ids(words)
+        stop = iter(stops)
         ids: list[int] = []
         ends = []
-        for piece in self.queue:
-            ids.extend(self._piece_ids(piece))
+        begin = 0
+        for piece, marks in zip(self.queue, simple):
+            if marks is None:
+                ids.extend(self._piece_ids(piece))
+            else:
+                end = next(stop)
+                ids.extend(known[begin:end])
+                begin = end
+                if marks:
+                    ids.extend(self._marks_ids(marks))
             ends.append(len(ids))
         lengths = np.diff(np.array(ends), prepend=0)
         flat = np.array(ids, np.uint32)
@@ -159,7 +197,7 @@ class Encoder:
         offsets -= offsets[0]
         coded = cut.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         spaced = np.ones(len(codes), bool)
         spaced[offsets[:-1]] = False
         used = np.zeros(len(distinct), bool)

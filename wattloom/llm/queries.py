@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, decontaminate, grid_join, simhash
+from wattloom.llm import common, decontaminate, grid_join, pack, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,3 +41,21 @@ def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(common.table(common.prepare(spark), sf_dir, "documents"))
     return found.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = pack.pieces(common.table(common.prepare(spark), sf_dir, "documents"), vocabulary())
+    return cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = token_files.round_trip(common.table(common.prepare(spark), sf_dir, "documents"), vocabulary())
+    return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
