@@ -32,10 +32,12 @@ SHINGLE_WORDS = 3
 SEED = 42
 #: Fingerprints the tree is fitted on, at most about this many.
 TREE_SAMPLE = 50_000
-#: Members (own and copied) a shard should have.
-SHARD_MEMBERS = 4_096
-#: A shard of more members is compared in blocks of this many.
-BLOCK_MEMBERS = 8_192
+#: Members (own and copied) a shard should have: this times the square root of the
+#: number of fingerprints. Smaller shards compare fewer pairs but copy more points: each
+#: halving of a shard copies about a quarter of its points.
+SHARD_FACTOR = 48
+#: A slice of a shard's comparison holds at most this many pairs.
+SLICE_PAIRS = 4_000_000
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
 
@@ -77,7 +79,7 @@ def _distance(points: np.ndarray, to) -> np.ndarray:
 class Tree:
     """Vantage points by node; a negative child -1-s is shard s."""
 
-    def __init__(self, sample: np.ndarray, scale: float, members: int = SHARD_MEMBERS, radius: int = RADIUS):
+    def __init__(self, sample: np.ndarray, scale: float, members: int, radius: int = RADIUS):
         self.radius = radius
         self.vantage: list[int] = []
         self.border: list[int] = []
@@ -161,7 +163,7 @@ def close_edges(points: np.ndarray, block: np.ndarray, across: bool, radius: int
     """
     left, right = (np.flatnonzero(block == b) for b in (block.min(), block.max())) if across else (np.arange(len(points)),) * 2
     linked = np.zeros(len(points), bool)
-    step = 256
+    step = max(1, min(256, SLICE_PAIRS // max(1, len(right))))
     for begin in range(0, len(left), step):
         rows = left[begin : begin + step]
         columns = right if across else right[begin:]
@@ -183,10 +185,12 @@ def _sample(classes: DataFrame, total: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], np.int64)).view(np.uint64)
 
 
-def links(classes: DataFrame, members: int = SHARD_MEMBERS, block: int = BLOCK_MEMBERS) -> DataFrame:
+def links(classes: DataFrame, members: int | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect the same components as
     all pairs within the radius. ``classes``: one row per distinct ``fingerprint``."""
     total = classes.count()
+    members = members or max(64, int(SHARD_FACTOR * total**0.5))
+    block = 2 * members
     sample = _sample(classes, total)
     np.random.default_rng(0).shuffle(sample)
     tree = Tree(sample, total / max(1, len(sample)), members)
