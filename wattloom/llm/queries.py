@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, decontaminate, grid_join, pack, simhash, token_files
+from wattloom.llm import common, decontaminate, grid_join, pack, preference, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,3 +59,49 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = token_files.round_trip(common.table(common.prepare(spark), sf_dir, "documents"), vocabulary())
     return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = preference.label_neighbours(common.table(common.prepare(spark), sf_dir, "conversations"))
+    return (
+        preference.format_pairs(turns)
+        .withColumn("chosen_mask", preference.mask_text("chosen_mask"))
+        .withColumn("rejected_mask", preference.mask_text("rejected_mask"))
+    )
+
+
+SQL["op10_preference"] = """
+WITH turns AS (
+  SELECT conv_id, conv_id >> 1 AS pair_id, conv_id & 1 AS side, turn, coalesce(role, '') AS role,
+         coalesce(text, '') AS text,
+         '<|im_start|>' || coalesce(role, '') || chr(10) AS head,
+         '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS rendered
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT *, row_number() OVER w AS k, sum(length(rendered)) OVER w AS stop FROM turns
+  WINDOW w AS (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+lengths AS (
+  SELECT pair_id, max(conv_id) FILTER (side = 0) AS chosen_id, max(conv_id) FILTER (side = 1) AS rejected_id,
+         least(count(*) FILTER (side = 0), count(*) FILTER (side = 1)) AS shorter
+  FROM placed GROUP BY pair_id),
+differing AS (
+  SELECT c.pair_id, min(c.k) AS k FROM placed c JOIN placed r ON c.pair_id = r.pair_id AND c.k = r.k
+  WHERE c.side = 0 AND r.side = 1 AND (c.role <> r.role OR c.text <> r.text) GROUP BY c.pair_id),
+common AS (
+  SELECT l.*, coalesce(d.k - 1, l.shorter) AS n_common FROM lengths l LEFT JOIN differing d USING (pair_id)),
+ends AS (
+  SELECT c.*, coalesce(max(p.stop), 0) AS before FROM common c
+  LEFT JOIN placed p ON p.pair_id = c.pair_id AND p.side = 0 AND p.k <= c.n_common
+  GROUP BY ALL)
+SELECT e.pair_id, e.chosen_id, e.rejected_id, e.n_common,
+  coalesce(string_agg(rendered, '' ORDER BY k) FILTER (side = 0 AND k <= n_common), '') AS prompt,
+  coalesce(string_agg(rendered, '' ORDER BY k) FILTER (side = 0 AND k > n_common), '') AS chosen,
+  coalesce(string_agg(rendered, '' ORDER BY k) FILTER (side = 1 AND k > n_common), '') AS rejected,
+  coalesce(string_agg(cast(stop - length(rendered) + length(head) - before AS BIGINT) || ':' || cast(stop - 1 - before AS BIGINT), ',' ORDER BY k)
+    FILTER (side = 0 AND k > n_common AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(cast(stop - length(rendered) + length(head) - before AS BIGINT) || ':' || cast(stop - 1 - before AS BIGINT), ',' ORDER BY k)
+    FILTER (side = 1 AND k > n_common AND role = 'assistant'), '') AS rejected_mask
+FROM ends e JOIN placed p ON p.pair_id = e.pair_id
+GROUP BY e.pair_id, e.chosen_id, e.rejected_id, e.n_common, e.before
+"""
