@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, decontaminate, grid_join, pack, preference, simhash, token_files
+from wattloom.llm import common, decontaminate, grid_join, pack, preference, simhash, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,3 +105,24 @@ SELECT e.pair_id, e.chosen_id, e.rejected_id, e.n_common,
 FROM ends e JOIN placed p ON p.pair_id = e.pair_id
 GROUP BY e.pair_id, e.chosen_id, e.rejected_id, e.n_common, e.before
 """
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(common.table(common.prepare(spark), sf_dir, "pages"))
+    return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op8_warc"] = """
+WITH facts AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+shared AS (
+  SELECT payload_digest, max(page_id) AS response FROM facts WHERE payload_bytes >= 1000
+  GROUP BY payload_digest HAVING count(*) > 1)
+SELECT f.page_id, cast(f.payload_bytes AS BIGINT) AS payload_bytes, f.payload_digest,
+  CASE WHEN s.response IS NOT NULL AND s.response IS DISTINCT FROM f.page_id AND f.payload_bytes >= 1000
+       THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN s.response IS DISTINCT FROM f.page_id AND f.payload_bytes >= 1000 THEN s.response END AS refers_to
+FROM facts f LEFT JOIN shared s USING (payload_digest)
+"""
