@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, decontaminate, grid_join, pack, preference, simhash, token_files, warc
+from wattloom.llm import common, decontaminate, grid_join, pack, preference, simhash, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,3 +126,16 @@ SELECT f.page_id, cast(f.payload_bytes AS BIGINT) AS payload_bytes, f.payload_di
   CASE WHEN s.response IS DISTINCT FROM f.page_id AND f.payload_bytes >= 1000 THEN s.response END AS refers_to
 FROM facts f LEFT JOIN shared s USING (payload_digest)
 """
+
+
+@query
+def op1_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.prepare(spark)
+    docs = common.table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model, ["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
