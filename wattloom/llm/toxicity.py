@@ -50,6 +50,9 @@ LEXICON_VOTERS = 16
 PATTERN_VOTERS = 8
 #: Lengths of word beginnings.
 BEGINNINGS = (4, 5, 6, 7, 8)
+#: Log odds that all votes on a text can give together: many votes on the same cues are
+#: never worth as much as as many independent ones.
+MOST_EVIDENCE = 8.0
 #: Accuracy of a gold label as a voter.
 GOLD_ACCURACY = 0.99999
 #: Rounds of gradient descent of the classifier and its ridge penalty.
@@ -230,6 +233,7 @@ class LabelModel:
     def posterior(self, fired: np.ndarray, gold: np.ndarray) -> np.ndarray:
         """Probability of a toxic text from the votes that fired and its gold label."""
         votes_for = fired @ (self.weight * np.log(self.toxic_rate / self.clean_rate))
+        votes_for = np.clip(votes_for, -MOST_EVIDENCE, MOST_EVIDENCE)
         gold_for = np.where(gold, 1, -1) * np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
         logit = np.log(self.prior / (1 - self.prior)) + votes_for + gold_for
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
