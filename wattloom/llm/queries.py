@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, decontaminate, grid_join, pack, preference, simhash, token_files, toxicity, warc
+from wattloom.llm import common, decontaminate, grid_join, html_blocks, pack, pii, preference, simhash, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -139,3 +139,22 @@ def op1_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_score").alias("score"),
         (F.col("_score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(common.prepare(spark), sf_dir, "pages")
+    found = html_blocks.main_text(pages, ["page_id", "url"]).withColumnRenamed("_text", "text")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(common.table(common.prepare(spark), sf_dir, "documents"))
+    of_kind = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(of_kind, pii.KINDS),
+        F.sha2(pii.digest_text("base"), 256).alias("base_sha256"),
+        pii.digest_text("spans").alias("spans"),
+    )
