@@ -56,7 +56,8 @@ def renamed(field: T.StructField, name: str) -> T.StructField:
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components: edges (a, b) of longs to (node, root), root being the
-    smallest node reachable. Nodes without an edge to another node are not listed.
+    smallest node reachable. Roots themselves and nodes without an edge to another node
+    are not listed.
 
     Alternating large-star and small-star rounds; each keeps one row per edge, reduces
     to minima before the shuffle and ends as a table in the shared folder. A round that

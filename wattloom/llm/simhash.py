@@ -60,16 +60,17 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its key, ``fingerprint`` as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
+    """The kept columns of every document and its ``fingerprint`` as a signed 64-bit
+    integer."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = [fingerprint(t) for t in batch.column(1).to_pylist()]
+        values = [fingerprint(t) for t in batch.column(text).to_pylist()]
         prints = np.array(values, np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=[key, "fingerprint"])
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(prints)], names=[*kept, "fingerprint"])
 
-    fields = [common.renamed(docs.schema[key], key), T.StructField("fingerprint", T.LongType())]
-    return common.map_batches(docs.select(key, text), run, fields)
+    fields = [*(common.renamed(docs.schema[c], c) for c in kept), T.StructField("fingerprint", T.LongType())]
+    return common.map_batches(docs.select(*dict.fromkeys([*kept, text])), run, fields)
 
 
 def _distance(points: np.ndarray, to) -> np.ndarray:
@@ -228,27 +229,36 @@ def links(classes: DataFrame, members: int | None = None) -> DataFrame:
     return placed.groupBy("shard", "low", "high").applyInArrow(compare, "a long, b long")
 
 
+def _roots(prints: DataFrame) -> DataFrame:
+    """(fingerprint, root) of every fingerprint; one root per component."""
+    classes = common.staged(prints.select("fingerprint").distinct(), "classes")
+    roots = common.components(links(classes)).withColumnRenamed("node", "fingerprint")
+    return classes.join(roots, "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its key, ``fingerprint`` (long) and ``component_id``, the smallest
     key among the documents reachable by links, its own included."""
-    prints = common.staged(fingerprints(docs, key, text), "prints")
-    classes = common.staged(prints.groupBy("fingerprint").agg(F.min(key).alias("first")), "classes")
-    roots = common.components(links(classes))
-    rooted = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
+    prints = common.staged(fingerprints(docs, [key], text), "prints")
+    first = prints.groupBy("fingerprint").agg(F.min(key).alias("first"))
+    rooted = first.join(_roots(prints), "fingerprint")
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(names, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with one row of each group kept: that of the smallest key. Of rows
-    with equal keys one stays; rows without a key stay only for groups without any."""
-    kept = groups(docs, key, text).where(F.col(key).eqNullSafe(F.col("component_id")))
-    ids = kept.select(F.col(key).alias("_kept")).distinct()
-    joined = docs.join(ids, docs[key].eqNullSafe(ids["_kept"]), "left_semi")
-    return joined.dropDuplicates([key])
+    """The documents with one row of each group kept: that of the smallest key, of the
+    smallest text hash among equal keys. A row without a key stays only for a group in
+    which no row has one. Of equal rows one stays."""
+    marked = docs.withColumn("_print", F.xxhash64(text))
+    prints = common.staged(fingerprints(marked, [key, "_print"], text), "prints")
+    order = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("key"), F.col("_print").alias("print"))
+    first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    best = first.join(_roots(prints), "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+    kept = best.select(F.col("first.key").alias("_key"), F.col("first.print").alias("_kept"))
+    joined = marked.join(kept, (marked["_print"] == kept["_kept"]) & marked[key].eqNullSafe(kept["_key"]), "left_semi")
+    return joined.dropDuplicates([key, "_print"]).drop("_print")
 
 
 def hexadecimal(column) -> F.Column:
