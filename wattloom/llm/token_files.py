@@ -92,37 +92,35 @@ def write(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
     files = max(1, math.ceil(total / file_tokens))
 
-    def code(batch: pa.RecordBatch) -> pa.RecordBatch:
-        coded = [encode_ranks(rank[np.frombuffer(ids, f"<u{width}")]) for ids in batch.column(2).to_pylist()]
-        control, data = zip(*coded)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-            names=["key", "n_tokens", "control", "data"],
-        )
-
-    schema = "key long, n_tokens long, control binary, data binary"
-    coded = common.map_batches(
-        tokens.select(F.col(key).cast("long"), "n_tokens", "ids"), code, T._parse_datatype_string(schema).fields
+    # Dealing out by range looks at its input twice, so ids are coded only after it.
+    placed = (
+        tokens.select(F.col(key).cast("long").alias("key"), "n_tokens", "ids")
+        .repartitionByRange(files, "key")
+        .sortWithinPartitions("key", "n_tokens", "ids")
     )
-    # Borders from the keys alone: dealing out by range would else encode twice.
-    placed = coded.repartitionByRange(files, "key").sortWithinPartitions("key", "n_tokens", "control", "data")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held = [b for b in batches if b.num_rows]
+        held, controls, data = [], [], []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch.select(["key", "n_tokens"]))
+                coded = [encode_ranks(rank[np.frombuffer(ids, f"<u{width}")]) for ids in batch.column("ids").to_pylist()]
+                controls += [c for c, _ in coded]
+                data += [d for _, d in coded]
         if not held:
             return
         rows = pa.Table.from_batches(held)
         keys, counts = rows.column("key"), rows.column("n_tokens").to_numpy()
-        control = b"".join(rows.column("control").to_pylist())
+        control = b"".join(controls)
         parts = [
             keys.fill_null(0).to_numpy().astype("<i8").tobytes(),
             keys.is_null().to_numpy().astype(np.uint8).tobytes(),
             counts.astype("<i8").tobytes(),
             by_rank.tobytes(),
             control,
-            b"".join(rows.column("data").to_pylist()),
+            b"".join(data),
         ]
         head = struct.pack(_HEADER, MAGIC, TaskContext.get().partitionId(), len(counts), int(counts.sum()), len(control), len(by_rank))
         body = b"".join([head, *parts])
