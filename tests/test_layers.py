@@ -154,7 +154,7 @@ def test_audit_status_needs_a_complete_clean_file(spark, bronze):
 
 
 def table_rows(spark, path):
-    return sorted(tuple(r) for r in spark.read.parquet(path).select("k", "day", "v").collect())
+    return sorted(tuple(r) for r in upsert.read_table(spark, path).select("k", "day", "v").collect())
 
 
 def test_upsert_updates_inserts_and_leaves_other_partitions_alone(spark, tmp_path):
@@ -167,12 +167,40 @@ def test_upsert_updates_inserts_and_leaves_other_partitions_alone(spark, tmp_pat
     jan, feb = date(2018, 1, 5), date(2018, 2, 5)
     keys = ["k", "day"]
     upsert.upsert_path(batch((1, jan, 1), (2, jan, 2), (1, feb, 3)), path, keys, "part_month")
-    january = {p.name for p in (tmp_path / "t" / "part_month=2018-01-01").iterdir()}
+    january = {p.name for p in (tmp_path / "t/data/version=1/part_month=2018-01-01").iterdir()}
     change = batch((1, feb, 30), (9, feb, 9))
     for _ in range(2):  # the second time changes nothing
         upsert.upsert_path(change, path, keys, "part_month")
         assert table_rows(spark, path) == [(1, jan, 1), (1, feb, 30), (2, jan, 2), (9, feb, 9)]
-    assert {p.name for p in (tmp_path / "t" / "part_month=2018-01-01").iterdir()} == january
+    assert {p.name for p in (tmp_path / "t/data/version=1/part_month=2018-01-01").iterdir()} == january
+    # The version before the last stays, older ones go.
+    assert sorted(p.name for p in (tmp_path / "t/manifest").iterdir()) == ["number=2", "number=3"]
+
+
+@pytest.mark.parametrize("partition_by", [None, "part_month"])
+@pytest.mark.parametrize("step", ["_write", "_publish", "_vacuum", "merge_rows"])
+def test_a_failed_upsert_leaves_the_table_whole(spark, tmp_path, monkeypatch, step, partition_by):
+    path = str(tmp_path / "t")
+
+    def batch(ids, v):
+        df = spark.createDataFrame([(k, date(2018, 1 + k % 3, 5), v) for k in ids], "k int, day date, v int")
+        return df.withColumn("part_month", F.trunc("day", "month"))
+
+    upsert.upsert_path(batch(range(100), 0), path, ["k", "day"], partition_by)
+    before = table_rows(spark, path)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, step, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            upsert.upsert_path(batch(range(95, 105), 1), path, ["k", "day"], partition_by)
+    if step != "_vacuum":
+        assert table_rows(spark, path) == before
+    upsert.upsert_path(batch(range(95, 105), 1), path, ["k", "day"], partition_by)
+    rows = table_rows(spark, path)
+    assert len(rows) == 105 and sum(v for _, _, v in rows) == 10
 
 
 def test_upsert_refuses_a_source_key_that_occurs_twice(spark, tmp_path):
@@ -216,6 +244,20 @@ def test_later_months_refresh_only_themselves(spark, built, bronze, weather):
     }
 
 
+def test_since_within_a_month_keeps_the_month_whole(spark, built):
+    before = {(r.building_id, r.usage_month): r.days_present for r in built.read(spark, "monthly_energy_weather").collect()}
+    changes = sorted(map(str, built.read(spark, "usage_investigation_weather").collect()))
+    medallion.refresh_gold(built, spark, date(2018, 2, 2))
+    after = {(r.building_id, r.usage_month): r.days_present for r in built.read(spark, "monthly_energy_weather").collect()}
+    assert after == before
+    assert sorted(map(str, built.read(spark, "usage_investigation_weather").collect())) == changes
+
+
+def test_since_reads_only_its_months(spark, built):
+    plan = built.read(spark, "energy_weather_hourly", date(2018, 2, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "part_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_failed_gate_leaves_the_tables_alone(spark, built, bronze, weather):
     before = built.read(spark, "consumption_hourly").count()
     partial = bronze.filter(F.minute("timestamp") != 15)
@@ -247,7 +289,8 @@ def test_publish_refuses_repeated_keys(spark, built, tmp_path):
             built.read(spark, "usage_investigation_weather"),
             accounts.limit(0),
         )
-    assert not (tmp_path / "s").exists()
+    assert not (tmp_path / "s" / "metadata").exists()
+    assert not list((tmp_path / "s").glob("*/snapshot_id=*"))
 
 
 def test_stale_answers_are_found(spark):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 DEGREE_DAY_BASE_F = 65.0
 READING_SECONDS = 15 * 60
 
-# Decimal places kept by exact sums. Readings carry three decimals; daily mean
-# temperatures repeat, so they keep nine.
+# Decimal places for exact sums of data with few decimals: readings carry three, means
+# of temperatures repeat and keep nine.
 ENERGY_DIGITS = 6
 WEATHER_DIGITS = 9
 
@@ -18,13 +18,13 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(value: str | Column, digits: int | None = ENERGY_DIGITS) -> Column:
-    """Sum of doubles that does not depend on the order of the rows.
+def exact_sum(value: str | Column, digits: int | None = None) -> Column:
+    """Sum of doubles; with ``digits`` one that does not depend on the order of rows.
 
-    Values are counted in units of ``10**-digits`` as 64-bit integers, which keeps
-    the partial sums in code-generated long arithmetic and makes a re-run after a
-    lost executor reproduce the same bits. An overflow raises (ANSI) instead of
-    wrapping. ``digits=None`` is a plain floating-point sum.
+    ``digits`` is for data known to have that many decimals at most: values are then
+    counted in units of ``10**-digits`` as 64-bit integers, and a re-run after a lost
+    executor reproduces the same bits. Anything finer is rounded away, NaN and overflow
+    raise. Without ``digits`` it is a plain floating-point sum.
     """
     value = _col(value)
     if digits is None:
@@ -33,8 +33,8 @@ def exact_sum(value: str | Column, digits: int | None = ENERGY_DIGITS) -> Column
     return F.sum(F.rint(value * unit).cast("bigint")).cast("double") / unit
 
 
-def exact_avg(value: str | Column, digits: int | None = WEATHER_DIGITS) -> Column:
-    """Mean as one division of an exact sum; null when there is no value."""
+def exact_avg(value: str | Column, digits: int | None = None) -> Column:
+    """Mean; with ``digits`` one division of an exact sum. Null when there is no value."""
     value = _col(value)
     if digits is None:
         return F.avg(value)

@@ -76,9 +76,9 @@ def join_attributes(buildings: DataFrame, attributes: DataFrame) -> DataFrame:
 def join_weather_city(buildings: DataFrame, locations: DataFrame) -> DataFrame:
     """Attach the weather city of the county; unmapped counties keep null.
 
-    The lookup is a literal table, so its size is fixed and it may be broadcast.
+    Not hinted: Spark broadcasts the lookup if its size is under the threshold.
     """
-    return buildings.join(F.broadcast(locations), "county_code", "left")
+    return buildings.join(locations, "county_code", "left")
 
 
 def onboarding_candidates(bronze: DataFrame, metadata: DataFrame, locations: DataFrame) -> DataFrame:

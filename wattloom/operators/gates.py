@@ -158,7 +158,7 @@ def same_counts(published: DataFrame, layers: DataFrame) -> DataFrame:
 def not_current(served: DataFrame, metadata: DataFrame, key: str = "snapshot_id") -> Gate:
     """Served rows whose creation stamp is not the published snapshot's."""
     stamps = metadata.select(key, F.col("created_at_utc").alias("published_at_utc"))
-    joined = served.join(F.broadcast(stamps), key, "left")
+    joined = served.join(stamps, key, "left")
     stale = ~F.col("created_at_utc").eqNullSafe(F.col("published_at_utc"))
     return Gate("stale answers", joined.filter(stale))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattloom import schemas
 from wattloom.functions.measures import DEGREE_DAY_BASE_F, ENERGY_DIGITS
 from wattloom.operators import conform, gates, rollup
+from wattloom.session import delete_path
 
 # Texts and numbers that readers of a snapshot rely on.
 ACCOUNT_PREFIX = "DEMO-"
@@ -43,7 +44,7 @@ def with_account_id(df: DataFrame) -> DataFrame:
 
 
 def account_summary(
-    days: DataFrame, buildings: DataFrame, digits: int | None = ENERGY_DIGITS
+    days: DataFrame, buildings: DataFrame, digits: int | None = None
 ) -> DataFrame:
     """One row per building with any days: attributes, totals, provenance text."""
     joined = buildings.join(rollup.account_metrics(days, digits), "building_id")
@@ -67,7 +68,7 @@ def account_summary(
 
 
 def published_accounts(
-    days: DataFrame, buildings: DataFrame, digits: int | None = ENERGY_DIGITS
+    days: DataFrame, buildings: DataFrame, digits: int | None = None
 ) -> DataFrame:
     """Account rows as published: summary plus weather city and reference use."""
     return conform.account_context(account_summary(days, buildings, digits), buildings)
@@ -111,11 +112,11 @@ def publish_snapshot(
     investigations: DataFrame,
     alignment_gaps: DataFrame,
 ) -> str:
-    """Write the four datasets of a snapshot, then its metadata.
+    """Write the four datasets of a snapshot, check them, then write its metadata.
 
     Readers start from the metadata, so a snapshot becomes visible in one step and
-    only when it is whole. Rows go from the executors straight to JSON files. A
-    dataset with a repeated key is refused.
+    only when it is whole. Each dataset is computed once; repeated keys are looked for
+    in the written rows, and if there are any the rows are deleted again.
     """
     spark = accounts.sparkSession
     now = datetime.now(timezone.utc)
@@ -126,13 +127,17 @@ def publish_snapshot(
         "monthly_usage": with_account_id(monthly),
         "investigations": with_account_id(investigations),
     }
-    for name, df in rows.items():
-        gates.duplicates(df, KEYS[name]).enforce()
-    for name, df in rows.items():
-        layout = DATASETS[name].fieldNames()
-        df.select(*layout).write.option("ignoreNullFields", "false").json(
-            f"{root}/{name}/snapshot_id={snapshot_id}"
-        )
+    written = {name: f"{root}/{name}/snapshot_id={snapshot_id}" for name in rows}
+    try:
+        for name, df in rows.items():
+            layout = DATASETS[name].fieldNames()
+            df.select(*layout).write.option("ignoreNullFields", "false").json(written[name])
+            stored = spark.read.schema(DATASETS[name]).json(written[name])
+            gates.duplicates(stored, KEYS[name]).enforce()
+    except gates.GateFailed:
+        for path in written.values():
+            delete_path(spark, path)
+        raise
     snapshot_metadata(spark, snapshot_id, alignment_gaps, now.isoformat()).coalesce(1).write.option(
         "ignoreNullFields", "false"
     ).json(f"{root}/metadata/published={snapshot_id}")

@@ -42,7 +42,6 @@ EXPLANATION_SCOPE = (
     "Bill calculations are not included."
 )
 
-INLINE_LISTING_ROWS = 10_000
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -124,7 +123,8 @@ def nest_usage(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     def nested(df: DataFrame, period: str, name: str) -> DataFrame:
         ordered = [period, *[c for c in df.columns if c != period]]
         return df.groupBy("building_id").agg(
-            F.sort_array(F.collect_list(F.struct(*ordered))).alias(name)
+            F.sort_array(F.collect_list(F.struct(*ordered))).alias(name),
+            F.bool_or(_not_finite(df)).alias(f"_{name}_bad"),
         )
 
     return nested(daily, "usage_date", "daily_usage").join(
@@ -136,11 +136,15 @@ def account_details(accounts: DataFrame, daily: DataFrame, monthly: DataFrame) -
     """Per account: its row and its nested usage."""
     account = F.struct(*accounts.columns).alias("account")
     nested = nest_usage(daily, monthly)
-    no_rows = {n: F.coalesce(n, F.array().cast(nested.schema[n].dataType)) for n in nested.columns[1:]}
+    arrays = ["daily_usage", "monthly_usage"]
+    no_rows = {n: F.coalesce(n, F.array().cast(nested.schema[n].dataType)) for n in arrays}
+    bad = reduce(or_, (F.coalesce(f"_{n}_bad", F.lit(False)) for n in arrays), F.col("_bad"))
     return (
         accounts.select("building_id", "account_id", account, _not_finite(accounts).alias("_bad"))
         .join(nested, "building_id", "left")
         .withColumns(no_rows)
+        .withColumn("_bad", bad)
+        .drop(*(f"_{n}_bad" for n in arrays))
     )
 
 
@@ -222,25 +226,21 @@ def evidence(metadata: DataFrame) -> Column:
     return F.to_json(_result("explain_usage", metadata, _comparison_data()), _KEEP_NULLS)
 
 
-def _listing(accounts: DataFrame, listing_at: str | None) -> Column:
-    """The account listing: inline when its measured size allows, else by location."""
-    count = accounts.limit(INLINE_LISTING_ROWS + 1).count()
-    if count <= INLINE_LISTING_ROWS:
-        ordered = ["building_id", *[c for c in accounts.columns if c != "building_id"]]
-        rows = accounts.agg(F.sort_array(F.collect_list(F.struct(*ordered))).alias("rows"))
-        return F.struct(rows.scalar().alias("accounts"))
-    if listing_at is None:
-        raise ValueError(
-            f"more than {INLINE_LISTING_ROWS} accounts: pass listing_at, the folder that "
-            "holds the published account rows"
-        )
-    return F.struct(F.lit(listing_at).alias("accounts_at"))
+def _listing(accounts: DataFrame, listing_at: str) -> Column:
+    """The account listing at any size: where the published rows lie, and how many."""
+    count = accounts.agg(F.count("*").alias("n")).scalar()
+    return F.struct(F.lit(listing_at).alias("accounts_at"), count.alias("account_count"))
 
 
 def locate(checked: DataFrame, accounts: DataFrame, investigations: DataFrame) -> DataFrame:
     """Validated requests with account, comparison row and final ``error``."""
-    known = conform.lookup_accounts(checked, accounts)
-    found = find_comparison(known, investigations)
+    # Requests that look nothing up stay out of the joins: they have no account, and
+    # would all meet in the partition of the null key.
+    looks_up = F.col("error").isNull() & (F.col("operation") != "list_accounts")
+    asking = checked.filter(F.coalesce(looks_up, F.lit(False)))
+    rest = checked.filter(~F.coalesce(looks_up, F.lit(False)))
+    found = find_comparison(conform.lookup_accounts(asking, accounts), investigations)
+    found = found.unionByName(rest, allowMissingColumns=True)
     has_account = F.col("error").isNull() & (F.col("operation") != "list_accounts")
     by_month = F.col("error").isNull() & _needs_month()
     rules = [
@@ -254,12 +254,12 @@ def locate(checked: DataFrame, accounts: DataFrame, investigations: DataFrame) -
 
 
 def answer(
-    requests: DataFrame, snapshot: dict[str, DataFrame], listing_at: str | None = None
+    requests: DataFrame, snapshot: dict[str, DataFrame], listing_at: str
 ) -> DataFrame:
     """Responses to all requests: ``ok``, ``error`` and ``response_json``.
 
-    ``listing_at`` is where the published account rows lie; it is needed only when
-    there are too many accounts to put into one response.
+    ``listing_at`` is where the published account rows lie; a listing names that folder
+    and the number of accounts.
     """
     metadata = snapshot["metadata"]
     # Parsed once and written: the requests are looked at from several sides below.
@@ -272,16 +272,11 @@ def answer(
         wanted.select("account_id").distinct(), "account_id", "left_semi"
     )
     asked = accounts.select("building_id")
-    bad_usage = [
-        snapshot[name].filter(_not_finite(snapshot[name])).select("building_id")
-        for name in ("daily_usage", "monthly_usage")
-    ]
-    bad_buildings = bad_usage[0].union(bad_usage[1]).distinct().withColumn("_usage_bad", F.lit(True))
     details = account_details(
         accounts.select(*snapshot["accounts"].columns),
         snapshot["daily_usage"].join(asked, "building_id", "left_semi"),
         snapshot["monthly_usage"].join(asked, "building_id", "left_semi"),
-    ).join(bad_buildings, "building_id", "left")
+    )
     # One document per account, however many requests ask for it.
     documents = details.select(
         F.lit("account_details").alias("operation"),
@@ -294,10 +289,15 @@ def answer(
             ),
             _KEEP_NULLS,
         ).alias("_details"),
-        (F.col("_bad") | F.coalesce("_usage_bad", F.lit(False))).alias("_details_bad"),
+        F.col("_bad").alias("_details_bad"),
     )
     keys = ["operation", "account_id"]
-    full = skewed_join(located, documents, keys, "left", hot_keys(wanted, keys))
+    # Only requests for details meet the documents; all others would share a null key.
+    details_wanted = F.coalesce(wants_details, F.lit(False))
+    joined = skewed_join(
+        located.filter(details_wanted), documents, keys, "left", hot_keys(wanted, keys)
+    )
+    full = joined.unionByName(located.filter(~details_wanted), allowMissingColumns=True)
     full = full.withColumn(
         "error",
         F.coalesce("error", _first_failure([(wants_details & F.col("_details_bad"), NOT_JSON)])),

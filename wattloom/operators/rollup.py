@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wattloom import schemas
 from wattloom.functions import measures, periods
-from wattloom.functions.measures import ENERGY_DIGITS, WEATHER_DIGITS, exact_avg, exact_sum
+from wattloom.functions.measures import exact_avg, exact_sum
 
 COMPLETE_YEAR_READINGS = 35_040
 PLACE_KEYS = ["building_id", *schemas.PLACE]
@@ -25,15 +25,20 @@ def _sums(names: list[str], digits: int | None) -> list[Column]:
     return [exact_sum(name, digits).alias(name) for name in names]
 
 
-def hourly_rollup(readings: DataFrame, digits: int | None = ENERGY_DIGITS) -> DataFrame:
-    """15-minute readings to hour-ending rows."""
-    return readings.groupBy(
-        "building_id", periods.hour_ending("source_timestamp").alias("source_hour_end")
-    ).agg(
+def hourly_aggregates(digits: int | None = None) -> list[Column]:
+    """Measures of an hour of readings; also the totals of one micro-batch."""
+    return [
         F.count("*").alias("interval_count"),
         *_sums(list(schemas.READING_MEASURES), digits),
         F.max("average_demand_kw").alias("peak_15min_average_kw"),
-    )
+    ]
+
+
+def hourly_rollup(readings: DataFrame, digits: int | None = None) -> DataFrame:
+    """15-minute readings to hour-ending rows."""
+    return readings.groupBy(
+        "building_id", periods.hour_ending("source_timestamp").alias("source_hour_end")
+    ).agg(*hourly_aggregates(digits))
 
 
 def with_degree_days(daily: DataFrame, base: float = measures.DEGREE_DAY_BASE_F) -> DataFrame:
@@ -48,8 +53,8 @@ def with_degree_days(daily: DataFrame, base: float = measures.DEGREE_DAY_BASE_F)
 
 def daily_rollup(
     hours: DataFrame,
-    energy_digits: int | None = ENERGY_DIGITS,
-    weather_digits: int | None = WEATHER_DIGITS,
+    energy_digits: int | None = None,
+    weather_digits: int | None = None,
     base: float = measures.DEGREE_DAY_BASE_F,
 ) -> DataFrame:
     """Weather-enriched hours to days."""
@@ -68,8 +73,8 @@ def daily_rollup(
 
 def monthly_rollup(
     days: DataFrame,
-    energy_digits: int | None = ENERGY_DIGITS,
-    weather_digits: int | None = WEATHER_DIGITS,
+    energy_digits: int | None = None,
+    weather_digits: int | None = None,
 ) -> DataFrame:
     """Days to months. Temperature, humidity and wind are means of daily means."""
     return days.groupBy(
@@ -90,7 +95,7 @@ def monthly_rollup(
     )
 
 
-def account_metrics(days: DataFrame, digits: int | None = ENERGY_DIGITS) -> DataFrame:
+def account_metrics(days: DataFrame, digits: int | None = None) -> DataFrame:
     """Totals of each building over all its days."""
     return days.groupBy("building_id").agg(
         F.count_distinct("usage_date").alias("days_present"),

@@ -1,10 +1,11 @@
 """Keyed upserts: update matching rows, insert the others.
 
 On a catalog with row-level operations this is ``DataFrame.mergeInto``. On plain
-parquet the touched partitions are merged, staged in the shared folder and then
-written back with dynamic partition overwrite. The staged copy is complete before
-the target changes, and an upsert repeated with the same source gives the same
-table, so a job that dies half-way is simply run again.
+parquet a table is a folder of versions and manifests. An upsert writes the touched
+partitions, merged, into a new version folder and then a manifest, one small file that
+lists the folder of every live partition. Readers follow the newest manifest, so a job
+that dies at any point leaves the table as it was, and is simply run again. The version
+before stays until the next upsert. One writer at a time.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.operators import gates
-from wattloom.session import scratch_dir
+from wattloom.session import delete_path, scratch_dir
 
 
 def key_conflicts(source: DataFrame, keys: list[str]) -> gates.Gate:
@@ -44,8 +45,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The parquet table at ``path``, or None before its first write."""
+def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The parquet files below ``path``, or None before the first is written."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
@@ -54,6 +55,48 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         raise
 
 
+_MANIFEST = T.StructType([T.StructField("folder", T.StringType())])
+
+
+def _manifests(spark: SparkSession, path: str) -> dict[int, list[str]]:
+    """Live folders by manifest number: a row per partition, which the calendar bounds."""
+    try:
+        rows = spark.read.schema(_MANIFEST).json(f"{path}/manifest")
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    if "number" not in rows.columns:
+        return {}
+    found: dict[int, list[str]] = {}
+    for row in rows.select("number", "folder").collect():
+        found.setdefault(row["number"], []).append(row["folder"])
+    return found
+
+
+def _read_folders(
+    spark: SparkSession, path: str, folders: list[str], schema: T.StructType | None
+) -> DataFrame:
+    reader = spark.read.option("basePath", f"{path}/data")
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*(f"{path}/data/{f}" for f in sorted(folders))).drop("version")
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The current version of the table at ``path``, or None before its first write."""
+    manifests = _manifests(spark, path)
+    if not manifests:
+        return None
+    return _read_folders(spark, path, manifests[max(manifests)], schema)
+
+
+def _partition_folder(partition_by: str, value: object) -> str:
+    return f"{partition_by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def upsert_path(
     source: DataFrame,
     path: str,
@@ -63,7 +106,7 @@ def upsert_path(
     staged: bool = False,
     keys_unique: bool = False,
 ) -> None:
-    """Upsert into a parquet table at ``path``.
+    """Upsert into the versioned parquet table at ``path``.
 
     ``partition_by`` names a date column that is a function of the keys (the month
     of a time key), so a row never moves between partitions; only partitions with
@@ -73,23 +116,63 @@ def upsert_path(
     ``keys_unique`` that it was grouped by exactly the keys; both save a pass.
     """
     spark = source.sparkSession
+    own = None
     if not staged:
-        source = stage(source, "upsert-source")
-    if not keys_unique:
-        key_conflicts(source, keys).enforce()
-    target = read_table(spark, path, source.schema)
-    if target is None:
-        _write(source, path, partition_by)
-        return
+        own = scratch_dir(spark, "upsert-source")
+        source.write.parquet(own)
+        source = spark.read.schema(source.schema).parquet(own)
+    try:
+        if not keys_unique:
+            key_conflicts(source, keys).enforce()
+        _upsert(spark, source, path, keys, partition_by)
+    finally:
+        if own is not None:
+            delete_path(spark, own)
+
+
+def _upsert(
+    spark: SparkSession, source: DataFrame, path: str, keys: list[str], partition_by: str | None
+) -> None:
+    manifests = _manifests(spark, path)
+    number = max(manifests, default=0)
+    live = manifests.get(number, [])
     if partition_by:
-        touched = [row[0] for row in source.select(partition_by).distinct().collect()]
-        target = target.filter(F.col(partition_by).isin(touched))
-    if target.isEmpty():
-        # New partitions only: nothing to merge with.
-        _write(source, path, partition_by)
-        return
-    merged = stage(merge_rows(target.select(*source.columns), source, keys), "upsert-merged")
-    _write(merged, path, partition_by)
+        values = [row[0] for row in source.select(partition_by).distinct().collect()]
+        parts = {_partition_folder(partition_by, v) for v in values}
+        replaced = [f for f in live if f.split("/")[-1] in parts]
+        if not parts and live:
+            return
+    else:
+        parts, replaced = set(), live
+    merged = source
+    if replaced:
+        target = _read_folders(spark, path, replaced, source.schema)
+        merged = merge_rows(target.select(*source.columns), source, keys)
+    version = f"version={number + 1}"
+    # What a failed attempt left under this number is replaced.
+    _write(merged, f"{path}/data/{version}", partition_by)
+    kept = [f for f in live if f not in replaced]
+    folders = kept + ([f"{version}/{p}" for p in sorted(parts)] if parts else [version])
+    _publish(spark, path, number + 1, folders)
+    _vacuum(spark, path, {number: live, number + 1: folders}, manifests)
+
+
+def _publish(spark: SparkSession, path: str, number: int, folders: list[str]) -> None:
+    """Write a manifest; its one file appears as a whole."""
+    rows = spark.createDataFrame([(f,) for f in folders], _MANIFEST)
+    rows.coalesce(1).write.mode("overwrite").json(f"{path}/manifest/number={number}")
+
+
+def _vacuum(
+    spark: SparkSession, path: str, kept: dict[int, list[str]], known: dict[int, list[str]]
+) -> None:
+    """Delete manifests older than the kept ones and folders that only they name."""
+    needed = {f for folders in kept.values() for f in folders}
+    old = {number: folders for number, folders in known.items() if number not in kept}
+    for number in old:
+        delete_path(spark, f"{path}/manifest/number={number}")
+    for folder in {f for folders in old.values() for f in folders} - needed:
+        delete_path(spark, f"{path}/data/{folder}")
 
 
 def _write(rows: DataFrame, path: str, partition_by: str | None) -> None:
@@ -98,12 +181,8 @@ def _write(rows: DataFrame, path: str, partition_by: str | None) -> None:
         return
     # Rebalancing brings the rows of a partition value together, and AQE splits a
     # large one over several tasks: few files per folder, no overloaded task.
-    (
-        rows.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
+    rows.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(
+        path
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.functions.measures import exact_sum
+from wattloom.functions.measures import ENERGY_DIGITS, WEATHER_DIGITS, exact_sum
 from wattloom.operators import conform, publish, rollup
 from wattloom.operators.upsert import stage
 from wattloom.sources import landing
@@ -239,11 +239,13 @@ def gappy_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.hourly_rollup(conform.project_consumption(sparse_readings(spark, sf_dir)))
+    return rollup.hourly_rollup(
+        conform.project_consumption(sparse_readings(spark, sf_dir)), ENERGY_DIGITS
+    )
 
 
 def dense_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.hourly_rollup(conform.project_consumption(meter_15min(spark, sf_dir)))
+    return rollup.hourly_rollup(conform.project_consumption(meter_15min(spark, sf_dir)), ENERGY_DIGITS)
 
 
 def enriched_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,7 +327,7 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.monthly_rollup(daily_long(spark, sf_dir), energy_digits=2)
+    return rollup.monthly_rollup(daily_long(spark, sf_dir), 2, WEATHER_DIGITS)
 
 
 def supplier_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:

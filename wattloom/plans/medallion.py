@@ -8,14 +8,13 @@ tables are partitioned by month, so a refresh touches the months it has rows for
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.functions import periods
 from wattloom.operators import compare, conform, gates, publish, rollup
-from wattloom.operators.upsert import stage, upsert_path
+from wattloom.operators.upsert import read_table, stage, upsert_path
 
 PART = "part_month"
 
@@ -29,9 +28,14 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        df = spark.read.parquet(self.path(name))
-        return df.drop(PART) if PART in df.columns else df
+    def read(self, spark: SparkSession, name: str, since: date | None = None) -> DataFrame:
+        """A table, of a table kept by month only the months from that of ``since`` on."""
+        df = read_table(spark, self.path(name))
+        if df is None:
+            raise ValueError(f"table {name} has not been written")
+        if since is not None:
+            df = df.filter(F.col(PART) >= F.lit(since.replace(day=1)))
+        return df.drop(PART)
 
 
 def _by_month(df: DataFrame, period: str) -> DataFrame:
@@ -65,7 +69,10 @@ def refresh_silver(
     """Readings, hours and weather-enriched hours, for days from ``since`` on."""
     spark = bronze.sparkSession
     if since is not None:
-        bronze = bronze.filter(periods.usage_date("timestamp") >= F.lit(since))
+        # A stamp closes its interval: midnight belongs to the day before. A plain
+        # comparison of the column reaches the scan.
+        first = datetime.combine(since, time()) + timedelta(seconds=1)
+        bronze = bronze.filter(F.col("timestamp") >= F.lit(first).cast(bronze.schema["timestamp"].dataType))
     gates.rescued(bronze).enforce()
     readings = stage(conform.project_consumption(bronze), "readings")
     gates.duplicates(readings, ["building_id", "source_timestamp"]).enforce()
@@ -91,13 +98,16 @@ def refresh_silver(
 
 
 def refresh_gold(tables: Tables, spark: SparkSession, since: date | None = None) -> None:
-    """Days and months from ``since`` (a first of month) on, and all comparisons.
+    """Days, months and comparisons of the month of ``since`` and all later ones.
 
-    A changed month also changes the comparison of the month after it, so
-    comparisons are taken over the whole monthly table.
+    A month is always computed from all its days, so ``since`` may lie within it.
     """
-    hours = tables.read(spark, "energy_weather_hourly")
     if since is not None:
+        since = since.replace(day=1)
+    hours = tables.read(spark, "energy_weather_hourly", since)
+    if since is not None:
+        # The partition of an hour is the month of its stamp, which for the last hour
+        # of a month is the next; its usage date decides.
         hours = hours.filter(F.col("usage_date") >= F.lit(since))
     days = stage(rollup.daily_rollup(hours), "days")
     gates.days_complete(days).enforce()
@@ -112,15 +122,28 @@ def refresh_gold(tables: Tables, spark: SparkSession, since: date | None = None)
     monthly = tables.path("monthly_energy_weather")
     upsert_path(_by_month(months, "usage_month"), monthly, ["building_id", "usage_month"], PART)
     upsert_path(
-        _by_month(
-            compare.investigation(tables.read(spark, "monthly_energy_weather")), "usage_month"
-        ),
+        _by_month(_comparisons(tables, spark, since), "usage_month"),
         tables.path("usage_investigation_weather"),
         ["building_id", "usage_month"],
         PART,
     )
 
 
+def _comparisons(tables: Tables, spark: SparkSession, since: date | None) -> DataFrame:
+    """Comparisons of the months from ``since`` on, each building's last earlier month
+    standing before them."""
+    months = tables.read(spark, "monthly_energy_weather")
+    if since is None:
+        return compare.investigation(months)
+    first = F.lit(since)
+    earlier = months.filter(F.col("usage_month") < first)
+    last = earlier.groupBy("building_id").agg(
+        F.max_by(F.struct(*months.columns), "usage_month").alias("row")
+    )
+    current = tables.read(spark, "monthly_energy_weather", since).unionByName(last.select("row.*"))
+    return compare.investigation(current).filter(F.col("usage_month") >= first)
+
+
 def accounts(tables: Tables, spark: SparkSession) -> DataFrame:
     """The account view over the current days and buildings."""
     return publish.published_accounts(
@@ -142,6 +165,31 @@ def layers(tables: Tables, spark: SparkSession, bronze: DataFrame) -> dict[str,
     }
 
 
+def refresh(
+    tables: Tables,
+    bronze: DataFrame,
+    metadata: DataFrame,
+    locations: DataFrame,
+    weather: DataFrame,
+    since: date | None = None,
+    per_building: dict[str, int] | None = None,
+) -> str:
+    """The whole flow after an ingest: audit, layers, count checks, snapshot.
+
+    ``per_building`` holds the rows per building that each layer should have; a
+    layer that has others stops the flow before anything is published.
+    """
+    spark = bronze.sparkSession
+    expected = per_building or gates.YEAR_EXPECTATION
+    refresh_audit(tables, bronze, expected["bronze"])
+    refresh_buildings(tables, bronze, metadata, locations)
+    refresh_silver(tables, bronze, weather, since)
+    refresh_gold(tables, spark, since)
+    counts = rollup.layer_counts(layers(tables, spark, bronze))
+    gates.layers_complete(counts, tables.read(spark, "buildings"), expected).enforce()
+    return publish_current(tables, spark, weather)
+
+
 def publish_current(tables: Tables, spark: SparkSession, weather: DataFrame) -> str:
     """Publish the current layers as a new snapshot.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import schemas
+from wattloom.functions.measures import WEATHER_DIGITS
 from wattloom.operators import compare, publish, requests, rollup
 from wattloom.operators.skew import skewed_join
 from wattloom.operators.upsert import stage
@@ -22,7 +23,7 @@ def snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     being computed again for every dataset that derives from them.
     """
     days = b.stored(b.daily_long, spark, sf_dir)
-    months = stage(rollup.monthly_rollup(days, energy_digits=2), "monthly-long")
+    months = stage(rollup.monthly_rollup(days, 2, WEATHER_DIGITS), "monthly-long")
     return {
         "accounts": publish.published_accounts(
             days, b.supplier_buildings(spark, sf_dir), digits=2
@@ -206,11 +207,49 @@ def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "response_envelope",
-    "SELECT request_id, code IS NULL AS ok, code AS error_code FROM located",
+    """SELECT l.request_id, l.code IS NULL AS ok, l.code AS error_code, l.code AS response_code,
+              CASE WHEN l.code IS NULL THEN l.operation END AS operation,
+              CASE WHEN l.code IS NULL AND l.operation <> 'list_accounts' THEN l.account_id END AS account_id,
+              CASE WHEN l.code IS NULL AND l.operation = 'list_accounts'
+                   THEN (SELECT count(*) FROM accounts) END AS account_count,
+              CASE WHEN l.code IS NULL AND l.operation = 'account_details' THEN m.days END AS days,
+              CASE WHEN l.code IS NULL AND l.operation = 'account_details' THEN m.largest_day END AS largest_day,
+              CASE WHEN l.code IS NULL AND l.operation IN ('investigate_usage', 'explain_usage')
+                   THEN i.electricity_kwh END AS electricity_kwh,
+              CASE WHEN l.code IS NULL AND l.operation = 'explain_usage'
+                   THEN CASE WHEN i.previous_month IS NULL THEN 'no_comparison' ELSE 'fallback' END END AS source
+       FROM located l
+       LEFT JOIN (SELECT building_id, count(*) AS days, max(electricity_kwh) AS largest_day
+                  FROM daily_long GROUP BY building_id) m USING (building_id)
+       LEFT JOIN investigation_long i
+         ON l.building_id = i.building_id AND l.month = strftime(i.usage_month, '%Y-%m')""",
     "located",
+    "accounts",
 )
 def response_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses, read back from their text."""
     answers = requests.answer(
         b.account_requests(spark, sf_dir), snapshot(spark, sf_dir), listing_at="snapshots/accounts"
     )
-    return answers.select("request_id", "ok", "error_code")
+    usage = "array<struct<usage_date: date, electricity_kwh: double>>"
+    shape = (
+        "error struct<code: string>, result struct<operation: string, data struct<account_id: string,"
+        f" account: struct<account_id: string>, account_count: bigint, daily_usage: {usage},"
+        " comparison: struct<electricity_kwh: double>, explanation: struct<source: string>>>"
+    )
+    said = answers.select("request_id", "ok", "error_code", F.from_json("response_json", shape).alias("r"))
+    data = F.col("r.result.data")
+    days = data["daily_usage"]
+    return said.select(
+        "request_id",
+        "ok",
+        "error_code",
+        F.col("r.error.code").alias("response_code"),
+        F.col("r.result.operation").alias("operation"),
+        F.coalesce(data["account_id"], data["account"]["account_id"]).alias("account_id"),
+        data["account_count"].alias("account_count"),
+        F.when(days.isNotNull(), F.size(days).cast("bigint")).alias("days"),
+        F.array_max(F.transform(days, lambda d: d["electricity_kwh"])).alias("largest_day"),
+        data["comparison"]["electricity_kwh"].alias("electricity_kwh"),
+        data["explanation"]["source"].alias("source"),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.functions.measures import ENERGY_DIGITS, WEATHER_DIGITS
 from wattloom.operators import compare, conform, gates, publish, rollup
 from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
@@ -55,7 +56,7 @@ def gate_day_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = conform.enrich_hours(
         b.sparse_hours(spark, sf_dir), b.buildings(spark, sf_dir), b.weather_hourly(spark, sf_dir)
     )
-    return gates.days_complete(rollup.daily_rollup(enriched)).violations.select(
+    return gates.days_complete(rollup.daily_rollup(enriched, ENERGY_DIGITS, WEATHER_DIGITS)).violations.select(
         "building_id", "usage_date", "hours_present"
     )
 

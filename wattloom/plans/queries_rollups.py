@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattloom import schemas
+from wattloom.functions.measures import ENERGY_DIGITS, WEATHER_DIGITS
 from wattloom.operators import compare, conform, display, publish, rollup
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
@@ -49,7 +50,7 @@ def hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("daily_rollup", "SELECT * FROM daily", "daily")
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.daily_rollup(b.enriched_hours(spark, sf_dir))
+    return rollup.daily_rollup(b.enriched_hours(spark, sf_dir), ENERGY_DIGITS, WEATHER_DIGITS)
 
 
 @query("monthly_rollup", "SELECT * FROM monthly_long", "monthly_long")
@@ -123,8 +124,8 @@ def investigation(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def reading_to_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain in one plan: readings, hours, weather, days, months, comparison."""
-    days = rollup.daily_rollup(b.enriched_hours(spark, sf_dir))
-    return compare.investigation(rollup.monthly_rollup(days))
+    days = rollup.daily_rollup(b.enriched_hours(spark, sf_dir), ENERGY_DIGITS, WEATHER_DIGITS)
+    return compare.investigation(rollup.monthly_rollup(days, ENERGY_DIGITS, WEATHER_DIGITS))
 
 
 _PREFERRED = {1: "1996-05", 2: "1990-01", 5: "2000-12"}

@@ -74,3 +74,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             )
         root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged or outdated data, on any file system Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

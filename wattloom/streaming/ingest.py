@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom import schemas
-from wattloom.functions import periods
-from wattloom.functions.measures import ENERGY_DIGITS
-from wattloom.operators import conform
-from wattloom.operators.upsert import read_table, upsert_path
+from wattloom.functions.measures import exact_sum
+from wattloom.operators import conform, rollup
+from wattloom.operators.upsert import read_files, upsert_path
 from wattloom.sources import landing
 
 
@@ -62,31 +61,16 @@ def read_bronze(spark: SparkSession, path: str, declared: T.StructType) -> DataF
     return spark.read.schema(schema).option("mergeSchema", "true").parquet(path)
 
 
-_UNIT = 10**ENERGY_DIGITS
+def hourly_partials(readings: DataFrame, digits: int | None = None) -> DataFrame:
+    """Hour totals of one micro-batch."""
+    return rollup.hourly_rollup(readings, digits)
 
 
-def hourly_partials(readings: DataFrame) -> DataFrame:
-    """Hour totals of one micro-batch in integer units, so that they add exactly."""
-    return readings.groupBy(
-        "building_id", periods.hour_ending("source_timestamp").alias("source_hour_end")
-    ).agg(
-        F.count("*").alias("interval_count"),
-        *[
-            F.sum(F.rint(F.col(m) * F.lit(float(_UNIT))).cast("bigint")).alias(m)
-            for m in schemas.READING_MEASURES
-        ],
-        F.max("average_demand_kw").alias("peak_15min_average_kw"),
-    )
-
-
-def combine_partials(partials: DataFrame) -> DataFrame:
+def combine_partials(partials: DataFrame, digits: int | None = None) -> DataFrame:
     """Hourly rows from the totals of any number of micro-batches."""
     return partials.groupBy("building_id", "source_hour_end").agg(
         F.sum("interval_count").alias("interval_count"),
-        *[
-            (F.sum(m).cast("double") / F.lit(float(_UNIT))).alias(m)
-            for m in schemas.READING_MEASURES
-        ],
+        *[exact_sum(m, digits).alias(m) for m in schemas.READING_MEASURES],
         F.max("peak_15min_average_kw").alias("peak_15min_average_kw"),
     )
 
@@ -99,30 +83,31 @@ def upsert_stream(
     checkpoint: str,
     declared: T.StructType,
     max_files_per_trigger: int | None = None,
+    digits: int | None = None,
 ) -> None:
     """Keep the hourly table current from micro-batches of landing files.
 
     A batch writes its hour totals under its own batch id, replacing what an
     earlier attempt of the same batch left there. Hours it touched are then added
     up again over all batches and upserted, so replays change nothing and a late
-    reading corrects its hour.
+    reading corrects its hour. ``digits``: see ``measures.exact_sum``.
     """
     files = landing.stream_landing(spark, landing_path, declared, max_files_per_trigger)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        fresh = hourly_partials(conform.project_consumption(batch)).withColumn(
+        fresh = hourly_partials(conform.project_consumption(batch), digits).withColumn(
             "part_month", F.trunc(F.col("source_hour_end").cast("date"), "month")
         )
         path = f"{partials_path}/batch_id={batch_id}"
         fresh.write.mode("overwrite").partitionBy("part_month").parquet(path)
         batch_schema = fresh.schema
-        written = read_table(session, path, batch_schema)
+        written = read_files(session, path, batch_schema)
         touched_keys = written.select("building_id", "source_hour_end")
         months = [r[0] for r in written.select("part_month").distinct().collect()]
         if not months:
             return
-        everything = read_table(
+        everything = read_files(
             session,
             partials_path,
             T.StructType(batch_schema.fields + [T.StructField("batch_id", T.LongType())]),
@@ -130,7 +115,7 @@ def upsert_stream(
         affected = everything.filter(F.col("part_month").isin(months)).join(
             touched_keys, ["building_id", "source_hour_end"], "left_semi"
         )
-        hours = combine_partials(affected).withColumn(
+        hours = combine_partials(affected, digits).withColumn(
             "part_month", F.trunc(F.col("source_hour_end").cast("date"), "month")
         )
         upsert_path(hours, hourly_path, ["building_id", "source_hour_end"], "part_month")
