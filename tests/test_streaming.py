@@ -30,6 +30,21 @@ def test_second_run_adds_only_new_files(spark, tmp_path):
     assert rows[1].source_file_size > 0 and rows[1]._rescued_data is None
 
 
+def test_columns_nobody_declared(spark, tmp_path):
+    landing, bronze, state = (str(tmp_path / n) for n in ("landing", "bronze", "state"))
+    declared = schemas.readings_schema()
+    land(spark, landing, [(1, datetime(2018, 1, 1, 0, 15), 0.5)])
+    streaming.ingest(spark, landing, bronze, state, declared, new_columns=True)
+    land(spark, landing, [(2, datetime(2018, 1, 1, 0, 15), 0.7, "x")], day="2018-01-04", extra=", tariff string")
+    streaming.ingest(spark, landing, bronze, state, declared, new_columns=True)
+    rows = streaming.read_bronze(spark, bronze, declared, new_columns=True).orderBy("bldg_id").collect()
+    assert [(r.tariff, r._rescued_data) for r in rows] == [(None, None), ("x", None)]
+    kept = str(tmp_path / "kept")
+    streaming.ingest(spark, landing, kept, str(tmp_path / "state2"), declared)
+    rows = streaming.read_bronze(spark, kept, declared).orderBy("bldg_id").collect()
+    assert [r._rescued_data for r in rows] == [None, '{"tariff":"x"}']
+
+
 def test_text_readings_are_rescued_and_stop_the_flow(spark, tmp_path):
     landing, bronze, state = (str(tmp_path / n) for n in ("landing", "bronze", "state"))
     rows = [
@@ -39,10 +54,7 @@ def test_text_readings_are_rescued_and_stop_the_flow(spark, tmp_path):
     ]
     land(spark, landing, rows, "string", extra=", remark string")
     declared = schemas.readings_schema()
-    raw = schemas.T.StructType(
-        [schemas.T.StructField(f.name, schemas.T.StringType()) if f.name == TOTAL else f for f in declared.fields]
-    ).add("remark", "string")
-    streaming.ingest(spark, landing, bronze, state, declared, raw)
+    streaming.ingest(spark, landing, bronze, state, declared)
     got = streaming.read_bronze(spark, bronze, declared).orderBy("timestamp").collect()
     assert [r[TOTAL] for r in got] == [0.5, None, None]
     assert [r._rescued_data for r in got] == [

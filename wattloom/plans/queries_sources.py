@@ -112,10 +112,10 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (older, events.filter(F.col("ingest_date") >= since)):
         part.write.mode("append").partitionBy("ingest_date").parquet(files)
     bronze, checkpoint = scratch_dir(spark, "bronze"), scratch_dir(spark, "bronze-progress")
-    declared = schemas.readings_schema({"tariff": "string"})
-    streaming.ingest(spark, files, bronze, checkpoint, declared)
+    declared = schemas.readings_schema()
+    streaming.ingest(spark, files, bronze, checkpoint, declared, new_columns=True)
     return (
-        streaming.read_bronze(spark, bronze, declared)
+        streaming.read_bronze(spark, bronze, declared, new_columns=True)
         .groupBy("ingest_date")
         .agg(F.count("*").alias("rows"), F.count("tariff").alias("rows_with_tariff"))
     )
@@ -135,7 +135,14 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM (SELECT *, cast(json_extract_string(props, '$.k') AS INT) AS k FROM events)""",
 )
 def rescue_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rescued = landing.rescue(b.text_readings(spark, sf_dir), schemas.readings_schema())
+    files = scratch_dir(spark, "landing")
+    arrived = b.text_readings(spark, sf_dir)
+    if "ingest_date" not in arrived.columns:
+        arrived = arrived.withColumn("ingest_date", F.col("timestamp").cast("date"))
+    arrived.write.partitionBy("ingest_date").parquet(files)
+    bronze, declared = scratch_dir(spark, "bronze"), schemas.readings_schema()
+    streaming.ingest(spark, files, bronze, scratch_dir(spark, "bronze-progress"), declared)
+    rescued = streaming.read_bronze(spark, bronze, declared)
     return rescued.select(
         F.col("bldg_id").alias("building_id"),
         F.col("timestamp").alias("source_timestamp"),

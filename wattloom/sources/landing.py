@@ -64,6 +64,26 @@ def rescue(raw: DataFrame, declared: T.StructType, keep: list[str] | None = None
     return raw.select(*columns, *[F.col(quoted(c)) for c in keep], rescued.alias(RESCUED))
 
 
+def physical_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
+    """Columns and types that the landing files have, in declared order, then the rest.
+
+    Spark merges the footers in a distributed job. Declared columns that no file has yet
+    keep their declared type. Files that store one column in types without a common one
+    cannot be read together; that raises.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    present = {f.name: f for f in found.fields}
+    known = [present.get(f.name, f) for f in declared.fields]
+    names = set(declared.fieldNames())
+    return T.StructType(known + [f for f in found.fields if f.name not in names])
+
+
+def with_new_columns(declared: T.StructType, physical: T.StructType) -> T.StructType:
+    """The declared schema and the columns it lacks."""
+    names = set(declared.fieldNames())
+    return T.StructType(declared.fields + [f for f in physical.fields if f.name not in names])
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Batch read of landing files under a declared schema.
 

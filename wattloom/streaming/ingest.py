@@ -21,15 +21,20 @@ def ingest(
     declared: T.StructType,
     raw: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
+    new_columns: bool = False,
 ) -> None:
     """Append the landing files not seen before to the raw layer, then stop.
 
     Progress lives in ``checkpoint``; a second run over the same files adds
-    nothing. ``raw`` is the physical schema of the files where it differs from the
-    declared one (numbers delivered as text, for example): values that do not fit
-    are kept in ``_rescued_data``.
+    nothing. ``raw`` is the physical schema of the files, by default that of their
+    footers. Values that do not fit the declared types are kept in ``_rescued_data``;
+    columns that are not declared become columns of the raw layer (``new_columns``) or
+    are kept in ``_rescued_data`` too.
     """
-    files = landing.stream_landing(spark, landing_path, raw or declared, max_files_per_trigger)
+    raw = raw or landing.physical_schema(spark, landing_path, declared)
+    if new_columns:
+        declared = landing.with_new_columns(declared, raw)
+    files = landing.stream_landing(spark, landing_path, raw, max_files_per_trigger)
     traced = landing.with_provenance(files)
     bronze = landing.rescue(traced, declared, keep=list(landing.PROVENANCE))
     query = (
@@ -44,10 +49,11 @@ def ingest(
     query.awaitTermination()
 
 
-def read_bronze(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
-    """The raw layer with the declared columns, provenance and rescued values.
-
-    ``mergeSchema`` lets rows written before a column existed read null.
+def read_bronze(
+    spark: SparkSession, path: str, declared: T.StructType, new_columns: bool = False
+) -> DataFrame:
+    """The raw layer with the declared columns, provenance and rescued values, and with
+    ``new_columns`` those that arrived later. Rows from before a column read null.
     """
     extra = T.StructType(
         [
@@ -58,7 +64,10 @@ def read_bronze(spark: SparkSession, path: str, declared: T.StructType) -> DataF
         ]
     )
     schema = T.StructType(declared.fields + extra.fields)
-    return spark.read.schema(schema).option("mergeSchema", "true").parquet(path)
+    if new_columns:
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema
+        schema = landing.with_new_columns(schema, found)
+    return spark.read.schema(schema).parquet(path)
 
 
 def hourly_partials(readings: DataFrame, digits: int | None = None) -> DataFrame:
