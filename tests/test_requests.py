@@ -21,20 +21,29 @@ GOOD = [
     {"operation": "explain_usage", "account_id": "DEMO-2", "month": "2018-02"},
 ]
 BAD = {
-    "not-an-object": "MALFORMED_REQUEST",
-    '"text"': "MALFORMED_REQUEST",
-    "[1]": "MALFORMED_REQUEST",
-    "null": "MALFORMED_REQUEST",
-    "{}": "UNSUPPORTED_OPERATION",
-    '{"operation":"bogus_op"}': "UNSUPPORTED_OPERATION",
-    '{"operation":5}': "UNSUPPORTED_OPERATION",
+    # Each rule at its border. The document must be an object ...
+    '{"operation":': "MALFORMED_REQUEST",
+    '"list_accounts"': "MALFORMED_REQUEST",
+    '[{"operation":"list_accounts"}]': "MALFORMED_REQUEST",
+    "false": "MALFORMED_REQUEST",
+    "": "MALFORMED_REQUEST",
+    # ... with a known operation, letter for letter ...
+    '{"operation":null}': "UNSUPPORTED_OPERATION",
+    '{"operation":"List_accounts"}': "UNSUPPORTED_OPERATION",
+    '{"operation":"list_accounts "}': "UNSUPPORTED_OPERATION",
+    '{"operation":["list_accounts"]}': "UNSUPPORTED_OPERATION",
+    # ... an account that is a text and not blank ...
     '{"operation":"account_details"}': "MISSING_FIELD",
-    '{"operation":"account_details","account_id":" "}': "MISSING_FIELD",
-    '{"operation":"account_details","account_id":1}': "MISSING_FIELD",
-    '{"operation":"investigate_usage","account_id":"DEMO-1","month":"18-5"}': "INVALID_MONTH_FORMAT",
+    '{"operation":"account_details","account_id":""}': "MISSING_FIELD",
+    '{"operation":"account_details","account_id":"\\t"}': "MISSING_FIELD",
+    '{"operation":"account_details","account_id":{"id":"DEMO-1"}}': "MISSING_FIELD",
+    # ... and a month between 01 and 12 of a four-digit year.
+    '{"operation":"investigate_usage","account_id":"DEMO-1","month":"2018-00"}': "INVALID_MONTH_FORMAT",
     '{"operation":"investigate_usage","account_id":"DEMO-1","month":"2018-13"}': "INVALID_MONTH_FORMAT",
-    '{"operation":"investigate_usage","account_id":"DEMO-1","month":"2018-05\\n"}': "INVALID_MONTH_FORMAT",
-    '{"operation":"investigate_usage","account_id":"DEMO-1"}': "INVALID_MONTH_FORMAT",
+    '{"operation":"investigate_usage","account_id":"DEMO-1","month":"201-05"}': "INVALID_MONTH_FORMAT",
+    '{"operation":"investigate_usage","account_id":"DEMO-1","month":"2018-05-01"}': "INVALID_MONTH_FORMAT",
+    '{"operation":"explain_usage","account_id":"DEMO-1","month":201805}': "INVALID_MONTH_FORMAT",
+    '{"operation":"explain_usage","account_id":"DEMO-1"}': "INVALID_MONTH_FORMAT",
     '{"operation":"account_details","account_id":"DEMO-77"}': "INVALID_REQUEST",
     '{"operation":"explain_usage","account_id":"DEMO-1","month":"2019-01"}': "INVALID_REQUEST",
     '{"operation":"explain_usage","account_id":"DEMO-1","month":"0000-01"}': "INVALID_REQUEST",

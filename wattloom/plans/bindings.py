@@ -387,13 +387,13 @@ CASE
   WHEN o_orderkey % 8 IN (5, 6) THEN
     concat('{{"operation":"explain_usage","account_id":"DEMO-', o_custkey {div} 12,
            '","month":"', {month}, '"}}')
-  WHEN o_orderkey % 56 = 7 THEN '[1]'
-  WHEN o_orderkey % 56 = 15 THEN 'not json'
-  WHEN o_orderkey % 56 = 23 THEN '{{"operation":"bogus_op"}}'
+  WHEN o_orderkey % 56 = 7 THEN '"list_accounts"'
+  WHEN o_orderkey % 56 = 15 THEN '{{"operation":'
+  WHEN o_orderkey % 56 = 23 THEN '{{"operation":"List_accounts"}}'
   WHEN o_orderkey % 56 = 31 THEN '{{"operation":"account_details"}}'
-  WHEN o_orderkey % 56 = 39 THEN '{{"operation":"account_details","account_id":"  "}}'
-  WHEN o_orderkey % 56 = 47 THEN '{{"operation":"investigate_usage","account_id":7,"month":"1996-01"}}'
-  ELSE '{{"operation":"investigate_usage","account_id":"DEMO-1","month":"18-5"}}'
+  WHEN o_orderkey % 56 = 39 THEN '{{"operation":"account_details","account_id":""}}'
+  WHEN o_orderkey % 56 = 47 THEN '{{"operation":"investigate_usage","account_id":true,"month":"1996-01"}}'
+  ELSE '{{"operation":"investigate_usage","account_id":"DEMO-1","month":"1996-00"}}'
 END
 """
 
