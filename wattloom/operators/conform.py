@@ -145,14 +145,6 @@ def unmatched_weather(located_hours: DataFrame, weather: DataFrame) -> DataFrame
     return located_hours.join(known, ["county_code", "source_hour_end"], "left_anti")
 
 
-def account_context(accounts: DataFrame, buildings: DataFrame) -> DataFrame:
-    """Attach weather city and reference consumption to account rows."""
-    context = buildings.select(
-        "building_id", "weather_city", "reference_annual_electricity_kwh"
-    )
-    return accounts.join(context, "building_id", "left")
-
-
 def lookup_accounts(requests: DataFrame, accounts: DataFrame) -> DataFrame:
     """Attach the building of each request's account; unknown accounts are flagged.
 

@@ -33,26 +33,19 @@ def default_period(
     """Month to open for each building.
 
     The preferred month where the building has it, else its second month (the
-    first with a predecessor), else its only one. The two earliest months come
-    from mergeable minima, not from a sort of the building's rows.
+    first with a predecessor), else its only one. The set of a building's months is
+    gathered in one aggregation; the calendar bounds it.
     """
-    months = df.select("building_id", periods.month_key(period).alias("month")).distinct()
-    wanted = F.lit(None).cast("string")
-    for building, month in (preferred or {}).items():
-        wanted = F.when(F.col("building_id") == building, F.lit(month)).otherwise(wanted)
-    first = months.groupBy("building_id").agg(
-        F.min("month").alias("first_month"),
-        F.max(F.when(F.col("month") == wanted, F.col("month"))).alias("preferred_month"),
+    months = df.groupBy("building_id").agg(
+        F.array_sort(F.collect_set(periods.month_key(period))).alias("months")
     )
-    later = (
-        months.join(first.select("building_id", "first_month"), "building_id")
-        .filter(F.col("month") > F.col("first_month"))
-        .groupBy("building_id")
-        .agg(F.min("month").alias("second_month"))
+    wishes = df.sparkSession.createDataFrame(
+        list((preferred or {}).items()), "building_id bigint, wanted string"
     )
-    return first.join(later, "building_id", "left").select(
+    wished = F.when(F.array_contains("months", F.col("wanted")), F.col("wanted"))
+    return months.join(wishes, "building_id", "left").select(
         "building_id",
-        F.coalesce("preferred_month", "second_month", "first_month").alias("default_month"),
+        F.coalesce(wished, F.get("months", F.lit(1)), F.get("months", F.lit(0))).alias("default_month"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.functions.measures import DEGREE_DAY_BASE_F, ENERGY_DIGITS
+from wattloom.functions.measures import DEGREE_DAY_BASE_F
 from wattloom.operators import conform, gates, rollup
 from wattloom.session import delete_path
 
@@ -44,9 +44,13 @@ def with_account_id(df: DataFrame) -> DataFrame:
 
 
 def account_summary(
-    days: DataFrame, buildings: DataFrame, digits: int | None = None
+    days: DataFrame,
+    buildings: DataFrame,
+    digits: int | None = None,
+    context: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per building with any days: attributes, totals, provenance text."""
+    """One row per building with any days: attributes, totals, provenance text, and the
+    ``context`` columns of the building."""
     joined = buildings.join(rollup.account_metrics(days, digits), "building_id")
     return joined.select(
         "building_id",
@@ -64,6 +68,7 @@ def account_summary(
         "average_daily_kwh",
         "peak_15min_average_kw",
         F.lit(DATA_DESCRIPTION).alias("data_description"),
+        *context,
     )
 
 
@@ -71,7 +76,8 @@ def published_accounts(
     days: DataFrame, buildings: DataFrame, digits: int | None = None
 ) -> DataFrame:
     """Account rows as published: summary plus weather city and reference use."""
-    return conform.account_context(account_summary(days, buildings, digits), buildings)
+    context = ("weather_city", "reference_annual_electricity_kwh")
+    return account_summary(days, buildings, digits, context)
 
 
 def ordered_listing(df: DataFrame, key: str) -> DataFrame:
