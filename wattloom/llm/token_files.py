@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.llm import bpe, common, pack
+from wattloom.llm import common, pack
 from wattloom.session import scratch_dir
 
 MAGIC = b"TOKRANK1"

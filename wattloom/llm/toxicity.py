@@ -164,12 +164,13 @@ def _cue_counts(sample: DataFrame) -> DataFrame:
 def _pick_cues(sample: DataFrame, toxic: int, clean: int) -> Model:
     """The cues most typical of toxic texts, dealt out to voters by turns."""
     rate = lambda c, n: (F.col(c) + 0.5) / F.lit(n + 1.0)
-    strong = (
+    strong = common.staged(
         _cue_counts(sample)
         .where(F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic))
         .withColumn("odds", rate("toxic", toxic) / rate("clean", clean))
         .where(F.col("odds") >= LEAST_ODDS)
-        .withColumn("gain", F.col("toxic") * F.log("odds"))
+        .withColumn("gain", F.col("toxic") * F.log("odds")),
+        "cues",
     )
     model = Model()
     voter = []
