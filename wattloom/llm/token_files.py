@@ -55,9 +55,12 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> n
     """Ranks of all documents of a file; ``counts``: ranks of each document, whose
     control bytes start at a byte of their own."""
     lengths = LENGTHS[control].reshape(-1)
-    width = -(-counts // 4) * 4
-    ends = np.cumsum(width)
-    real = np.arange(len(lengths)) - np.repeat(ends - width, width) < np.repeat(counts, width)
+    # The last control byte of a document may have up to three places to spare.
+    spare = -counts % 4
+    ends = np.cumsum(counts + spare)
+    first = np.cumsum(spare) - spare
+    real = np.ones(len(lengths), bool)
+    real[np.repeat(ends - spare - first, spare) + np.arange(spare.sum())] = False
     lengths = lengths[real]
     out = np.zeros((len(lengths), 4), np.uint8)
     out[_PLACES < lengths[:, None]] = data
@@ -70,7 +73,10 @@ def _ranking(tokens: DataFrame, width: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            here = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), f"<u{width}"))
+            column = batch.column(0).cast(pa.binary())
+            ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            here = np.bincount(np.ascontiguousarray(data).view(f"<u{width}"))
             if len(here) > len(counts):
                 counts, here = here, counts
             counts[: len(here)] += here
