@@ -229,6 +229,23 @@ def test_layered_flow_counts(spark, built, bronze):
     fails(gates.layers_complete(counts, arrived, expected | {"gold_daily": 3}), "layer counts")
 
 
+def test_whole_flow_stops_at_a_wrong_layer(spark, bronze, metadata, weather, tmp_path):
+    tables = medallion.Tables(str(tmp_path / "flow"))
+    traced = bronze.withColumns(
+        {"source_file_name": F.lit("a"), "source_file_path": F.lit("/a"), "source_file_size": F.lit(1)}
+    )
+    expected = dict.fromkeys(gates.YEAR_EXPECTATION, 1) | {
+        "bronze": 192, "silver_15min": 192, "silver_hourly": 48, "gold_daily": 2,
+    }
+    inputs = (tables, traced, metadata, weather_locations(spark), weather)
+    with pytest.raises(gates.GateFailed, match="layer counts"):
+        medallion.refresh(*inputs, per_building=expected | {"gold_daily": 3})
+    assert not (tmp_path / "flow" / "snapshots").exists()
+    published = medallion.refresh(*inputs, per_building=expected)
+    assert publish.read_metadata(spark, tables.path("snapshots")).first().snapshot_id == published
+    assert {r.status for r in tables.read(spark, "ingest_audit").collect()} == {"SUCCESS"}
+
+
 def test_later_months_refresh_only_themselves(spark, built, bronze, weather):
     # The last hour of January is stamped on 1 February.
     newer = bronze.unionByName(readings(spark, 2, start=datetime(2018, 2, 1)))
