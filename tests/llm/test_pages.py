@@ -47,6 +47,23 @@ def test_page_without_an_article_element(tree):
     assert html_blocks.extract(menu + body + menu, tree) == "\n\n".join([("plain words " * 30).strip()] * 3)
 
 
+def test_captions_and_bylines_of_an_article(tree):
+    page = "<article><address>By Ann</address><p>Text.</p><figure><img src=x><figcaption>A bridge</figcaption></figure></article>"
+    assert html_blocks.extract(page, tree) == "By Ann\n\nText.\n\nA bridge"
+
+
+def test_article_in_a_wrapper_with_a_boilerplate_name(tree):
+    for wrapper in ('div class="layout has-sidebar"', "section id=with-header", 'div class="no-comments"', 'div class="login-page"'):
+        for tag in ("article", "main"):
+            end = wrapper.split()[0]
+            page = f"<{wrapper}><p>Outside</p><{tag}><h1>Title</h1><p>Text.</p><div class=ad>Buy</div></{tag}><p>After</p></{end}>"
+            assert html_blocks.extract(page, tree) == "Title\n\nText."
+    assert html_blocks.extract("<p>One.</p><aside class=sidebar><article>Two</article></aside><article>Three</article>", tree) == "Three"
+    thread = "<div id=comments><article class=comment>No<article class=comment>Yes</article></article></div>"
+    assert html_blocks.extract(f"<article>Text.</article>{thread}", tree) == "Text."
+    assert html_blocks.extract("<article>Text.<section class=related><article>More</article></section></article>", tree) == "Text."
+
+
 def test_rows_of_a_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "<article>t", "y")]
     found = html_blocks.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string"), ["page_id", "url"])

@@ -2,8 +2,10 @@
 
 A page is cut into blocks of text at every tag that is not inline. A block is described
 by its words and link density, those of the blocks before and after it, and where it
-stands (article, marked boilerplate, heading, list). A small labelled table of blocks
-trains a decision tree, which keeps or drops each block of every page.
+stands (article, marked boilerplate, heading, list). A mark by tag or role holds for all
+inside the element, one by a class or id name up to an article or main element inside it.
+A small labelled table of blocks trains a decision tree, which keeps or drops each block
+of every page.
 
 Rows: a null or empty page has empty text; so has a page without a kept block. Broken
 markup is read as far as it goes: an unfinished tag at the end is dropped, stray end
@@ -33,7 +35,7 @@ SKIPPED = frozenset(
     "script style noscript template textarea title svg math iframe object select option button canvas audio video".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE_TAGS = frozenset("nav footer aside header form dialog menu fieldset figcaption address".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside header form dialog menu fieldset".split())
 MAIN_TAGS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
@@ -44,6 +46,8 @@ BOILERPLATE_NAMES = frozenset(
     " pagination popup privacy promo promoted related reply replies respond search share sharing sidebar signup skip"
     " social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
+#: Those that mark single articles beside the main one, not a whole layout.
+BESIDE_NAMES = frozenset("comment comments promo promoted related reply replies respond sponsored".split())
 MAIN_NAMES = frozenset("article content entry main post story body".split())
 
 _ATTRIBUTES = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
@@ -82,9 +86,9 @@ class Block:
         return self.linked / self.words if self.words else 0.0
 
 
-def _standing(tag: str, attributes: str) -> tuple[bool, bool, bool]:
-    """(main, boilerplate, hidden) that an opening tag brings about."""
-    main, boilerplate, hidden = tag in MAIN_TAGS, tag in BOILERPLATE_TAGS, False
+def _standing(tag: str, attributes: str) -> tuple[bool, bool, frozenset[str], bool]:
+    """(main, boilerplate, names of boilerplate, hidden) that an opening tag brings about."""
+    main, boilerplate, names, hidden = tag in MAIN_TAGS, tag in BOILERPLATE_TAGS, frozenset(), False
     if attributes:
         for name, *values in _MARKED.findall(attributes):
             name, value = name.lower(), "".join(values)
@@ -93,7 +97,7 @@ def _standing(tag: str, attributes: str) -> tuple[bool, bool, bool]:
                 main |= value.lower() in ("main", "article")
             elif name in ("class", "id"):
                 parts = set(_PARTS.findall(_CAMEL.sub(" ", value).lower()))
-                boilerplate |= not parts.isdisjoint(BOILERPLATE_NAMES) and tag not in MAIN_TAGS and tag != "body"
+                names |= BOILERPLATE_NAMES & parts if tag != "body" else names
                 main |= not parts.isdisjoint(MAIN_NAMES) and tag not in INLINE
             elif name == "style":
                 plain = value.replace(" ", "").lower()
@@ -102,7 +106,7 @@ def _standing(tag: str, attributes: str) -> tuple[bool, bool, bool]:
                 hidden = True
             elif name == "aria-hidden":
                 hidden |= value.lower() == "true"
-    return main and not boilerplate, boilerplate, hidden
+    return main, boilerplate, names, hidden
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -110,8 +114,9 @@ def blocks_of(page: str | None) -> list[Block]:
     page = page or ""
     blocks: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    # Open elements: (tag, main, boilerplate, hidden), each with what holds inside it.
-    opened: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    # Open elements: (tag, main, boilerplate by tag or role, names of boilerplate, hidden),
+    # each with what holds inside it.
+    opened: list[tuple[str, bool, bool, frozenset[str], bool]] = [("", False, False, frozenset(), False)]
     links = 0
     heading = item = False
 
@@ -122,15 +127,15 @@ def blocks_of(page: str | None) -> list[Block]:
         if text:
             linked = sum(len(p.split()) for p, inside in parts if inside)
             words = len(text.split(" "))
-            _, main, boilerplate, _ = opened[-1]
-            blocks.append(Block(text, words, min(linked, words), main, boilerplate, heading, item))
+            _, main, boilerplate, names, _ = opened[-1]
+            blocks.append(Block(text, words, min(linked, words), main, boilerplate or bool(names), heading, item))
         parts.clear()
 
     at, last = 0, page.rfind(">")
     while at < len(page):
         begin = page.find("<", at)
         text = page[at:begin] if begin >= 0 else page[at:]
-        if text and not opened[-1][3]:
+        if text and not opened[-1][4]:
             parts.append((references.unescape(text) if "&" in text else text, links > 0))
         if begin < 0:
             break
@@ -144,7 +149,7 @@ def blocks_of(page: str | None) -> list[Block]:
                 end = page.find(">", begin)
                 at = len(page) if end < 0 else end + 1
             else:
-                if not opened[-1][3]:
+                if not opened[-1][4]:
                     parts.append(("<", links > 0))
                 at = begin + 1
             continue
@@ -182,9 +187,17 @@ def blocks_of(page: str | None) -> list[Block]:
                     del opened[depth:]
                     break
         elif tag not in VOID and tag not in HEADINGS and tag not in ("p", "li", "dt", "dd", "html", "head"):
-            main, boilerplate, hidden = _standing(tag, attributes)
-            _, in_main, in_boilerplate, in_hidden = opened[-1]
-            opened.append((tag, (in_main or main) and not boilerplate, in_boilerplate or boilerplate, in_hidden or hidden))
+            main, boilerplate, names, hidden = _standing(tag, attributes)
+            _, in_main, in_boilerplate, in_names, in_hidden = opened[-1]
+            if tag in MAIN_TAGS:
+                # Ends what outer names mark, as these may be of the layout, except for
+                # articles beside the main one (comments, related ones).
+                beside = tag == "article" and not in_names.isdisjoint(BESIDE_NAMES)
+                if not (beside and (not names.isdisjoint(BESIDE_NAMES) or any(o[0] == "article" for o in opened))):
+                    in_names = frozenset()
+                names = frozenset()
+            main = (in_main or main) and not boilerplate and not names
+            opened.append((tag, main, in_boilerplate or boilerplate, in_names | names, in_hidden or hidden))
     flush()
     return blocks
 
