@@ -64,6 +64,31 @@ def test_article_in_a_wrapper_with_a_boilerplate_name(tree):
     assert html_blocks.extract("<article>Text.<section class=related><article>More</article></section></article>", tree) == "Text."
 
 
+def test_hidden_elements_without_an_end_tag(tree):
+    article = "<article><p>One.</p>{}<p>Two.</p></article>"
+    search = "<form><input list=x><datalist id=x><option value=a>a<option value=b>b</datalist></form>"
+    assert html_blocks.extract(search + article.format(""), tree) == "One.\n\nTwo."
+    for open_ in ("<button>Share", "<object data=x>", "<svg><path d=x>", "<select><option>a<option>b", "<video src=x>", "<iframe src=x>"):
+        assert html_blocks.extract(open_ + article.format(""), tree) == "One.\n\nTwo."
+        assert html_blocks.extract(article.format(open_), tree) == "One.\n\nTwo."
+        assert html_blocks.extract(article.format(f"<div>{open_}</div>between"), tree) == "One.\n\nbetween\n\nTwo."
+    assert html_blocks.extract(article.format("<!-- </button> --><button>A<p>x</p><button><p>B</p></button>"), tree) == "One.\n\nx\n\nTwo."
+
+
+def test_hidden_elements_with_an_end_tag(tree):
+    for hidden in (
+        "<button><div>Icon</div>Share</button>",
+        "<select><optgroup label=x><option>a<option>b</optgroup></select>",
+        "<object><object><p>none</p></object><p>none</p></object>",
+        "<svg><svg/><title>t</title><foreignObject><p>drawn</p></foreignObject></svg>",
+        "<svg class=x /><math/>",
+        "<noscript><ul><li>on</ul></noscript>",
+    ):
+        page = f"<article><h2>Title {hidden} rest</h2><ul><li>a {hidden} b</ul></article>"
+        assert html_blocks.extract(page, tree) == "Title\n\nrest\n\na\n\nb"
+        assert [(b.heading, b.item) for b in html_blocks.blocks_of(page)] == [(True, False)] * 2 + [(False, True)] * 2
+
+
 def test_rows_of_a_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "<article>t", "y")]
     found = html_blocks.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string"), ["page_id", "url"])

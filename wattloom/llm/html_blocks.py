@@ -9,8 +9,11 @@ of every page.
 
 Rows: a null or empty page has empty text; so has a page without a kept block. Broken
 markup is read as far as it goes: an unfinished tag at the end is dropped, stray end
-tags are ignored, an unclosed comment, script or style reaches to the end. Repeated
-pages keep their rows. Other columns are ignored.
+tags are ignored, an unclosed comment, script, style, template, textarea or title
+reaches to the end. Buttons, options, drawings and embedded objects are hidden up to
+their end tag or that of an element around them; one without an end tag of its own only
+up to the next tag that is not inline. Repeated pages keep their rows. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +34,12 @@ INLINE = frozenset(
     " strike strong sub sup time tt u var wbr".split()
 )
 SPACING = frozenset(["br", "wbr"])
-SKIPPED = frozenset(
-    "script style noscript template textarea title svg math iframe object select option button canvas audio video".split()
+SKIPPED = frozenset("script style template textarea title".split())
+HIDING = frozenset("noscript svg math iframe object select option button canvas audio video".split())
+#: Tags that end a hiding element which has no end tag.
+FLOW = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2"
+    " h3 h4 h5 h6 header hr html li main menu nav ol p pre section table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside header form dialog menu fieldset".split())
@@ -50,6 +57,11 @@ BOILERPLATE_NAMES = frozenset(
 BESIDE_NAMES = frozenset("comment comments promo promoted related reply replies respond sponsored".split())
 MAIN_NAMES = frozenset("article content entry main post story body".split())
 
+_HIDING_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|textarea|title)(?=[\s/>]).*?(?:</\1\b|\Z)"
+    r"|<(/?)(noscript|svg|math|iframe|object|select|button|canvas|audio|video)(?=[\s/>])([^>]*)",
+    re.I | re.S,
+)
 _ATTRIBUTES = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
 _NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
 _MARKED = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -109,14 +121,31 @@ def _standing(tag: str, attributes: str) -> tuple[bool, bool, frozenset[str], bo
     return main, boilerplate, names, hidden
 
 
+def _ended(page: str) -> set[int]:
+    """Where those hiding elements begin that have an end tag; option needs none."""
+    ended: set[int] = set()
+    begun: dict[str, list[int]] = {}
+    for found in _HIDING_TAG.finditer(page):
+        tag = (found[3] or "").lower()
+        if not tag:
+            continue
+        if found[2]:
+            if begun.get(tag):
+                ended.add(begun[tag].pop())
+        elif not found[4].endswith("/"):
+            begun.setdefault(tag, []).append(found.start())
+    return ended
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The text blocks of a page in order, empty ones left out."""
     page = page or ""
     blocks: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    # Open elements: (tag, main, boilerplate by tag or role, names of boilerplate, hidden),
-    # each with what holds inside it.
-    opened: list[tuple[str, bool, bool, frozenset[str], bool]] = [("", False, False, frozenset(), False)]
+    # Open elements: (tag, main, boilerplate by tag or role, names of boilerplate, hidden,
+    # depth of the hiding element without an end tag), each with what holds inside it.
+    opened: list[tuple[str, bool, bool, frozenset[str], bool, int]] = [("", False, False, frozenset(), False, 0)]
+    ended: set[int] | None = None
     links = 0
     heading = item = False
 
@@ -127,7 +156,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if text:
             linked = sum(len(p.split()) for p, inside in parts if inside)
             words = len(text.split(" "))
-            _, main, boilerplate, names, _ = opened[-1]
+            _, main, boilerplate, names, *_ = opened[-1]
             blocks.append(Block(text, words, min(linked, words), main, boilerplate or bool(names), heading, item))
         parts.clear()
 
@@ -179,16 +208,27 @@ def blocks_of(page: str | None) -> list[Block]:
                 gt = page.find(">", close.end()) if close else -1
                 at = len(page) if gt < 0 else gt + 1
             continue
-        heading = tag in HEADINGS and not end_tag
-        item = tag in ("li", "dt", "dd") and not end_tag
+        if tag in FLOW:
+            while opened[-1][5]:
+                del opened[opened[-1][5] :]
+        elif tag in ("option", "optgroup") and opened[opened[-1][5]][0] == "option":
+            del opened[opened[-1][5] :]
+        if tag not in HIDING and not opened[-1][4]:
+            heading = tag in HEADINGS and not end_tag
+            item = tag in ("li", "dt", "dd") and not end_tag
         if end_tag:
             for depth in range(len(opened) - 1, 0, -1):
                 if opened[depth][0] == tag:
                     del opened[depth:]
                     break
+        elif tag in HIDING:
+            if not attributes.endswith("/"):
+                if ended is None:
+                    ended = _ended(page)
+                opened.append((tag, *opened[-1][1:4], True, 0 if begin in ended else len(opened)))
         elif tag not in VOID and tag not in HEADINGS and tag not in ("p", "li", "dt", "dd", "html", "head"):
             main, boilerplate, names, hidden = _standing(tag, attributes)
-            _, in_main, in_boilerplate, in_names, in_hidden = opened[-1]
+            _, in_main, in_boilerplate, in_names, in_hidden, unended = opened[-1]
             if tag in MAIN_TAGS:
                 # Ends what outer names mark, as these may be of the layout, except for
                 # articles beside the main one (comments, related ones).
@@ -197,7 +237,7 @@ def blocks_of(page: str | None) -> list[Block]:
                     in_names = frozenset()
                 names = frozenset()
             main = (in_main or main) and not boilerplate and not names
-            opened.append((tag, main, in_boilerplate or boilerplate, in_names | names, in_hidden or hidden))
+            opened.append((tag, main, in_boilerplate or boilerplate, in_names | names, in_hidden or hidden, unended))
     flush()
     return blocks
 
