@@ -1,4 +1,6 @@
 import gzip
+import random
+import zlib
 
 import brute
 import pytest
@@ -132,6 +134,39 @@ def test_salvage_of_plain_records():
     assert ids == [0, 1, 2] and len(gaps) == 1
 
 
+def test_salvage_inside_a_member():
+    records = [warc.page_record(k, "http://x/", b"text %d " % k * 50, None) for k in range(3)]
+    for wrong in (
+        records[1].replace(b"text 1", b"TEXT 1", 1),
+        records[1].replace(b"Content-Length: ", b"Content-Length: 9", 1),
+        records[1].replace(b"WARC/1.1", b"WARC/9.9", 1),
+        records[1][:-20],
+    ):
+        one, after = warc.member(records[0] + wrong + records[2]), archive((3, b"after", None))
+        ids, gaps = parsed(one + after)
+        assert ids == [0, 2, 3] and [g[:2] for g in gaps] == [(0, len(one))]
+
+
+def test_salvage_of_a_damaged_stream():
+    rng = random.Random(1)
+    records = [warc.page_record(k, "http://x/", rng.randbytes(9_000).hex().encode(), None) for k in range(6)]
+    after = warc.member(warc.page_record(9, "http://x/", b"after", None))
+    one = warc.member(b"".join(records))
+    # Cut off at the end of the archive, and before another member.
+    part = len(warc.member(b"".join(records[:4]))) + 2_000
+    assert parsed(one[:part]) == ([0, 1, 2, 3], [(0, part, "member is cut off")])
+    ids, gaps = parsed(one[:part] + after)
+    assert ids == [0, 1, 2, 3, 9] and [g[:2] for g in gaps] == [(0, part)]
+    # The checksum is wrong, the data are whole.
+    wrong = one[:-8] + bytes(4) + one[-4:]
+    ids, gaps = parsed(wrong + after)
+    assert ids == [0, 1, 2, 3, 4, 5, 9] and [g[:2] for g in gaps] == [(0, len(one))] and "check" in gaps[0][2]
+    # Stored without compression, records show in the bytes of the member, too.
+    packer = zlib.compressobj(0, zlib.DEFLATED, 31)
+    stored = packer.compress(b"".join(records[:3])) + packer.flush()
+    assert parsed(stored[:-30] + after)[0] == [0, 1, 9]
+
+
 def test_archives_are_gzip(spark, tmp_path):
     path = str(tmp_path / "warc")
     warc.write(spark.createDataFrame([(1, "http://a/b c\r\n", BIG)], "page_id long, url string, html string"), path)

@@ -6,7 +6,9 @@ least ``REVISIT_BYTES``: of those the page with the largest id is the response.
 Reading: each member or record is checked (gzip checksum, version line, headers, length,
 closing line feeds, payload digest). After a failed check the reader searches for the
 next member that unpacks or the next version line, goes on there, and logs the skipped
-bytes as quarantined.
+bytes as quarantined. That holds inside a member, too, and for what can be unpacked of
+one that is cut off or fails its checksum: the bytes of the member are quarantined, and
+records in it that pass their own checks are read, with stop = start as a sign.
 
 Rows: a null html is an empty payload; a null id or url is left out of the record and
 read back as null. Pages with a null id never become the response of others. Repeated
@@ -115,20 +117,33 @@ class Damaged(ValueError):
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 
 
-def _unpack(content: bytes, at: int) -> tuple[bytes, int]:
-    """The data of the gzip member at a position, and where it ends."""
-    unpacker = zlib.decompressobj(31)
+def _unpack(content: bytes, at: int) -> tuple[bytes, int, Damaged | None]:
+    """The data of the gzip member at a position, and where it ends; of a damaged one what
+    can be unpacked, where that ends, and the error."""
+    begin, unpacker = at, zlib.decompressobj(31)
     parts = []
     while not unpacker.eof and at < len(content):
         chunk = content[at : at + _CHUNK_BYTES]
         try:
             parts.append(unpacker.decompress(chunk))
         except zlib.error as error:
-            raise Damaged(f"member does not unpack: {error}") from None
+            return b"".join([*parts, *_before_error(content, begin, at)]), at + len(chunk), Damaged(f"member does not unpack: {error}")
         at += len(chunk)
     if not unpacker.eof:
-        raise Damaged("member is cut off")
-    return b"".join(parts), at - len(unpacker.unused_data)
+        return b"".join(parts), at, Damaged("member is cut off")
+    return b"".join(parts), at - len(unpacker.unused_data), None
+
+
+def _before_error(content: bytes, begin: int, at: int) -> Iterator[bytes]:
+    """The data of the member at ``begin`` from ``at`` to the error in the next chunk."""
+    unpacker = zlib.decompressobj(31)
+    for start in range(begin, at, _CHUNK_BYTES):
+        unpacker.decompress(content[start : start + _CHUNK_BYTES])
+    try:
+        for place in range(at, at + _CHUNK_BYTES):
+            yield unpacker.decompress(content[place : place + 1])
+    except zlib.error:
+        return
 
 
 def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
@@ -173,29 +188,53 @@ def _next_start(content: bytes, at: int) -> int:
     return min(found, default=len(content))
 
 
+def _records(data: bytes) -> tuple[list[tuple[dict[str, str], bytes]], Damaged | None]:
+    """Headers and block of the records that pass their checks, and the first error."""
+    records, first, at = [], None, 0
+    while at < len(data):
+        try:
+            headers, block, at = parse_record(data, at)
+            records.append((headers, block))
+        except Damaged as error:
+            first = first or error
+            line = _VERSION_LINE.search(data, at + 1)
+            at = line.start() if line else len(data)
+    return records, first
+
+
 def salvage(content: bytes) -> Iterator[tuple]:
     """("record", start, stop, headers, block) and ("gap", start, stop, reason, None) of
     an archive, gzip members and plain records in any order."""
     at, gap, reason = 0, None, ""
+    # Where the unpacked part of the last damaged member ends, and its records: stored
+    # without compression they can be met again as plain ones.
+    unpacked, met = 0, []
     while at < len(content):
         records: list[tuple] = []
-        try:
-            if content.startswith(MEMBER_START, at):
-                data, end = _unpack(content, at)
-                inner = 0
-                while inner < len(data):
-                    headers, block, inner = parse_record(data, inner)
-                    records.append((headers, block))
-            else:
+        error: Damaged | None = None
+        if content.startswith(MEMBER_START, at):
+            data, end, cut = _unpack(content, at)
+            records, error = _records(data)
+            if cut:
+                if records:
+                    unpacked, met = end, list(records)
+                error, end = cut, _next_start(content, at + 1)
+        else:
+            try:
                 headers, block, end = parse_record(content, at)
+                if at < unpacked and (headers, block) in met:
+                    met.remove((headers, block))
+                    raise Damaged("record of a damaged member")
                 records.append((headers, block))
-        except Damaged as error:
+            except Damaged as wrong:
+                error, end = wrong, _next_start(content, at + 1)
+        if error:
             if gap is None:
                 gap, reason = at, str(error)
-            # Whole records before the damage in a member stay.
+            # Whole records of a damaged member stay.
             for headers, block in records:
                 yield "record", at, at, headers, block
-            at = _next_start(content, at + 1)
+            at = end
             continue
         if gap is not None:
             yield "gap", gap, at, reason, None
@@ -234,7 +273,7 @@ def _row(archive: str, found: tuple) -> tuple:
         unquote(detail["warc-target-uri"]) if "warc-target-uri" in detail else None,
         detail.get("warc-type"),
         _page_number(detail.get("warc-refers-to")),
-        int(length) if length.isdigit() else None,
+        int(length) if length.isascii() and length.isdigit() and len(length) < 19 else None,
         _hexadecimal(detail.get("warc-payload-digest", "")),
         payload,
     )
