@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -53,6 +54,22 @@ def test_contexts_find_unseen_identifiers(spark):
         assert added == ([("phone", 19, 31)] if row["doc_id"] == 20 else [])
 
 
+def test_rounds_go_on_until_one_learns_nothing(spark):
+    # Six levels of 20 identifiers; ten patterns stand beside a level and two of the next.
+    patterns = {(level, k): [] for level in range(7) for k in range(20)}
+    for level in range(6):
+        for part in range(10):
+            for one in [(level, k) for k in range(20)] + [(level + 1, 2 * part), (level + 1, 2 * part + 1)]:
+                patterns[one].append(f"{level} {part} _")
+    rows = [("phone", f"{level}-{k}", level == 0, found) for (level, k), found in patterns.items()]
+    mentions = spark.createDataFrame(rows, "kind string, identity string, seed boolean, patterns array<string>")
+    trusted, known = pii.trusted(mentions)
+    assert {r["identity"] for r in known.collect()} == {f"{level}-{k}" for level in range(1, 7) for k in range(20)}
+    assert trusted.count() == 60
+    with pytest.raises(RuntimeError, match="did not settle in 3 rounds"):
+        pii.trusted(mentions, 3)
+
+
 def test_redaction(spark):
     docs = docs_frame(spark, planted())
     out = pii.redacted(docs)

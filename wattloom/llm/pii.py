@@ -37,7 +37,8 @@ LEAST_KNOWN = 5
 LEAST_TRUST = 0.6
 #: Likelihood from which a candidate is known.
 LEAST_LIKELY = 0.9
-ROUNDS = 4
+#: Rounds end when one learns nothing; so many are taken for a mistake.
+MOST_ROUNDS = 1_000
 
 # Fixed patterns of the base.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -199,9 +200,10 @@ def scan(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
     return common.staged(common.map_batches(docs.select(*dict.fromkeys([*kept, text])), run, fields), "mentions")
 
 
-def trusted(mentions: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def trusted(mentions: DataFrame, max_rounds: int = MOST_ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(patterns, identities) after the last round: trusted (kind, pattern, trust) and
-    newly known (kind, identity). ``mentions``: kind, identity, seed, patterns."""
+    newly known (kind, identity). ``mentions``: kind, identity, seed, patterns. What is
+    known stays known, so that a round without new identities changes nothing any more."""
     graph = common.staged(
         mentions.select("kind", "identity", "seed", F.explode("patterns").alias("pattern"))
         .groupBy("kind", "identity", "pattern")
@@ -211,7 +213,7 @@ def trusted(mentions: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataF
     unknown = graph.groupBy("kind", "identity").agg(F.max("seed").alias("seed")).where("not seed").select("kind", "identity")
     known = None
     count = 0
-    for _ in range(rounds):
+    for _ in range(max_rounds):
         marked = graph if known is None else graph.join(known.withColumn("learned", F.lit(True)), ["kind", "identity"], "left")
         is_known = F.col("seed") if known is None else F.col("seed") | F.coalesce("learned", F.lit(False))
         # Identities are distinct in the graph, so rows of a pattern count them.
@@ -224,17 +226,21 @@ def trusted(mentions: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataF
             "patterns",
         )
         likely = (
-            graph.join(patterns, ["kind", "pattern"])
+            marked.withColumn("is_known", is_known)
+            .join(patterns, ["kind", "pattern"])
             .groupBy("kind", "identity")
-            .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))).alias("likely"))
-            .where(F.col("likely") >= LEAST_LIKELY)
+            .agg(
+                (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))).alias("likely"),
+                F.max("is_known").alias("is_known"),
+            )
+            .where((F.col("likely") >= LEAST_LIKELY) | F.col("is_known"))
         )
         known = common.staged(likely.join(unknown, ["kind", "identity"], "left_semi").select("kind", "identity"), "known")
         learned = known.count()
         if learned == count:
-            break
+            return patterns, known
         count = learned
-    return patterns, known
+    raise RuntimeError(f"personal data did not settle in {max_rounds} rounds")
 
 
 def found_spans(scanned: DataFrame, row: str) -> DataFrame:
