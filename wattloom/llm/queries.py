@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import common, decontaminate, grid_join, html_blocks, pack, pii, preference, simhash, token_files, toxicity, warc
+from wattloom.llm import (
+    common,
+    decontaminate,
+    grid_join,
+    html_blocks,
+    maxscore,
+    pack,
+    pii,
+    preference,
+    resample,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+    whiten,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -158,3 +173,34 @@ def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest_text("base"), 256).alias("base_sha256"),
         pii.digest_text("spans").alias("spans"),
     )
+
+
+@query
+def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(common.prepare(spark), sf_dir, "embeddings")
+    return maxscore.top_k(vectors, F.col("_id") % 100 == 0)
+
+
+SQL["op11_maxscore"] = """
+WITH vectors AS (
+  SELECT vec_id, [floor(1024 * cast(c AS DOUBLE)) FOR c IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, cast(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, cast(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+"""
+
+
+@query
+def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whitened(common.table(common.prepare(spark), sf_dir, "embeddings"))
+
+
+@query
+def op13_interned_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.prepare(spark)
+    return resample.resampled(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
