@@ -56,6 +56,15 @@ def test_equals_eigenvectors(spark, monkeypatch):
     check(run(spark, rows, components=2, scale=1024), brute(rows, 2, 1024))
 
 
+def test_triangles_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(whiten, "FAN_IN", 2)
+    x = np.random.default_rng(3).integers(-90, 90, (50, 6))
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "_x array<long>").repartition(11)
+    means = x.mean(axis=0)
+    r = whiten._triangle(rows, means)
+    assert np.abs(r.T @ r - (x - means).T @ (x - means)).max() < 1e-9
+
+
 def test_short_vectors_are_filled_up(spark):
     rows = [(1, [1.0, 2.0, 5.0]), (2, [3.0]), (3, [0.5, 0.0]), (4, [9.0, -1.0, 2.0]), (5, []), (6, [2.0, 2.5, -3.0])]
     check(run(spark, rows), brute(rows))

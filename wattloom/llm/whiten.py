@@ -133,7 +133,7 @@ def _triangle(fit: DataFrame, means: np.ndarray) -> np.ndarray:
         fit.mapInArrow(reduce_rows, "r binary").select("r", F.spark_partition_id().alias("k")), "triangles"
     )
     while level.count() > 1:
-        joined = level.groupBy(F.floor(F.col("k") / FAN_IN).alias("k")).applyInArrow(
+        joined = level.groupBy(F.floor(F.col("k") / FAN_IN).alias("joined")).applyInArrow(
             lambda key, table: join(table).append_column("k", pa.array([key[0].as_py()], pa.int64())),
             "r binary, k long",
         )
