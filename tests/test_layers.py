@@ -1,5 +1,7 @@
 """Conforming, roll-ups, gates, upserts and the layered flow on small tables."""
 
+import os
+import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -153,41 +155,43 @@ def test_audit_status_needs_a_complete_clean_file(spark, bronze):
     assert statuses == {1: "REVIEW", 2: "SUCCESS"}
 
 
-def table_rows(spark, path):
-    return sorted(tuple(r) for r in upsert.read_table(spark, path).select("k", "day", "v").collect())
+@pytest.fixture
+def table():
+    return f"t_{uuid.uuid4().hex}"
 
 
-def test_upsert_updates_inserts_and_leaves_other_partitions_alone(spark, tmp_path):
-    path = str(tmp_path / "t")
+def table_rows(spark, table):
+    return sorted(tuple(r) for r in upsert.read_table(spark, table).select("k", "day", "v").collect())
 
-    def batch(*rows):
-        df = spark.createDataFrame(rows, "k int, day date, v int")
-        return df.withColumn("part_month", F.trunc("day", "month"))
 
-    jan, feb = date(2018, 1, 5), date(2018, 2, 5)
-    keys = ["k", "day"]
-    upsert.upsert_path(batch((1, jan, 1), (2, jan, 2), (1, feb, 3)), path, keys, "part_month")
-    january = {p.name for p in (tmp_path / "t/data/version=1/part_month=2018-01-01").iterdir()}
-    change = batch((1, feb, 30), (9, feb, 9))
+def by_month(spark, *rows, kinds="k int, day date, v int"):
+    return spark.createDataFrame(rows, kinds).withColumn("part_month", F.trunc("day", "month"))
+
+
+JAN, FEB = date(2018, 1, 5), date(2018, 2, 5)
+
+
+def test_upsert_updates_inserts_and_leaves_other_partitions_alone(spark, tmp_path, table):
+    root, keys = str(tmp_path), ["k", "day"]
+    first = upsert.upsert(by_month(spark, (1, JAN, 1), (2, JAN, 2), (1, FEB, 3)), table, keys, root, "part_month")
+    change = by_month(spark, (1, FEB, 30), (9, FEB, 9))
     for _ in range(2):  # the second time changes nothing
-        upsert.upsert_path(change, path, keys, "part_month")
-        assert table_rows(spark, path) == [(1, jan, 1), (1, feb, 30), (2, jan, 2), (9, feb, 9)]
-    assert {p.name for p in (tmp_path / "t/data/version=1/part_month=2018-01-01").iterdir()} == january
-    # The version before the last stays, older ones go.
-    assert sorted(p.name for p in (tmp_path / "t/manifest").iterdir()) == ["number=2", "number=3"]
+        upsert.upsert(change, table, keys, root, "part_month")
+        assert table_rows(spark, table) == [(1, JAN, 1), (1, FEB, 30), (2, JAN, 2), (9, FEB, 9)]
+    read = {os.path.dirname(f) for f in upsert.read_table(spark, table).inputFiles()}
+    assert len(read) == 2 and any(f.endswith(f"{first}/part_month=2018-01-01") for f in read)
 
 
 @pytest.mark.parametrize("partition_by", [None, "part_month"])
-@pytest.mark.parametrize("step", ["_write", "_publish", "_vacuum", "merge_rows"])
-def test_a_failed_upsert_leaves_the_table_whole(spark, tmp_path, monkeypatch, step, partition_by):
-    path = str(tmp_path / "t")
+@pytest.mark.parametrize("step", ["_write", "_switch", "add_columns", "merge_rows"])
+def test_a_failed_upsert_leaves_the_old_rows(spark, tmp_path, monkeypatch, step, partition_by, table):
+    root, keys = str(tmp_path), ["k", "day"]
 
     def batch(ids, v):
-        df = spark.createDataFrame([(k, date(2018, 1 + k % 3, 5), v) for k in ids], "k int, day date, v int")
-        return df.withColumn("part_month", F.trunc("day", "month"))
+        return by_month(spark, *[(k, date(2018, 1 + k % 3, 5), v) for k in ids])
 
-    upsert.upsert_path(batch(range(100), 0), path, ["k", "day"], partition_by)
-    before = table_rows(spark, path)
+    upsert.upsert(batch(range(100), 0), table, keys, root, partition_by)
+    before = table_rows(spark, table)
 
     def broken(*args, **kwargs):
         raise RuntimeError("lost")
@@ -195,24 +199,75 @@ def test_a_failed_upsert_leaves_the_table_whole(spark, tmp_path, monkeypatch, st
     with monkeypatch.context() as patched:
         patched.setattr(upsert, step, broken)
         with pytest.raises(RuntimeError, match="lost"):
-            upsert.upsert_path(batch(range(95, 105), 1), path, ["k", "day"], partition_by)
-    if step != "_vacuum":
-        assert table_rows(spark, path) == before
-    upsert.upsert_path(batch(range(95, 105), 1), path, ["k", "day"], partition_by)
-    rows = table_rows(spark, path)
+            upsert.upsert(batch(range(95, 105), 1), table, keys, root, partition_by)
+    assert table_rows(spark, table) == before
+    upsert.upsert(batch(range(95, 105), 1), table, keys, root, partition_by)
+    rows = table_rows(spark, table)
     assert len(rows) == 105 and sum(v for _, _, v in rows) == 10
 
 
-def test_upsert_refuses_a_source_key_that_occurs_twice(spark, tmp_path):
+@pytest.mark.parametrize("partition_by", [None, "part_month"])
+def test_columns_of_a_table_only_grow(spark, tmp_path, partition_by, table):
+    root, keys = str(tmp_path), ["k", "day"]
+    wide = "k int, day date, v int, tariff int"
+    upsert.upsert(by_month(spark, (1, JAN, 1, 9), (2, JAN, 2, 8), kinds=wide), table, keys, root, partition_by)
+    # Without the column: its values stay, in matched rows too.
+    upsert.upsert(by_month(spark, (2, JAN, 20), (3, JAN, 3)), table, keys, root, partition_by)
+    # With another column, and a type that the table casts.
+    other = "k int, day date, v long, note string"
+    upsert.upsert(by_month(spark, (3, JAN, 30, "n"), (4, FEB, 4, "m"), kinds=other), table, keys, root, partition_by)
+    rows = upsert.read_table(spark, table).select("k", "v", "tariff", "note")
+    assert sorted(map(tuple, rows.collect())) == [(1, 1, 9, None), (2, 20, 8, None), (3, 30, None, "n"), (4, 4, None, "m")]
+    assert rows.schema["v"].dataType.simpleString() == "int"
+
+
+@pytest.mark.parametrize("partition_by", [None, "part_month"])
+def test_a_reader_outlasts_later_upserts(spark, tmp_path, partition_by, table):
+    root, keys = str(tmp_path), ["k", "day"]
+    upsert.upsert(by_month(spark, (1, JAN, 0), (1, FEB, 0)), table, keys, root, partition_by)
+    held = upsert.read_table(spark, table).select("k", "day", "v")
+    files = [f.removeprefix("file:") for f in held.inputFiles()]
+    for v in (1, 2, 3):
+        upsert.upsert(by_month(spark, (1, JAN, v), (2, FEB, v)), table, keys, root, partition_by)
+    assert all(os.path.exists(f) for f in files)
+    # A reader that has not started reads what the catalog names when it does: of a table
+    # with partitions the newest rows, of one without those it was taken with.
+    newest = [(1, JAN, 3), (1, FEB, 0), (2, FEB, 3)]
+    assert sorted(map(tuple, held.collect())) == (newest if partition_by else [(1, JAN, 0), (1, FEB, 0)])
+
+
+def test_rows_without_a_month(spark, tmp_path, table):
+    rows = by_month(spark, (1, None, 1), (2, JAN, 2))
+    upsert.upsert(rows, table, ["k"], str(tmp_path), "part_month")
+    upsert.upsert(by_month(spark, (1, None, 5)), table, ["k"], str(tmp_path), "part_month")
+    assert {tuple(r) for r in upsert.read_table(spark, table).select("k", "v").collect()} == {(1, 5), (2, 2)}
+
+
+def test_upsert_refuses_a_source_key_that_occurs_twice(spark, tmp_path, table):
     df = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
     with pytest.raises(gates.GateFailed, match="occur twice"):
-        upsert.upsert_path(df, str(tmp_path / "t"), ["k"])
-    assert not (tmp_path / "t").exists()
+        upsert.upsert(df, table, ["k"], str(tmp_path / "t"))
+    assert upsert.read_table(spark, table) is None
+
+
+def test_staged_rows_are_checked_as_they_are_written(spark):
+    df = spark.range(10).toDF("interval_count")
+    jobs = spark.sparkContext.statusTracker()
+    with upsert.Staging(spark) as stage:
+        kept = stage(df.filter("interval_count = 4"), "kept", gates.whole_hours())
+        assert kept.count() == 1
+        spark.sparkContext.setJobGroup("staged", "staged")
+        with pytest.raises(gates.GateFailed, match="incomplete hours: 9 rows"):
+            stage(df, "broken", gates.whole_hours())
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(jobs.getJobIdsForGroup("staged")) == 1
+        paths = list(stage.paths)
+    assert len(paths) == 2 and not any(os.path.exists(p) for p in paths)
 
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory, bronze, metadata, weather):
-    tables = medallion.Tables(str(tmp_path_factory.mktemp("layers")))
+    tables = medallion.Tables(str(tmp_path_factory.mktemp("layers")), f"layers_{uuid.uuid4().hex}")
     medallion.refresh_buildings(tables, bronze, metadata, weather_locations(spark))
     medallion.refresh_silver(tables, bronze, weather)
     medallion.refresh_gold(tables, spark)
@@ -230,7 +285,7 @@ def test_layered_flow_counts(spark, built, bronze):
 
 
 def test_whole_flow_stops_at_a_wrong_layer(spark, bronze, metadata, weather, tmp_path):
-    tables = medallion.Tables(str(tmp_path / "flow"))
+    tables = medallion.Tables(str(tmp_path / "flow"), f"flow_{uuid.uuid4().hex}")
     traced = bronze.withColumns(
         {"source_file_name": F.lit("a"), "source_file_path": F.lit("/a"), "source_file_size": F.lit(1)}
     )
@@ -246,6 +301,22 @@ def test_whole_flow_stops_at_a_wrong_layer(spark, bronze, metadata, weather, tmp
     assert {r.status for r in tables.read(spark, "ingest_audit").collect()} == {"SUCCESS"}
 
 
+def test_account_view_follows_the_tables(spark, built, bronze):
+    view = built.name("account_summary")
+    expected = publish.account_summary(built.read(spark, "daily_energy_weather"), built.read(spark, "buildings"))
+    assert spark.table(view).columns == expected.columns
+    assert spark.catalog.getTable(view).tableType == "VIEW"
+    assert sorted(map(tuple, spark.table(view).collect())) == sorted(map(tuple, expected.collect()))
+    days = built.read(spark, "daily_energy_weather")
+    before = {r.building_id: r.annual_electricity_kwh for r in spark.table(view).collect()}
+    more = days.filter("building_id = 1").limit(1).withColumn("electricity_kwh", F.col("electricity_kwh") + 100.0)
+    built.upsert(more, "daily_energy_weather", ["building_id", "usage_date"], "usage_date")
+    after = {r.building_id: r.annual_electricity_kwh for r in spark.table(view).collect()}
+    assert round(after[1] - before[1], 6) == 100.0 and after[2] == before[2]
+    less = more.withColumn("electricity_kwh", F.col("electricity_kwh") - 100.0)
+    built.upsert(less, "daily_energy_weather", ["building_id", "usage_date"], "usage_date")
+
+
 def test_later_months_refresh_only_themselves(spark, built, bronze, weather):
     # The last hour of January is stamped on 1 February.
     newer = bronze.unionByName(readings(spark, 2, start=datetime(2018, 2, 1)))

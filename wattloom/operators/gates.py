@@ -6,10 +6,11 @@ raises before anything is written.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattloom.operators import conform
@@ -44,6 +45,43 @@ class Gate:
             raise GateFailed(f"{self.name}: " + "; ".join(str(r.asDict()) for r in found))
 
 
+@dataclass(frozen=True)
+class Check:
+    """A gate on single rows: those that fulfil ``violated`` must not be there."""
+
+    name: str
+    violated: Column
+
+
+class Counted:
+    """Row checks counted by the job that writes the rows, in place of a pass of their own.
+
+    Put them on the rows as they are written. A lost executor may then count a row twice,
+    never miss one, and the gate only asks whether there is any.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = list(checks)
+        self.observation = Observation() if self.checks else None
+
+    def over(self, df: DataFrame) -> DataFrame:
+        if self.observation is None:
+            return df
+        counts = [F.count_if(c.violated).alias(f"c{i}") for i, c in enumerate(self.checks)]
+        return df.observe(self.observation, *counts)
+
+    def enforce(self) -> None:
+        """Raise if the finished job counted any violating row."""
+        if self.observation is None:
+            return
+        found = self.observation.get
+        # Spark leaves the counts out where it knows without a job that there are no rows.
+        counts = {c.name: found.get(f"c{i}", 0) for i, c in enumerate(self.checks)}
+        failed = [f"{name}: {n} rows" for name, n in counts.items() if n]
+        if failed:
+            raise GateFailed("; ".join(failed))
+
+
 def exists_probe(df: DataFrame) -> bool:
     """Is there any row at all?"""
     return not df.isEmpty()
@@ -60,8 +98,24 @@ def probe_report(probes: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, flags)
 
 
+def _violated(df: DataFrame, check: Check) -> Gate:
+    return Gate(check.name, df.filter(check.violated))
+
+
+def no_rescued() -> Check:
+    return Check("rescued rows", F.col("_rescued_data").isNotNull())
+
+
+def whole_hours(intervals: int = 4) -> Check:
+    return Check("incomplete hours", F.col("interval_count") != intervals)
+
+
+def whole_days(hours: int = 24) -> Check:
+    return Check("incomplete days", F.col("hours_present") != hours)
+
+
 def rescued(bronze: DataFrame) -> Gate:
-    return Gate("rescued rows", bronze.filter(F.col("_rescued_data").isNotNull()))
+    return _violated(bronze, no_rescued())
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> Gate:
@@ -69,11 +123,11 @@ def duplicates(df: DataFrame, keys: list[str]) -> Gate:
 
 
 def hours_complete(hourly: DataFrame, intervals: int = 4) -> Gate:
-    return Gate("incomplete hours", hourly.filter(F.col("interval_count") != intervals))
+    return _violated(hourly, whole_hours(intervals))
 
 
 def days_complete(daily: DataFrame, hours: int = 24) -> Gate:
-    return Gate("incomplete days", daily.filter(F.col("hours_present") != hours))
+    return _violated(daily, whole_days(hours))
 
 
 def onboarding(candidates: DataFrame) -> Gate:

@@ -20,6 +20,12 @@ DATASET = "ResStock 2022 release, AMY2018 baseline"
 DATA_TYPE = "modeled building profiles"
 ALIGNMENT_METHOD = "exact county_code + hour-ending timestamps"
 
+# Attributes of a building that its account shows.
+_ATTRIBUTES = [
+    "state", "county_code", "building_type", "floor_area_sqft", "construction_vintage",
+    "heating_fuel", "heating_system", "cooling_system",
+]
+
 DATASETS = {
     "accounts": schemas.ACCOUNTS,
     "daily_usage": schemas.DAILY,
@@ -55,14 +61,7 @@ def account_summary(
     return joined.select(
         "building_id",
         account_id().alias("account_id"),
-        "state",
-        "county_code",
-        "building_type",
-        "floor_area_sqft",
-        "construction_vintage",
-        "heating_fuel",
-        "heating_system",
-        "cooling_system",
+        *_ATTRIBUTES,
         "days_present",
         "annual_electricity_kwh",
         "average_daily_kwh",
@@ -72,6 +71,32 @@ def account_summary(
     )
 
 
+def create_account_view(
+    spark: SparkSession, view: str, days: str, buildings: str, digits: int | None = None
+) -> None:
+    """The account summary as a view of the catalog over the tables ``days`` and ``buildings``.
+
+    It is computed whenever it is read, so it follows every upsert of the two tables.
+    ``digits``: see ``measures.exact_sum``.
+    """
+    total = "sum(electricity_kwh)"
+    if digits is not None:
+        unit = f"{float(10**digits)!r}D"
+        total = f"cast(sum(cast(rint(electricity_kwh * {unit}) AS bigint)) AS double) / {unit}"
+    mean = f"{total} / nullif(count(electricity_kwh), 0)" if digits is not None else "avg(electricity_kwh)"
+    names = ", ".join(f"b.{c}" for c in _ATTRIBUTES)
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {view} AS
+        SELECT b.building_id, concat('{ACCOUNT_PREFIX}', cast(b.building_id AS string)) AS account_id, {names},
+               m.days_present, m.annual_electricity_kwh, m.average_daily_kwh, m.peak_15min_average_kw,
+               '{DATA_DESCRIPTION}' AS data_description
+        FROM {buildings} b JOIN (
+          SELECT building_id, count(DISTINCT usage_date) AS days_present, {total} AS annual_electricity_kwh,
+                 {mean} AS average_daily_kwh, max(peak_15min_average_kw) AS peak_15min_average_kw
+          FROM {days} GROUP BY building_id) m ON b.building_id = m.building_id"""
+    )
+
+
 def published_accounts(
     days: DataFrame, buildings: DataFrame, digits: int | None = None
 ) -> DataFrame:

@@ -1,24 +1,29 @@
 """Keyed upserts: update matching rows, insert the others.
 
-On a catalog with row-level operations this is ``DataFrame.mergeInto``. On plain
-parquet a table is a folder of versions and manifests. An upsert writes the touched
-partitions, merged, into a new version folder and then a manifest, one small file that
-lists the folder of every live partition. Readers follow the newest manifest, so a job
-that dies at any point leaves the table as it was, and is simply run again. The version
-before stays until the next upsert. One writer at a time.
+On a catalog with row-level operations this is ``DataFrame.mergeInto``. A parquet table
+of the session catalog is kept current by a join: the partitions that the source touches
+are merged, written to a fresh folder, and handed to the catalog, which from then on reads
+them there. Files that a reader may hold are never touched, so what was read before an
+upsert still reads; the replaced folders are the caller's to delete. A job that dies
+before the switch leaves the old rows; one that dies between two partitions leaves each
+of them whole, old or new, and running it again completes it. One writer at a time.
+
+The columns of a table are those its catalog entry lists, and they only grow: columns that
+are new in a source are added, columns that a source lacks keep their values.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.operators import gates
+from wattloom.operators.conform import quoted
 from wattloom.session import delete_path, scratch_dir
 
 
@@ -28,9 +33,17 @@ def key_conflicts(source: DataFrame, keys: list[str]) -> gates.Gate:
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows without a match in the source, plus all source rows."""
+    """Target rows without a match in the source, plus all source rows.
+
+    A matched row keeps what the target has in columns that the source lacks. Columns
+    that the target lacks are null in its other rows.
+    """
+    lacking = [c for c in target.columns if c not in source.columns]
+    if lacking:
+        kept = target.select(*[F.col(quoted(c)) for c in [*keys, *lacking]])
+        source = source.join(kept, keys, "left")
     untouched = target.join(source.select(*keys), keys, "left_anti")
-    return untouched.select(*target.columns).unionByName(source.select(*target.columns))
+    return untouched.unionByName(source, allowMissingColumns=True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -45,148 +58,191 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The parquet files below ``path``, or None before the first is written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-_MANIFEST = T.StructType([T.StructField("folder", T.StringType())])
-
-
-def _manifests(spark: SparkSession, path: str) -> dict[int, list[str]]:
-    """Live folders by manifest number: a row per partition, which the calendar bounds."""
-    try:
-        rows = spark.read.schema(_MANIFEST).json(f"{path}/manifest")
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    if "number" not in rows.columns:
-        return {}
-    found: dict[int, list[str]] = {}
-    for row in rows.select("number", "folder").collect():
-        found.setdefault(row["number"], []).append(row["folder"])
-    return found
-
-
-def _read_folders(
-    spark: SparkSession, path: str, folders: list[str], schema: T.StructType | None
-) -> DataFrame:
-    reader = spark.read.option("basePath", f"{path}/data")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(*(f"{path}/data/{f}" for f in sorted(folders))).drop("version")
-
-
-def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
-) -> DataFrame | None:
-    """The current version of the table at ``path``, or None before its first write."""
-    manifests = _manifests(spark, path)
-    if not manifests:
+class Staging:
+    """``stage`` for a flow that ends: what it staged is deleted with it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __call__(self, df: DataFrame, label: str, *checks: gates.Check) -> DataFrame:
+        """``df`` written and read back. ``checks`` are counted by the write itself, and
+        raise if they found anything."""
+        path = scratch_dir(self.spark, label)
+        self.paths.append(path)
+        counted = gates.Counted(checks)
+        counted.over(df).write.parquet(path)
+        counted.enforce()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *failure: object) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
+# --- parquet tables of the session catalog -------------------------------------
+
+
+def _name(table: str) -> str:
+    return ".".join(quoted(part) for part in table.split("."))
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame | None:
+    """The table as the catalog has it now, or None before its first write."""
+    if not table_exists(spark, table):
         return None
-    return _read_folders(spark, path, manifests[max(manifests)], schema)
+    # Another session of the application (a stream has its own) may have changed it.
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def _columns(fields: list[T.StructField]) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+
+
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, folder: str, partition_by: tuple[str, ...] = ()
+) -> None:
+    """A parquet table at ``folder``; one with partitions starts without any."""
+    fields = [f for f in schema.fields if f.name not in partition_by]
+    fields += [schema[c] for c in partition_by]
+    by = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {_name(table)} ({_columns(fields)}) USING parquet {by} LOCATION '{folder}'")
+
+
+def add_columns(spark: SparkSession, table: str, fields: list[T.StructField]) -> None:
+    """Widen a table; its older files read null in the new columns."""
+    if fields:
+        spark.sql(f"ALTER TABLE {_name(table)} ADD COLUMNS ({_columns(fields)})")
+
+
+def partition_spec(values: dict[str, object]) -> str:
+    """``PARTITION (...)`` of a catalog statement; dates, texts and null."""
+
+    def literal(value: object) -> str:
+        if value is None:
+            return "null"
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+
+    return f"PARTITION ({', '.join(f'{quoted(k)} = {literal(v)}' for k, v in values.items())})"
 
 
-def _partition_folder(partition_by: str, value: object) -> str:
-    return f"{partition_by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+def partition_folder(folder: str, values: dict[str, object]) -> str:
+    """Where Spark writes a partition below ``folder``."""
+    return "/".join(
+        [folder, *(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in values.items())]
+    )
+
+
+def _known_partitions(spark: SparkSession, table: str) -> set[str]:
+    """Partitions that the catalog lists, as folder names. The calendar bounds them."""
+    return {row[0] for row in spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()}
+
+
+def add_partitions(spark: SparkSession, table: str, folder: str, specs: list[dict[str, object]]) -> None:
+    """Make new partitions below ``folder`` visible, all in one step; known ones stay."""
+    if specs:
+        added = " ".join(f"{partition_spec(s)} LOCATION '{partition_folder(folder, s)}'" for s in specs)
+        spark.sql(f"ALTER TABLE {_name(table)} ADD IF NOT EXISTS {added}")
+
+
+def _switch(spark: SparkSession, table: str, folder: str, partition_by: str | None, values: list[object]) -> None:
+    """Let the catalog read the written rows in place of the old ones."""
+    if partition_by is None:
+        spark.sql(f"ALTER TABLE {_name(table)} SET LOCATION '{folder}'")
+        return
+    known = _known_partitions(spark, table)
+    specs = [{partition_by: v} for v in values]
+    for spec in specs:
+        if partition_folder("", spec)[1:] in known:
+            spark.sql(
+                f"ALTER TABLE {_name(table)} {partition_spec(spec)} SET LOCATION '{partition_folder(folder, spec)}'"
+            )
+    add_partitions(spark, table, folder, [s for s in specs if partition_folder("", s)[1:] not in known])
+
+
+def _write(rows: DataFrame, folder: str, partition_by: str | None) -> None:
+    if partition_by is None:
+        rows.write.parquet(folder)
+        return
+    # Rebalancing brings the rows of a partition value together, and AQE splits a
+    # large one over several tasks: few files per folder, no overloaded task.
+    rows.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(folder)
 
 
-def upsert_path(
+def upsert(
     source: DataFrame,
-    path: str,
+    table: str,
     keys: list[str],
+    root: str,
     partition_by: str | None = None,
     *,
     staged: bool = False,
     keys_unique: bool = False,
-) -> None:
-    """Upsert into the versioned parquet table at ``path``.
+) -> str | None:
+    """Upsert into a parquet table of the session catalog, creating it at first.
 
-    ``partition_by`` names a date column that is a function of the keys (the month
-    of a time key), so a row never moves between partitions; only partitions with
-    source rows are read and rewritten. Their list is bounded by the calendar.
+    Rows are written to a new folder below ``root``; its path is returned (None if there
+    was nothing to write). ``partition_by`` names a date column that is a function of the
+    keys (the month of a time key), so a row never moves between partitions; only
+    partitions with source rows are read and rewritten. Their list is bounded by the
+    calendar.
 
-    ``staged`` says that the source already is a written table, and
-    ``keys_unique`` that it was grouped by exactly the keys; both save a pass.
+    ``staged`` says that the source already is a written table, and ``keys_unique`` that
+    it was grouped by exactly the keys; both save a pass.
     """
     spark = source.sparkSession
-    own = None
-    if not staged:
-        own = scratch_dir(spark, "upsert-source")
-        source.write.parquet(own)
-        source = spark.read.schema(source.schema).parquet(own)
-    try:
+    with Staging(spark) as staging:
+        if not staged:
+            source = staging(source, "upsert-source")
         if not keys_unique:
             key_conflicts(source, keys).enforce()
-        _upsert(spark, source, path, keys, partition_by)
-    finally:
-        if own is not None:
-            delete_path(spark, own)
+        return _upsert(spark, source, table, keys, root, partition_by)
 
 
 def _upsert(
-    spark: SparkSession, source: DataFrame, path: str, keys: list[str], partition_by: str | None
-) -> None:
-    manifests = _manifests(spark, path)
-    number = max(manifests, default=0)
-    live = manifests.get(number, [])
+    spark: SparkSession, source: DataFrame, table: str, keys: list[str], root: str, partition_by: str | None
+) -> str | None:
+    values: list[object] = []
     if partition_by:
         values = [row[0] for row in source.select(partition_by).distinct().collect()]
-        parts = {_partition_folder(partition_by, v) for v in values}
-        replaced = [f for f in live if f.split("/")[-1] in parts]
-        if not parts and live:
-            return
-    else:
-        parts, replaced = set(), live
-    merged = source
-    if replaced:
-        target = _read_folders(spark, path, replaced, source.schema)
-        merged = merge_rows(target.select(*source.columns), source, keys)
-    version = f"version={number + 1}"
-    # What a failed attempt left under this number is replaced.
-    _write(merged, f"{path}/data/{version}", partition_by)
-    kept = [f for f in live if f not in replaced]
-    folders = kept + ([f"{version}/{p}" for p in sorted(parts)] if parts else [version])
-    _publish(spark, path, number + 1, folders)
-    _vacuum(spark, path, {number: live, number + 1: folders}, manifests)
-
-
-def _publish(spark: SparkSession, path: str, number: int, folders: list[str]) -> None:
-    """Write a manifest; its one file appears as a whole."""
-    rows = spark.createDataFrame([(f,) for f in folders], _MANIFEST)
-    rows.coalesce(1).write.mode("overwrite").json(f"{path}/manifest/number={number}")
-
-
-def _vacuum(
-    spark: SparkSession, path: str, kept: dict[int, list[str]], known: dict[int, list[str]]
-) -> None:
-    """Delete manifests older than the kept ones and folders that only they name."""
-    needed = {f for folders in kept.values() for f in folders}
-    old = {number: folders for number, folders in known.items() if number not in kept}
-    for number in old:
-        delete_path(spark, f"{path}/manifest/number={number}")
-    for folder in {f for folders in old.values() for f in folders} - needed:
-        delete_path(spark, f"{path}/data/{folder}")
+        if not values and table_exists(spark, table):
+            return None
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    target = read_table(spark, table)
+    if target is None:
+        _write(source, folder, partition_by)
+        create_table(spark, table, source.schema, folder, (partition_by,) if partition_by else ())
+        add_partitions(spark, table, folder, [{partition_by: v} for v in values])
+        return folder
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    source = source.select(
+        *[F.col(quoted(f.name)).cast(kinds.get(f.name, f.dataType)).alias(f.name) for f in source.schema.fields]
+    )
+    added = [f for f in source.schema.fields if f.name not in kinds]
+    if partition_by:
+        target = target.filter(_among(partition_by, values))
+    _write(merge_rows(target, source, keys), folder, partition_by)
+    add_columns(spark, table, added)
+    _switch(spark, table, folder, partition_by, values)
+    return folder
 
 
-def _write(rows: DataFrame, path: str, partition_by: str | None) -> None:
-    if partition_by is None:
-        rows.write.mode("overwrite").parquet(path)
-        return
-    # Rebalancing brings the rows of a partition value together, and AQE splits a
-    # large one over several tasks: few files per folder, no overloaded task.
-    rows.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(
-        path
-    )
+def _among(name: str, values: list[object]) -> Column:
+    """Is the partition one of ``values``? Answered by the catalog's list alone."""
+    found = F.col(name).isin([v for v in values if v is not None])
+    return found | F.col(name).isNull() if None in values else found
 
 
-def upsert_table(source: DataFrame, table: str, keys: list[str]) -> None:
+def upsert_rows(source: DataFrame, table: str, keys: list[str]) -> None:
     """Upsert into a catalog table whose format supports row-level operations."""
     key_conflicts(source, keys).enforce()
     target = table.split(".")[-1]

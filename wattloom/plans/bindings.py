@@ -10,6 +10,8 @@ engines get the same doubles.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -468,3 +470,8 @@ def stored(build, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bound table written once to the shared folder, for queries that read it
     several times."""
     return stage(build(spark, sf_dir), build.__name__.replace("_", "-"))
+
+
+def new_table(label: str) -> str:
+    """Name of a table of its own in the session catalog, for one run of a query."""
+    return f"{label}_{uuid.uuid4().hex}"

@@ -3,6 +3,8 @@
 Every layer is computed once, written to the shared folder, checked there and only
 then upserted into its table; the next layer starts from the written rows. Fact
 tables are partitioned by month, so a refresh touches the months it has rows for.
+Row checks are counted by the job that writes the layer. What a step staged is deleted
+when it ends, whether it succeeds or fails.
 """
 
 from __future__ import annotations
@@ -14,53 +16,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.operators import compare, conform, gates, publish, rollup
-from wattloom.operators.upsert import read_table, stage, upsert_path
+from wattloom.operators.upsert import Staging, read_table, upsert
 
 PART = "part_month"
 
 
 @dataclass(frozen=True)
 class Tables:
-    """Where the tables of a deployment lie."""
+    """The tables of a deployment: a database of the session catalog, files below ``root``."""
 
     root: str
+    database: str = "wattloom"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def name(self, name: str) -> str:
+        return f"{self.database}.{name}"
+
     def read(self, spark: SparkSession, name: str, since: date | None = None) -> DataFrame:
         """A table, of a table kept by month only the months from that of ``since`` on."""
-        df = read_table(spark, self.path(name))
+        df = read_table(spark, self.name(name))
         if df is None:
-            raise ValueError(f"table {name} has not been written")
+            raise ValueError(f"table {self.name(name)} has not been written")
         if since is not None:
             df = df.filter(F.col(PART) >= F.lit(since.replace(day=1)))
         return df.drop(PART)
 
-
-def _by_month(df: DataFrame, period: str) -> DataFrame:
-    """Add the partition column, the calendar month of a time key."""
-    return df.withColumn(PART, F.trunc(F.col(period).cast("date"), "month"))
+    def upsert(self, rows: DataFrame, name: str, keys: list[str], period: str | None = None, **known: bool) -> None:
+        """Upsert into a table; one with a ``period`` is kept by its month."""
+        rows.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+        if period is not None:
+            rows = rows.withColumn(PART, F.trunc(F.col(period).cast("date"), "month"))
+        upsert(rows, self.name(name), keys, self.path(name), PART if period else None, **known)
 
 
 def refresh_audit(tables: Tables, bronze: DataFrame, expected_rows: int) -> None:
     """Reconcile the raw layer by building and ingest date."""
-    upsert_path(
-        rollup.ingest_audit(bronze, expected_rows),
-        tables.path("ingest_audit"),
-        ["bldg_id", "ingest_date"],
-    )
+    tables.upsert(rollup.ingest_audit(bronze, expected_rows), "ingest_audit", ["bldg_id", "ingest_date"])
 
 
 def refresh_buildings(
     tables: Tables, bronze: DataFrame, metadata: DataFrame, locations: DataFrame
 ) -> None:
     """Onboard the buildings that have arrived; all of them or none."""
-    candidates = stage(
-        conform.onboarding_candidates(bronze, metadata, locations), "building-candidates"
-    )
-    gates.onboarding(candidates).enforce()
-    upsert_path(candidates, tables.path("buildings"), ["building_id"], staged=True)
+    with Staging(bronze.sparkSession) as stage:
+        candidates = stage(
+            conform.onboarding_candidates(bronze, metadata, locations), "building-candidates"
+        )
+        gates.onboarding(candidates).enforce()
+        tables.upsert(candidates, "buildings", ["building_id"], staged=True)
 
 
 def refresh_silver(
@@ -73,32 +78,27 @@ def refresh_silver(
         # comparison of the column reaches the scan.
         first = datetime.combine(since, time()) + timedelta(seconds=1)
         bronze = bronze.filter(F.col("timestamp") >= F.lit(first).cast(bronze.schema["timestamp"].dataType))
-    gates.rescued(bronze).enforce()
-    readings = stage(conform.project_consumption(bronze), "readings")
-    gates.duplicates(readings, ["building_id", "source_timestamp"]).enforce()
-    hours = stage(rollup.hourly_rollup(readings), "hours")
-    gates.hours_complete(hours).enforce()
-    located = conform.join_buildings(hours, tables.read(spark, "buildings"))
-    gates.weather_complete(located, weather).enforce()
-    enriched = stage(conform.join_weather(located, weather), "enriched-hours")
-    for rows, name, time_key in [
-        (readings, "consumption", "source_timestamp"),
-        (hours, "consumption_hourly", "source_hour_end"),
-        (enriched, "energy_weather_hourly", "hour_end"),
-    ]:
-        # Staged above; the gates and the grouping have settled that keys are unique.
-        upsert_path(
-            _by_month(rows, time_key),
-            tables.path(name),
-            ["building_id", time_key],
-            PART,
-            staged=True,
-            keys_unique=True,
-        )
+    with Staging(spark) as stage:
+        clean = gates.Counted([gates.no_rescued()])
+        readings = stage(conform.project_consumption(clean.over(bronze)), "readings")
+        clean.enforce()
+        gates.duplicates(readings, ["building_id", "source_timestamp"]).enforce()
+        hours = stage(rollup.hourly_rollup(readings), "hours", gates.whole_hours())
+        located = conform.join_buildings(hours, tables.read(spark, "buildings"))
+        gates.weather_complete(located, weather).enforce()
+        enriched = stage(conform.join_weather(located, weather), "enriched-hours")
+        for rows, name, time_key in [
+            (readings, "consumption", "source_timestamp"),
+            (hours, "consumption_hourly", "source_hour_end"),
+            (enriched, "energy_weather_hourly", "hour_end"),
+        ]:
+            # Staged above; the gates and the grouping have settled that keys are unique.
+            tables.upsert(rows, name, ["building_id", time_key], time_key, staged=True, keys_unique=True)
 
 
 def refresh_gold(tables: Tables, spark: SparkSession, since: date | None = None) -> None:
-    """Days, months and comparisons of the month of ``since`` and all later ones.
+    """Days, months and comparisons of the month of ``since`` and all later ones, and the
+    account view.
 
     A month is always computed from all its days, so ``since`` may lie within it.
     """
@@ -109,23 +109,15 @@ def refresh_gold(tables: Tables, spark: SparkSession, since: date | None = None)
         # The partition of an hour is the month of its stamp, which for the last hour
         # of a month is the next; its usage date decides.
         hours = hours.filter(F.col("usage_date") >= F.lit(since))
-    days = stage(rollup.daily_rollup(hours), "days")
-    gates.days_complete(days).enforce()
-    months = rollup.monthly_rollup(days)
-    upsert_path(
-        _by_month(days, "usage_date"),
-        tables.path("daily_energy_weather"),
-        ["building_id", "usage_date"],
-        PART,
-        staged=True,
-    )
-    monthly = tables.path("monthly_energy_weather")
-    upsert_path(_by_month(months, "usage_month"), monthly, ["building_id", "usage_month"], PART)
-    upsert_path(
-        _by_month(_comparisons(tables, spark, since), "usage_month"),
-        tables.path("usage_investigation_weather"),
-        ["building_id", "usage_month"],
-        PART,
+    with Staging(spark) as stage:
+        days = stage(rollup.daily_rollup(hours), "days", gates.whole_days())
+        tables.upsert(days, "daily_energy_weather", ["building_id", "usage_date"], "usage_date", staged=True)
+        monthly = ["building_id", "usage_month"]
+        tables.upsert(rollup.monthly_rollup(days), "monthly_energy_weather", monthly, "usage_month")
+        changes = _comparisons(tables, spark, since)
+        tables.upsert(changes, "usage_investigation_weather", monthly, "usage_month")
+    publish.create_account_view(
+        spark, tables.name("account_summary"), tables.name("daily_energy_weather"), tables.name("buildings")
     )
 
 
@@ -161,7 +153,7 @@ def layers(tables: Tables, spark: SparkSession, bronze: DataFrame) -> dict[str,
         "gold_daily": tables.read(spark, "daily_energy_weather"),
         "gold_monthly": tables.read(spark, "monthly_energy_weather"),
         "gold_investigation": tables.read(spark, "usage_investigation_weather"),
-        "gold_accounts": accounts(tables, spark),
+        "gold_accounts": spark.table(tables.name("account_summary")),
     }
 
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattloom import schemas
 from wattloom.functions.measures import ENERGY_DIGITS, WEATHER_DIGITS
 from wattloom.operators import compare, conform, display, publish, rollup
+from wattloom.operators.upsert import upsert
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
 from wattloom.plans.queries_expressions import audited
+from wattloom.session import scratch_dir
 
 _BAD = "cast(json_extract_string(props, '$.k') AS INT) % 25 = 0"
 
@@ -65,11 +68,14 @@ def account_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("account_summary", "SELECT * FROM summary", "summary")
 def account_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = publish.account_summary(
-        b.daily_long(spark, sf_dir), b.supplier_buildings(spark, sf_dir), digits=2
-    )
-    view.createOrReplaceTempView("account_summary")
-    return spark.table("account_summary")
+    """The view of the catalog, over tables that an upsert has written."""
+    days, buildings, view = map(b.new_table, ("days", "buildings", "account_summary"))
+    root = scratch_dir(spark, "account-summary")
+    daily = b.daily_long(spark, sf_dir).withColumn("part_month", F.trunc("usage_date", "month"))
+    upsert(daily, days, ["building_id", "usage_date"], root, "part_month", keys_unique=True)
+    upsert(b.supplier_buildings(spark, sf_dir), buildings, ["building_id"], root)
+    publish.create_account_view(spark, view, days, buildings, digits=2)
+    return spark.table(view)
 
 
 @query(

@@ -25,26 +25,32 @@ def _landed(spark: SparkSession, readings: DataFrame) -> str:
     return path
 
 
-def _ingested(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
-    files = _landed(spark, b.sparse_readings(spark, sf_dir))
-    bronze, checkpoint = scratch_dir(spark, "bronze"), scratch_dir(spark, "bronze-progress")
-    declared = schemas.readings_schema()
+def _ingest(spark: SparkSession, files: str, runs: int = 1, **options: bool) -> DataFrame:
+    """The raw layer of landing files, in a table of its own."""
+    table, root = b.new_table("bronze"), scratch_dir(spark, "bronze")
+    checkpoint = scratch_dir(spark, "bronze-progress")
     for _ in range(runs):
-        streaming.ingest(spark, files, bronze, checkpoint, declared)
-    return streaming.read_bronze(spark, bronze, declared)
+        streaming.ingest(spark, files, table, root, checkpoint, schemas.readings_schema(), **options)
+    return streaming.read_bronze(spark, table)
 
 
 @query(
     "ingest_stream",
-    "SELECT building_id, source_timestamp, electricity_kwh, ingest_date FROM sparse",
+    f"""SELECT building_id AS bldg_id, source_timestamp AS "timestamp",
+               {", ".join(f'{m} AS "{source}"' for m, source in schemas.READING_MEASURES.items())},
+               ingest_date, true AS path_ends_with_name, true AS has_size,
+               cast(NULL AS VARCHAR) AS _rescued_data
+        FROM sparse""",
     "sparse",
 )
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir, runs=1).select(
-        F.col("bldg_id").alias("building_id"),
-        F.col("timestamp").alias("source_timestamp"),
-        F.col(TOTAL).alias("electricity_kwh"),
-        "ingest_date",
+    """All columns; path, name and size of the files as what must hold for them."""
+    bronze = _ingest(spark, _landed(spark, b.sparse_readings(spark, sf_dir)))
+    return bronze.select(
+        *[F.col(conform.quoted(c)) for c in schemas.readings_schema().fieldNames()],
+        F.col("source_file_path").endswith(F.col("source_file_name")).alias("path_ends_with_name"),
+        (F.col("source_file_size") > 0).alias("has_size"),
+        landing.RESCUED,
     )
 
 
@@ -54,7 +60,7 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sparse",
 )
 def ingest_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    twice = _ingested(spark, sf_dir, runs=2)
+    twice = _ingest(spark, _landed(spark, b.sparse_readings(spark, sf_dir)), runs=2)
     return twice.groupBy("ingest_date").agg(F.count("*").alias("rows"))
 
 
@@ -111,11 +117,8 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     older = events.filter(F.col("ingest_date") < since).drop("tariff")
     for part in (older, events.filter(F.col("ingest_date") >= since)):
         part.write.mode("append").partitionBy("ingest_date").parquet(files)
-    bronze, checkpoint = scratch_dir(spark, "bronze"), scratch_dir(spark, "bronze-progress")
-    declared = schemas.readings_schema()
-    streaming.ingest(spark, files, bronze, checkpoint, declared, new_columns=True)
     return (
-        streaming.read_bronze(spark, bronze, declared, new_columns=True)
+        _ingest(spark, files, new_columns=True)
         .groupBy("ingest_date")
         .agg(F.count("*").alias("rows"), F.count("tariff").alias("rows_with_tariff"))
     )
@@ -135,15 +138,14 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM (SELECT *, cast(json_extract_string(props, '$.k') AS INT) AS k FROM events)""",
 )
 def rescue_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the readings arrive in files that store the total as a number, half as text."""
     files = scratch_dir(spark, "landing")
-    arrived = b.text_readings(spark, sf_dir)
-    if "ingest_date" not in arrived.columns:
-        arrived = arrived.withColumn("ingest_date", F.col("timestamp").cast("date"))
-    arrived.write.partitionBy("ingest_date").parquet(files)
-    bronze, declared = scratch_dir(spark, "bronze"), schemas.readings_schema()
-    streaming.ingest(spark, files, bronze, scratch_dir(spark, "bronze-progress"), declared)
-    rescued = streaming.read_bronze(spark, bronze, declared)
-    return rescued.select(
+    arrived = b.text_readings(spark, sf_dir).withColumn("ingest_date", F.col("timestamp").cast("date"))
+    total = F.col(TOTAL)
+    numbers = total.try_cast("double").isNotNull() & ~F.isnan(total.try_cast("double")) & (F.col("bldg_id") % 2 == 0)
+    for part in (arrived.filter(~numbers), arrived.filter(numbers).withColumn(TOTAL.strip("`"), total.cast("double"))):
+        part.write.mode("append").partitionBy("ingest_date").parquet(files)
+    return _ingest(spark, files).select(
         F.col("bldg_id").alias("building_id"),
         F.col("timestamp").alias("source_timestamp"),
         F.col(TOTAL).alias("electricity_kwh"),

@@ -80,15 +80,15 @@ def upsert_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension = conform.building_attributes(b.building_metadata(spark, sf_dir)).select(
         "building_id", "building_type", "floor_area_sqft"
     )
-    table = scratch_dir(spark, "buildings")
-    upsert.upsert_path(dimension.filter("building_id % 3 <> 0"), table, ["building_id"])
+    table, root = b.new_table("buildings"), scratch_dir(spark, "buildings")
+    upsert.upsert(dimension.filter("building_id % 3 <> 0"), table, ["building_id"], root)
     # All that the seed lacks, and a quarter of all with a changed attribute.
     renovated = F.concat("building_type", F.lit(" (renovated)"))
     changed = dimension.filter("building_id % 3 = 0 OR building_id % 4 = 0").withColumn(
         "building_type",
         F.when(F.col("building_id") % 4 == 0, renovated).otherwise(F.col("building_type")),
     )
-    upsert.upsert_path(changed, table, ["building_id"])
+    upsert.upsert(changed, table, ["building_id"], root)
     return upsert.read_table(spark, table)
 
 
@@ -99,15 +99,15 @@ def _days_table(spark: SparkSession, sf_dir: str, repeats: int) -> DataFrame:
         .select("building_id", "usage_date", "electricity_kwh")
         .withColumn("part_month", F.trunc("usage_date", "month"))
     )
-    table = scratch_dir(spark, "days")
+    table, root = b.new_table("days"), scratch_dir(spark, "days")
     keys = ["building_id", "usage_date"]
     first = days.filter(F.col("usage_date") < F.lit(date(1998, 7, 1)))
-    upsert.upsert_path(first, table, keys, "part_month")
+    upsert.upsert(first, table, keys, root, "part_month")
     corrected = days.filter(F.col("usage_date") >= F.lit(date(1997, 1, 1))).withColumn(
         "electricity_kwh", F.col("electricity_kwh") + F.lit(1.0)
     )
     for _ in range(repeats):
-        upsert.upsert_path(corrected, table, keys, "part_month")
+        upsert.upsert(corrected, table, keys, root, "part_month")
     return upsert.read_table(spark, table)
 
 
@@ -165,12 +165,12 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_dir(spark, "landing")
     # A few files, read in three micro-batches; hours are split between them.
     b.sparse_readings(spark, sf_dir).repartition(6).write.parquet(landing)
-    hourly = scratch_dir(spark, "hourly")
+    hourly = b.new_table("hourly")
     streaming.upsert_stream(
         spark,
         landing,
-        scratch_dir(spark, "hourly-partials"),
         hourly,
+        scratch_dir(spark, "hourly"),
         scratch_dir(spark, "hourly-progress"),
         schemas.readings_schema(),
         max_files_per_trigger=2,

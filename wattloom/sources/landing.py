@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,18 +68,44 @@ def rescue(raw: DataFrame, declared: T.StructType, keep: list[str] | None = None
     return raw.select(*columns, *[F.col(quoted(c)) for c in keep], rescued.alias(RESCUED))
 
 
-def physical_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
-    """Columns and types that the landing files have, in declared order, then the rest.
+def schema_groups(
+    spark: SparkSession, paths: list[str], root: str
+) -> list[tuple[list[str], T.StructType]]:
+    """Files in groups that agree on the type of every column, with the columns of each.
 
-    Spark merges the footers in a distributed job. Declared columns that no file has yet
-    keep their declared type. Files that store one column in types without a common one
-    cannot be read together; that raises.
+    Spark merges the footers of a whole list in one distributed job. Only a list that
+    does not merge is halved, until each part does; parts that agree are put together
+    again, so there are as many groups as there are ways to store the columns.
     """
-    found = spark.read.option("mergeSchema", "true").parquet(path).schema
-    present = {f.name: f for f in found.fields}
-    known = [present.get(f.name, f) for f in declared.fields]
-    names = set(declared.fieldNames())
-    return T.StructType(known + [f for f in found.fields if f.name not in names])
+    found: list[tuple[list[str], T.StructType]] = []
+    waiting = [paths]
+    while waiting:
+        part = waiting.pop()
+        reader = spark.read.option("mergeSchema", "true").option("basePath", root)
+        try:
+            schema = reader.parquet(*part).schema
+        except (Py4JJavaError, PySparkException) as failure:
+            if len(part) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(failure):
+                raise
+            middle = len(part) // 2
+            waiting += [part[middle:], part[:middle]]
+            continue
+        for k, (files, columns) in enumerate(found):
+            merged = _merged(columns, schema)
+            if merged is not None:
+                found[k] = (files + part, merged)
+                break
+        else:
+            found.append((part, schema))
+    return found
+
+
+def _merged(one: T.StructType, other: T.StructType) -> T.StructType | None:
+    """Columns of both, or None if one column has two types."""
+    kinds = {f.name: f.dataType for f in one.fields}
+    if any(kinds.get(f.name, f.dataType) != f.dataType for f in other.fields):
+        return None
+    return T.StructType(one.fields + [f for f in other.fields if f.name not in kinds])
 
 
 def with_new_columns(declared: T.StructType, physical: T.StructType) -> T.StructType:
@@ -84,6 +114,21 @@ def with_new_columns(declared: T.StructType, physical: T.StructType) -> T.Struct
     return T.StructType(declared.fields + [f for f in physical.fields if f.name not in names])
 
 
+def read_rescued(
+    spark: SparkSession,
+    groups: list[tuple[list[str], T.StructType]],
+    root: str,
+    declared: T.StructType,
+) -> DataFrame:
+    """All files of the groups under one schema: each group is read by its own types, then
+    cast; what does not fit is kept in ``_rescued_data``."""
+    parts = []
+    for files, schema in groups:
+        read = spark.read.schema(schema).option("basePath", root).parquet(*files)
+        parts.append(rescue(with_provenance(read), declared, keep=list(PROVENANCE)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Batch read of landing files under a declared schema.
 
@@ -104,3 +149,16 @@ def stream_landing(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
+
+
+def stream_paths(spark: SparkSession, path: str, max_files_per_trigger: int) -> DataFrame:
+    """Streaming list of landing files, as rows of ``path``; no file is opened."""
+    listing = "path string, modificationTime timestamp, length bigint, content binary"
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(listing)
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .load(path)
+        .select("path")
+    )
