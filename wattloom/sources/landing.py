@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -68,35 +69,52 @@ def rescue(raw: DataFrame, declared: T.StructType, keep: list[str] | None = None
     return raw.select(*columns, *[F.col(quoted(c)) for c in keep], rescued.alias(RESCUED))
 
 
+#: Footers read one by one where files of one list disagree, and at the same time.
+FILES_APART = 500
+READERS = 16
+
+
 def schema_groups(
     spark: SparkSession, paths: list[str], root: str
 ) -> list[tuple[list[str], T.StructType]]:
     """Files in groups that agree on the type of every column, with the columns of each.
 
-    Spark merges the footers of a whole list in one distributed job. Only a list that
-    does not merge is halved, until each part does; parts that agree are put together
-    again, so there are as many groups as there are ways to store the columns.
+    Spark merges the footers of a whole list in one distributed job. Only if they do not
+    merge are shorter lists tried, and the files of those that still disagree one by one.
+    Files that agree are put together again, so there are as many groups as there are ways
+    to store the columns.
     """
-    found: list[tuple[list[str], T.StructType]] = []
-    waiting = [paths]
-    while waiting:
-        part = waiting.pop()
+
+    def columns(part: list[str]) -> T.StructType | None:
         reader = spark.read.option("mergeSchema", "true").option("basePath", root)
         try:
-            schema = reader.parquet(*part).schema
+            return reader.parquet(*part).schema
         except (Py4JJavaError, PySparkException) as failure:
             if len(part) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(failure):
                 raise
-            middle = len(part) // 2
-            waiting += [part[middle:], part[:middle]]
-            continue
-        for k, (files, columns) in enumerate(found):
-            merged = _merged(columns, schema)
+            return None
+
+    whole = columns(paths)
+    if whole is not None:
+        return [(paths, whole)]
+    read: list[tuple[list[str], T.StructType]] = []
+    with ThreadPoolExecutor(READERS) as threads:
+        for k in range(0, len(paths), FILES_APART):
+            part = paths[k : k + FILES_APART]
+            merged = columns(part) if len(part) < len(paths) else None
+            if merged is not None:
+                read.append((part, merged))
+            else:
+                read += [([file], schema) for file, schema in zip(part, threads.map(lambda f: columns([f]), part))]
+    found: list[tuple[list[str], T.StructType]] = []
+    for files, schema in read:
+        for k, (others, known) in enumerate(found):
+            merged = _merged(known, schema)
             if merged is not None:
-                found[k] = (files + part, merged)
+                found[k] = (others + files, merged)
                 break
         else:
-            found.append((part, schema))
+            found.append((files, schema))
     return found
 
 
