@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.operators import requests, rollup
+from wattloom.operators import publish, requests, rollup
 from wattloom.operators.compare import investigation
 from wattloom.operators.publish import with_account_id
 from wattloom.operators.skew import hot_keys, skewed_join
@@ -196,3 +196,74 @@ def test_salted_join_equals_plain_join(spark, how):
     salted, plain = skewed_join(many, one, ["k"], how), many.join(one, "k", how)
     assert salted.columns == plain.columns
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+
+
+def test_no_task_gets_much_more_than_the_others(spark):
+    # A third of the rows, all alike, share one key, and a tenth have none.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        many = spark.range(60_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+            .when(F.col("id") % 10 != 1, (F.col("id") % 5_000).cast("string"))
+            .alias("k")
+        )
+        one = spark.range(5_000).select(F.col("id").cast("string").alias("k"), "id").union(
+            spark.createDataFrame([("hot", -1)], "k string, id long")
+        )
+        joined = skewed_join(many, one, ["k"], "left", spread_by=F.monotonically_increasing_id())
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(sizes) == 60_000 and len(sizes) == 40
+        assert sizes[-1] <= 2 * sizes[20]
+        # As many pieces as its rows call for, and never more pieces than rows.
+        salts = {r.k: r["_salts"] for r in hot_keys(many, ["k"]).collect()}
+        assert set(salts) == {"hot"} and 100 <= salts["hot"] <= 200
+        few = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+        assert {r.k: r["_salts"] for r in hot_keys(few, ["k"]).collect()} == {"a": 1, "b": 2}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.fixture(scope="module")
+def stored(spark, snapshot, tmp_path_factory):
+    """The snapshot as published, one account to a folder."""
+    root = str(tmp_path_factory.mktemp("published"))
+    rows = [snapshot[n].drop("account_id") for n in ("daily_usage", "monthly_usage", "investigations")]
+    gaps = rows[0].limit(0)
+    publish.publish_snapshot(root, snapshot["accounts"], *rows, gaps, accounts_per_bucket=1)
+    return publish.read_snapshot(spark, root)
+
+
+def test_published_datasets_are_whole(snapshot, stored):
+    for name in publish.DATASETS:
+        columns = snapshot[name].columns
+        assert sorted(map(str, stored[name].select(*columns).collect())) == sorted(map(str, snapshot[name].collect()))
+
+
+def test_only_folders_of_the_accounts_asked_for_are_read(spark, stored):
+    frame = spark.createDataFrame([(json.dumps(GOOD[1]),)], "request_json string")
+    checked = requests.validate(requests.parse(frame)).filter("operation = 'account_details'")
+    details = requests.asked_details(checked, stored)
+    assert [len(r.daily_usage) for r in details.collect()] == [3]
+    plan = details._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and ("usage_date" in line or "usage_month" in line)]
+    assert len(scans) >= 2 and all("dynamicpruning" in line for line in scans)
+
+
+def test_answers_of_a_published_snapshot(spark, snapshot, stored):
+    texts = [json.dumps(g) for g in GOOD] + list(BAD)
+    plain, published = ask(spark, snapshot, texts), ask(spark, stored, texts)
+    described = stored["metadata"].drop("snapshot_id", "schema_version").first().asDict()
+    for n in plain:
+        expected = plain[n][1]
+        if "result" in expected:
+            expected["result"]["metadata"] = described
+        assert published[n][1] == expected
+
+
+def test_one_shared_read_of_the_snapshot(spark, stored):
+    frame = spark.createDataFrame([(json.dumps(g),) for g in GOOD], "request_json string")
+    plan = requests.answer(frame, stored, "/a")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 15
+    assert plan.count("Subquery") <= 8

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom import schemas
 from wattloom.functions import measures, periods
+from wattloom.operators.skew import skewed_join
 
 
 def quoted(name: str) -> str:
@@ -145,13 +146,16 @@ def unmatched_weather(located_hours: DataFrame, weather: DataFrame) -> DataFrame
     return located_hours.join(known, ["county_code", "source_hour_end"], "left_anti")
 
 
-def lookup_accounts(requests: DataFrame, accounts: DataFrame) -> DataFrame:
+def lookup_accounts(
+    requests: DataFrame, accounts: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
     """Attach the building of each request's account; unknown accounts are flagged.
 
-    One account may attract a large share of the requests. Both sides are narrow
-    and shuffled for this join alone, so AQE can split such an account.
+    One account may attract a large share of the requests, and requests that name none
+    share the null key: both are spread. ``hot``: the much-requested accounts, where they
+    are known already.
     """
     keyed = accounts.select("account_id", "building_id")
-    return requests.join(keyed, "account_id", "left").withColumn(
+    return skewed_join(requests, keyed, ["account_id"], "left", hot).withColumn(
         "account_known", F.col("building_id").isNotNull()
     )

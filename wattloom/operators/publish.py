@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom import schemas
 from wattloom.functions.measures import DEGREE_DAY_BASE_F
 from wattloom.operators import conform, gates, rollup
+from wattloom.operators.upsert import Staging
 from wattloom.session import delete_path
 
+#: Column that names the folder of a published row, and accounts in a folder on average.
+BUCKET = "building_bucket"
+ACCOUNTS_PER_BUCKET = 25_000
+
 # Texts and numbers that readers of a snapshot rely on.
 ACCOUNT_PREFIX = "DEMO-"
 DATA_DESCRIPTION = "Modeled ResStock building; not a real customer account"
@@ -142,39 +148,69 @@ def publish_snapshot(
     monthly: DataFrame,
     investigations: DataFrame,
     alignment_gaps: DataFrame,
+    created_at: datetime | None = None,
+    accounts_per_bucket: int = ACCOUNTS_PER_BUCKET,
 ) -> str:
     """Write the four datasets of a snapshot, check them, then write its metadata.
 
     Readers start from the metadata, so a snapshot becomes visible in one step and
-    only when it is whole. Each dataset is computed once; repeated keys are looked for
-    in the written rows, and if there are any the rows are deleted again.
+    only when it is whole. Each dataset is computed once, as parquet in folders by a hash
+    of the building, sorted by building and period. The written rows must be as many as
+    were computed and must not repeat a key; otherwise they are deleted again.
     """
     spark = accounts.sparkSession
-    now = datetime.now(timezone.utc)
+    now = created_at or datetime.now(timezone.utc)
     snapshot_id = now.strftime("%Y%m%dT%H%M%S%f")
-    rows = {
-        "accounts": accounts,
-        "daily_usage": with_account_id(daily),
-        "monthly_usage": with_account_id(monthly),
-        "investigations": with_account_id(investigations),
-    }
-    written = {name: f"{root}/{name}/snapshot_id={snapshot_id}" for name in rows}
-    try:
-        for name, df in rows.items():
-            layout = DATASETS[name].fieldNames()
-            df.select(*layout).write.option("ignoreNullFields", "false").json(written[name])
-            stored = spark.read.schema(DATASETS[name]).json(written[name])
-            gates.duplicates(stored, KEYS[name]).enforce()
-    except gates.GateFailed:
-        for path in written.values():
-            delete_path(spark, path)
-        raise
+    written = {name: f"{root}/{name}/snapshot_id={snapshot_id}" for name in DATASETS}
+    with Staging(spark) as stage:
+        accounts = stage(accounts, "accounts")
+        buckets = max(1, -(-accounts.count() // accounts_per_bucket))
+        bucket = F.pmod(F.xxhash64("building_id"), F.lit(buckets)).cast("int")
+        rows = {
+            "accounts": accounts,
+            "daily_usage": with_account_id(daily),
+            "monthly_usage": with_account_id(monthly),
+            "investigations": with_account_id(investigations),
+        }
+        try:
+            for name, df in rows.items():
+                counted = Observation()
+                computed = df.select(*DATASETS[name].fieldNames()).withColumn(BUCKET, bucket)
+                # Rebalancing splits a large folder over several tasks and files.
+                (
+                    computed.hint("rebalance", BUCKET)
+                    .sortWithinPartitions(BUCKET, *KEYS[name])
+                    .observe(counted, F.count("*").alias("rows"))
+                    .write.partitionBy(BUCKET)
+                    .parquet(written[name])
+                )
+                stored = _stored(spark, name, written[name])
+                sizes = spark.createDataFrame([(name, counted.get.get("rows", 0))], "layer string, rows bigint")
+                found = gates.same_counts(rollup.layer_counts({name: stored}), sizes)
+                gates.Gate("written rows", found.filter(F.col("status") != "PASS")).enforce()
+                gates.duplicates(stored, KEYS[name]).enforce()
+        except gates.GateFailed:
+            for path in written.values():
+                delete_path(spark, path)
+            raise
     snapshot_metadata(spark, snapshot_id, alignment_gaps, now.isoformat()).coalesce(1).write.option(
         "ignoreNullFields", "false"
     ).json(f"{root}/metadata/published={snapshot_id}")
     return snapshot_id
 
 
+def _stored(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A written dataset; ``BUCKET`` names the folder of a row."""
+    schema = T.StructType([*DATASETS[name].fields, T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def export_json(snapshot: dict[str, DataFrame], path: str) -> None:
+    """A snapshot as JSON lines, a folder for each dataset, nulls kept."""
+    for name, df in snapshot.items():
+        json_rows(df.drop(BUCKET)).write.text(f"{path}/{name}")
+
+
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     """Description of the newest whole snapshot (one row)."""
     published = spark.read.schema(schemas.METADATA).json(f"{root}/metadata")
@@ -182,13 +218,16 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The newest whole snapshot: its four datasets and its metadata."""
+    """The newest whole snapshot: its four datasets and its metadata.
+
+    The datasets carry ``BUCKET``, the folder of a row: join on it as well as on the
+    building, and Spark reads only the folders of the buildings asked for.
+    """
     newest = read_metadata(spark, root).select("snapshot_id").first()
     if newest is None:
         raise ValueError(f"no published snapshot under {root}")
     current = {
-        name: spark.read.schema(schema).json(f"{root}/{name}/snapshot_id={newest[0]}")
-        for name, schema in DATASETS.items()
+        name: _stored(spark, name, f"{root}/{name}/snapshot_id={newest[0]}") for name in DATASETS
     }
     current["metadata"] = read_metadata(spark, root)
     return current

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from wattloom.functions import periods, text
 from wattloom.operators import conform
+from wattloom.operators.publish import BUCKET
 from wattloom.operators.skew import hot_keys, skewed_join
 from wattloom.operators.upsert import stage
 
@@ -132,6 +133,29 @@ def nest_usage(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     )
 
 
+def asked_details(wanted: DataFrame, snapshot: dict[str, DataFrame]) -> DataFrame:
+    """``account_details`` of the accounts in ``wanted`` (column account_id) alone.
+
+    The accounts found are written, and joined to the usage by building and by the folder
+    that holds it, so that Spark can leave out the folders of all others.
+    """
+    published = snapshot["accounts"]
+    wanted = wanted.groupBy("account_id").agg(F.count("*").alias("_requests"))
+    # The condition holds for every row; it tells Spark that the list is a selection,
+    # for which leaving out folders pays.
+    asked = stage(published.join(wanted, "account_id"), "asked-accounts").filter("_requests > 0")
+
+    def of_asked(usage: DataFrame) -> DataFrame:
+        on = [c for c in ("building_id", BUCKET) if c in usage.columns and c in published.columns]
+        return usage.join(asked.select(*on), on, "left_semi").select(*usage.columns).drop(BUCKET)
+
+    return account_details(
+        asked.select(*published.columns).drop(BUCKET),
+        of_asked(snapshot["daily_usage"]),
+        of_asked(snapshot["monthly_usage"]),
+    )
+
+
 def account_details(accounts: DataFrame, daily: DataFrame, monthly: DataFrame) -> DataFrame:
     """Per account: its row and its nested usage."""
     account = F.struct(*accounts.columns).alias("account")
@@ -148,15 +172,21 @@ def account_details(accounts: DataFrame, daily: DataFrame, monthly: DataFrame) -
     )
 
 
-def find_comparison(requests: DataFrame, investigations: DataFrame) -> DataFrame:
-    """Attach the comparison row of each request's account and month."""
+def find_comparison(
+    requests: DataFrame, investigations: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
+    """Attach the comparison row of each request's account and month.
+
+    ``hot``: much-requested accounts, where they are known already.
+    """
+    shown = [c for c in investigations.columns if c not in ("account_id", BUCKET)]
     rows = investigations.select(
         "account_id",
         periods.month_key("usage_month").alias("month"),
-        F.struct(*[c for c in investigations.columns if c != "account_id"]).alias("comparison"),
+        F.struct(*shown).alias("comparison"),
         _not_finite(investigations).alias("_comparison_bad"),
     )
-    return requests.join(rows, ["account_id", "month"], "left").withColumn(
+    return skewed_join(requests, rows, ["account_id", "month"], "left", hot).withColumn(
         "comparison_available",
         F.col("comparison").isNotNull() & F.col("comparison.previous_month").isNotNull(),
     )
@@ -198,17 +228,19 @@ def explanation(comparison: Column, available: Column) -> Column:
     )
 
 
-def _metadata(metadata: DataFrame) -> Column:
-    """The snapshot's one-row description as a scalar."""
-    shown = [c for c in metadata.columns if c not in ("snapshot_id", "schema_version")]
-    return metadata.select(F.struct(*shown).alias("metadata")).scalar()
+def described(metadata: DataFrame) -> Column:
+    """The snapshot's one-row description, read once."""
+    shown = metadata.drop("snapshot_id", "schema_version")
+    row = shown.first()
+    if row is None:
+        return F.lit(None).cast(shown.schema)
+    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in shown.schema.fields])
 
 
-def _result(operation: str | Column, metadata: DataFrame, data: Column) -> Column:
-    operation = F.lit(operation) if isinstance(operation, str) else operation
-    return F.struct(
-        operation.alias("operation"), _metadata(metadata).alias("metadata"), data.alias("data")
-    )
+def _result(operation: str, metadata: Column, data: Column) -> Column:
+    """The document of one result."""
+    result = F.struct(F.lit(operation).alias("operation"), metadata.alias("metadata"), data.alias("data"))
+    return F.to_json(result, _KEEP_NULLS)
 
 
 def _comparison_data(*extra: Column) -> Column:
@@ -223,7 +255,7 @@ def _comparison_data(*extra: Column) -> Column:
 
 def evidence(metadata: DataFrame) -> Column:
     """JSON document that a text model may use as its only evidence."""
-    return F.to_json(_result("explain_usage", metadata, _comparison_data()), _KEEP_NULLS)
+    return _result("explain_usage", described(metadata), _comparison_data())
 
 
 def _listing(accounts: DataFrame, listing_at: str) -> Column:
@@ -232,19 +264,27 @@ def _listing(accounts: DataFrame, listing_at: str) -> Column:
     return F.struct(F.lit(listing_at).alias("accounts_at"), count.alias("account_count"))
 
 
-def locate(checked: DataFrame, accounts: DataFrame, investigations: DataFrame) -> DataFrame:
-    """Validated requests with account, comparison row and final ``error``."""
-    # Requests that look nothing up stay out of the joins: they have no account, and
-    # would all meet in the partition of the null key.
-    looks_up = F.col("error").isNull() & (F.col("operation") != "list_accounts")
-    asking = checked.filter(F.coalesce(looks_up, F.lit(False)))
-    rest = checked.filter(~F.coalesce(looks_up, F.lit(False)))
-    found = find_comparison(conform.lookup_accounts(asking, accounts), investigations)
+def _looks_up() -> Column:
+    """Does the request name an account that is to be found?"""
+    return F.coalesce(F.col("error").isNull() & (F.col("operation") != "list_accounts"), F.lit(False))
+
+
+def locate(
+    checked: DataFrame, accounts: DataFrame, investigations: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
+    """Validated requests with account, comparison row and final ``error``.
+
+    ``hot``: much-requested accounts, where they are known already.
+    """
+    # Requests that look nothing up stay out of the joins.
+    asking, rest = checked.filter(_looks_up()), checked.filter(~_looks_up())
+    if hot is None:
+        hot = hot_keys(asking, ["account_id"])
+    found = find_comparison(conform.lookup_accounts(asking, accounts, hot), investigations, hot)
     found = found.unionByName(rest, allowMissingColumns=True)
-    has_account = F.col("error").isNull() & (F.col("operation") != "list_accounts")
     by_month = F.col("error").isNull() & _needs_month()
     rules = [
-        (has_account & ~F.col("account_known"), UNKNOWN_ACCOUNT),
+        (_looks_up() & ~F.col("account_known"), UNKNOWN_ACCOUNT),
         # The calendar has no year 0.
         (by_month & F.col("month").startswith("0000"), NO_SUCH_MONTH),
         (by_month & F.col("comparison").isNull(), NO_DATA),
@@ -260,72 +300,58 @@ def answer(
 
     ``listing_at`` is where the published account rows lie; a listing names that folder
     and the number of accounts.
+
+    Requests are parsed once and written, looked up once and written, and then answered
+    branch by branch: each operation makes its document in a branch of its own.
     """
-    metadata = snapshot["metadata"]
-    # Parsed once and written: the requests are looked at from several sides below.
+    metadata = described(snapshot["metadata"])
     checked = stage(validate(parse(requests)), "parsed-requests")
-    located = locate(checked, snapshot["accounts"], snapshot["investigations"])
-
-    wants_details = F.col("error").isNull() & (F.col("operation") == "account_details")
-    wanted = checked.filter(wants_details).select("operation", "account_id")
-    accounts = snapshot["accounts"].join(
-        wanted.select("account_id").distinct(), "account_id", "left_semi"
-    )
-    asked = accounts.select("building_id")
-    details = account_details(
-        accounts.select(*snapshot["accounts"].columns),
-        snapshot["daily_usage"].join(asked, "building_id", "left_semi"),
-        snapshot["monthly_usage"].join(asked, "building_id", "left_semi"),
-    )
-    # One document per account, however many requests ask for it.
-    documents = details.select(
-        F.lit("account_details").alias("operation"),
-        "account_id",
-        F.to_json(
-            _result(
-                "account_details",
-                metadata,
-                F.struct("account", "daily_usage", "monthly_usage"),
-            ),
-            _KEEP_NULLS,
-        ).alias("_details"),
-        F.col("_bad").alias("_details_bad"),
-    )
-    keys = ["operation", "account_id"]
-    # Only requests for details meet the documents; all others would share a null key.
-    details_wanted = F.coalesce(wants_details, F.lit(False))
-    joined = skewed_join(
-        located.filter(details_wanted), documents, keys, "left", hot_keys(wanted, keys)
-    )
-    full = joined.unionByName(located.filter(~details_wanted), allowMissingColumns=True)
-    full = full.withColumn(
-        "error",
-        F.coalesce("error", _first_failure([(wants_details & F.col("_details_bad"), NOT_JSON)])),
+    hot = stage(hot_keys(checked.filter(_looks_up()), ["account_id"]), "hot-accounts")
+    located = stage(
+        locate(checked, snapshot["accounts"], snapshot["investigations"], hot), "located-requests"
     )
 
-    listing = F.to_json(
-        _result("list_accounts", metadata, _listing(snapshot["accounts"], listing_at)),
-        _KEEP_NULLS,
-    )
-    investigate = F.to_json(
-        _result("investigate_usage", metadata, _comparison_data()), _KEEP_NULLS
-    )
+    def branch(*operations: str) -> DataFrame:
+        return located.filter(F.col("error").isNull() & F.col("operation").isin(*operations))
+
+    listing = _result("list_accounts", metadata, _listing(snapshot["accounts"], listing_at))
+    investigated = _result("investigate_usage", metadata, _comparison_data())
     told = explanation(F.col("comparison"), F.col("comparison_available")).alias("explanation")
-    explain = F.to_json(_result("explain_usage", metadata, _comparison_data(told)), _KEEP_NULLS)
-    by_operation = (
-        F.when(F.col("operation") == "list_accounts", listing)
-        .when(F.col("operation") == "account_details", F.col("_details"))
-        .when(F.col("operation") == "investigate_usage", investigate)
-        .otherwise(explain)
-    )
+    explained = _result("explain_usage", metadata, _comparison_data(told))
+    details = _answered_details(branch("account_details"), snapshot, metadata, hot)
+    branches = [
+        located.filter(F.col("error").isNotNull()).withColumn("_result", F.lit(None).cast("string")),
+        branch("list_accounts").withColumn("_result", listing),
+        branch("investigate_usage", "explain_usage").withColumn(
+            "_result", F.when(F.col("operation") == "explain_usage", explained).otherwise(investigated)
+        ),
+        details,
+    ]
+    full = reduce(DataFrame.unionByName, [b.select(*requests.columns, "error", "_result") for b in branches])
+    failed = F.to_json(F.struct(F.lit(False).alias("ok"), "error"))
     return full.select(
         *requests.columns,
         F.col("error").isNull().alias("ok"),
         F.col("error.code").alias("error_code"),
-        F.when(
-            F.col("error").isNull(),
-            F.concat(F.lit('{"ok":true,"result":'), by_operation, F.lit("}")),
-        )
-        .otherwise(F.to_json(F.struct(F.lit(False).alias("ok"), "error")))
+        F.when(F.col("error").isNull(), F.concat(F.lit('{"ok":true,"result":'), "_result", F.lit("}")))
+        .otherwise(failed)
         .alias("response_json"),
     )
+
+
+def _answered_details(
+    asking: DataFrame, snapshot: dict[str, DataFrame], metadata: Column, hot: DataFrame
+) -> DataFrame:
+    """Details requests with the document of their account, which is made once however
+    many ask for it."""
+    data = F.struct("account", "daily_usage", "monthly_usage")
+    documents = asked_details(asking, snapshot).select(
+        "account_id",
+        _result("account_details", metadata, data).alias("_result"),
+        F.col("_bad").alias("_details_bad"),
+    )
+    # The requests are written rows, so their numbers are the same on every attempt.
+    joined = skewed_join(
+        asking, documents, ["account_id"], "left", hot, F.monotonically_increasing_id()
+    )
+    return joined.withColumn("error", _first_failure([(F.col("_details_bad"), NOT_JSON)]))

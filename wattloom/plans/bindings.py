@@ -475,3 +475,27 @@ def stored(build, spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_table(label: str) -> str:
     """Name of a table of its own in the session catalog, for one run of a query."""
     return f"{label}_{uuid.uuid4().hex}"
+
+
+#: Measures that a day and a month of a building share.
+NESTED = [f.name for f in schemas.DAILY.fields if f.dataType.simpleString() == "double"]
+
+
+def nested_elements(nested: DataFrame, *keys: str) -> DataFrame:
+    """The elements of nested usage as rows: level, place (from 1), period, rows below it
+    and measures."""
+    levels = {"daily_usage": ("day", "usage_date", "hours_present"), "monthly_usage": ("month", "usage_month", "days_present")}
+    parts = []
+    for array, (level, period, present) in levels.items():
+        elements = nested.select(*keys, F.posexplode(array).alias("_at", "_e"))
+        parts.append(
+            elements.select(
+                *keys,
+                (F.col("_at") + 1).cast("bigint").alias("place"),
+                F.lit(level).alias("level"),
+                F.col(f"_e.{period}").cast("date").alias("period"),
+                F.col(f"_e.{present}").alias("present"),
+                *[F.col(f"_e.{m}").alias(m) for m in NESTED],
+            )
+        )
+    return parts[0].unionByName(parts[1])

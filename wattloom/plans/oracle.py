@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wattloom import schemas
-from wattloom.plans.bindings import _END_USE, _REQUEST_JSON, _WAVES, UNMAPPED_FROM
+from wattloom.plans.bindings import _END_USE, _REQUEST_JSON, _WAVES, NESTED, UNMAPPED_FROM
 
 
 def xsum(expr: str, digits: int = 6) -> str:
@@ -20,6 +20,9 @@ def _columns(names, form) -> str:
 
 MEASURES = list(schemas.READING_MEASURES)
 _TOTALS = ["electricity_kwh", "net_electricity_kwh", *schemas.END_USES]
+# Columns of nested days and months as rows.
+NESTED_DAY = f"'day' AS level, usage_date AS period, hours_present AS present, {', '.join(NESTED)}"
+NESTED_MONTH = f"'month', cast(usage_month AS DATE), days_present, {', '.join(NESTED)}"
 PLACE_KEYS = "building_id, state, county_code, weather_city"
 HOUR_END = "date_trunc('hour', {ts} - INTERVAL 1 SECOND) + INTERVAL 1 HOUR"
 USAGE_DATE = "cast({ts} - INTERVAL 1 SECOND AS DATE)"

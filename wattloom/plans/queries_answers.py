@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom import schemas
 from wattloom.functions.measures import WEATHER_DIGITS
 from wattloom.operators import compare, publish, requests, rollup
-from wattloom.operators.skew import skewed_join
 from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
+from wattloom.plans.oracle import NESTED_DAY, NESTED_MONTH
+from wattloom.plans.queries_sources import published
 
 CREATED_AT = "2024-02-01T00:00:00+00:00"
 
@@ -75,33 +77,30 @@ def answer_list_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.long_accounts(spark, sf_dir).withColumn("requests_served", served)
 
 
+_ASKED = """SELECT account_id, building_id, count(*) AS requests_served FROM located
+            WHERE code IS NULL AND operation = 'account_details' GROUP BY ALL"""
+
+
 @query(
     "answer_account_details",
-    """SELECT l.request_id, l.account_id, m.days_present AS days, n.months, m.first_day, m.last_day
-       FROM located l
-       JOIN (SELECT building_id, count(*) AS days_present, min(usage_date) AS first_day,
-                    max(usage_date) AS last_day FROM daily_long GROUP BY building_id) m USING (building_id)
-       JOIN (SELECT building_id, count(*) AS months FROM monthly_long GROUP BY building_id) n
-         USING (building_id)
-       WHERE l.code IS NULL AND l.operation = 'account_details'""",
+    f"""SELECT account_id, requests_served,
+               row_number() OVER (PARTITION BY building_id ORDER BY usage_date) AS place, {NESTED_DAY}
+        FROM daily_long JOIN ({_ASKED}) USING (building_id)
+        UNION ALL
+        SELECT account_id, requests_served,
+               row_number() OVER (PARTITION BY building_id ORDER BY usage_month), {NESTED_MONTH}
+        FROM monthly_long JOIN ({_ASKED}) USING (building_id)""",
     "located",
     "monthly_long",
 )
 def answer_account_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each details request gets: sizes and ends of its nested usage."""
-    current = snapshot(spark, sf_dir)
-    details = requests.account_details(
-        current["accounts"], current["daily_usage"], current["monthly_usage"]
-    ).select(
-        "account_id",
-        F.size("daily_usage").cast("bigint").alias("days"),
-        F.size("monthly_usage").cast("bigint").alias("months"),
-        F.element_at("daily_usage", 1)["usage_date"].alias("first_day"),
-        F.element_at("daily_usage", -1)["usage_date"].alias("last_day"),
-    )
+    """Every element of the usage in the details of each account that is asked for, and
+    how many requests it serves."""
     checked = requests.validate(requests.parse(b.account_requests(spark, sf_dir)))
     asked = checked.filter(F.col("error").isNull() & (F.col("operation") == "account_details"))
-    return skewed_join(asked.select("request_id", "account_id"), details, ["account_id"])
+    served = stage(asked.groupBy("account_id").agg(F.count("*").alias("requests_served")), "asked-accounts")
+    details = requests.asked_details(served, snapshot(spark, sf_dir))
+    return b.nested_elements(details.join(served, "account_id"), "account_id", "requests_served")
 
 
 @query(
@@ -172,36 +171,32 @@ def answer_explain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "evidence_json",
     f"""SELECT l.request_id, 'explain_usage' AS operation, '{CREATED_AT}' AS created_at_utc,
-               l.account_id, i.usage_month, i.previous_month, i.electricity_kwh,
-               i.electricity_change_kwh, i.cooling_degree_days_65
+               '{publish.DATASET}' AS dataset, '{publish.DATA_TYPE}' AS data_type,
+               NOT EXISTS (SELECT 1 FROM daily_long WHERE weather_city IS NULL) AS weather_alignment_verified,
+               '{publish.ALIGNMENT_METHOD}' AS weather_alignment_method, 65.0::DOUBLE AS degree_day_base_f,
+               l.account_id, i.previous_month IS NOT NULL AS comparison_available,
+               '{requests.EXPLANATION_SCOPE}' AS explanation_scope, i.*
         FROM located l JOIN investigation_long i
           ON l.building_id = i.building_id AND l.month = strftime(i.usage_month, '%Y-%m')
         WHERE l.code IS NULL AND l.operation = 'explain_usage'""",
     "located",
 )
 def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The evidence documents, read back from their JSON."""
+    """The evidence documents, read back whole from their JSON."""
     current = snapshot(spark, sf_dir)
     document = requests.evidence(current["metadata"])
-    row = schemas.INVESTIGATIONS.simpleString()
+    row = T.StructType([schemas.INVESTIGATIONS[c] for c in schemas.INVESTIGATION_COLUMNS])
+    about = current["metadata"].drop("snapshot_id", "schema_version").schema
     shape = (
-        "operation string, metadata struct<created_at_utc: string>, "
-        f"data struct<account_id: string, comparison: {row}>"
+        f"operation string, metadata {about.simpleString()}, data struct<account_id: string, "
+        f"comparison_available: boolean, explanation_scope: string, comparison: {row.simpleString()}>"
     )
     return (
         _explained(spark, sf_dir, current)
         .select("request_id", F.from_json(document, shape).alias("e"))
-        .select(
-            "request_id",
-            "e.operation",
-            "e.metadata.created_at_utc",
-            "e.data.account_id",
-            "e.data.comparison.usage_month",
-            "e.data.comparison.previous_month",
-            "e.data.comparison.electricity_kwh",
-            "e.data.comparison.electricity_change_kwh",
-            "e.data.comparison.cooling_degree_days_65",
-        )
+        .select("request_id", "e.operation", "e.metadata.*", "e.data.*")
+        .select("*", "comparison.*")
+        .drop("comparison")
     )
 
 
@@ -227,10 +222,9 @@ def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     "accounts",
 )
 def response_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The responses, read back from their text."""
-    answers = requests.answer(
-        b.account_requests(spark, sf_dir), snapshot(spark, sf_dir), listing_at="snapshots/accounts"
-    )
+    """The responses from a published snapshot, read back from their text."""
+    current = publish.read_snapshot(spark, published(spark, sf_dir))
+    answers = requests.answer(b.account_requests(spark, sf_dir), current, listing_at="snapshots/accounts")
     usage = "array<struct<usage_date: date, electricity_kwh: double>>"
     shape = (
         "error struct<code: string>, result struct<operation: string, data struct<account_id: string,"

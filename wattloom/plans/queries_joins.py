@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.operators import conform, requests
+from wattloom.functions.measures import WEATHER_DIGITS
+from wattloom.operators import conform, requests, rollup
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
+from wattloom.plans.oracle import NESTED_DAY, NESTED_MONTH
 
 _DIMENSION = list(schemas.BUILDING_ATTRIBUTES)
 
@@ -126,28 +128,15 @@ def lookup_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "nest_account_usage",
-    """SELECT building_id, d.days, d.first_day, d.last_day, d.first_kwh, m.months, m.last_month, m.last_kwh
-       FROM (SELECT building_id, count(*) AS days, min(usage_date) AS first_day,
-                    max(usage_date) AS last_day, arg_min(electricity_kwh, usage_date) AS first_kwh
-             FROM daily_long GROUP BY building_id) d
-       JOIN (SELECT building_id, count(*) AS months, max(usage_month) AS last_month,
-                    arg_max(electricity_kwh, usage_month) AS last_kwh
-             FROM monthly_long GROUP BY building_id) m USING (building_id)""",
+    f"""SELECT building_id, row_number() OVER (PARTITION BY building_id ORDER BY usage_date) AS place,
+               {NESTED_DAY} FROM daily_long
+        UNION ALL
+        SELECT building_id, row_number() OVER (PARTITION BY building_id ORDER BY usage_month),
+               {NESTED_MONTH} FROM monthly_long""",
     "monthly_long",
 )
 def nest_account_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = requests.nest_usage(
-        b.daily_long(spark, sf_dir), b.monthly_long(spark, sf_dir)
-    )
-    first, last = F.element_at("daily_usage", 1), F.element_at("daily_usage", -1)
-    final = F.element_at("monthly_usage", -1)
-    return nested.select(
-        "building_id",
-        F.size("daily_usage").cast("bigint").alias("days"),
-        first["usage_date"].alias("first_day"),
-        last["usage_date"].alias("last_day"),
-        first["electricity_kwh"].alias("first_kwh"),
-        F.size("monthly_usage").cast("bigint").alias("months"),
-        final["usage_month"].alias("last_month"),
-        final["electricity_kwh"].alias("last_kwh"),
-    )
+    """Every element of the nested arrays, with its place."""
+    days = b.stored(b.daily_long, spark, sf_dir)
+    nested = requests.nest_usage(days, rollup.monthly_rollup(days, 2, WEATHER_DIGITS))
+    return b.nested_elements(nested, "building_id")

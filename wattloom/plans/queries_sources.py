@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,23 +176,15 @@ def inline_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "snapshot_rows",
-    """SELECT building_id, usage_month, previous_month, electricity_kwh, electricity_change_kwh,
-              previous_month IS NULL AS null_kept FROM investigation_long""",
+    "SELECT *, previous_month IS NULL AS null_kept FROM investigation_long",
     "investigation_long",
 )
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = publish.json_rows(compare.investigation(b.monthly_long(spark, sf_dir)))
-    read_back = F.from_json("json", schemas.INVESTIGATIONS)
-    return rows.select(
-        read_back.alias("row"), F.col("json").contains('"previous_month":null').alias("null_kept")
-    ).select(
-        "row.building_id",
-        "row.usage_month",
-        "row.previous_month",
-        "row.electricity_kwh",
-        "row.electricity_change_kwh",
-        "null_kept",
-    )
+    """All columns of the rows, read back from their JSON."""
+    comparisons = compare.investigation(b.monthly_long(spark, sf_dir))
+    null_kept = F.col("json").contains('"previous_month":null').alias("null_kept")
+    read_back = F.from_json("json", comparisons.schema).alias("row")
+    return publish.json_rows(comparisons).select(read_back, null_kept).select("row.*", "null_kept")
 
 
 def published(spark: SparkSession, sf_dir: str) -> str:
@@ -212,28 +205,36 @@ def published(spark: SparkSession, sf_dir: str) -> str:
 
 @query(
     "snapshot_publish",
-    """SELECT 'accounts' AS layer, count(*) AS rows, count(DISTINCT account_id) AS accounts FROM summary
-       UNION ALL SELECT 'daily_usage', count(*), count(DISTINCT building_id) FROM daily_long
-       UNION ALL SELECT 'monthly_usage', count(*), count(DISTINCT building_id) FROM monthly_long
-       UNION ALL SELECT 'investigations', count(*), count(DISTINCT building_id) FROM monthly_long
-       UNION ALL SELECT 'metadata', 1, NULL""",
+    """SELECT 'accounts' AS layer, count(*) AS rows, count(DISTINCT account_id) AS accounts,
+              sum(cast(round_even(annual_electricity_kwh * 100.0::DOUBLE, 0) AS BIGINT))::BIGINT AS kwh_hundredths
+       FROM summary
+       UNION ALL SELECT 'daily_usage', count(*), count(DISTINCT building_id),
+              sum(cast(round_even(electricity_kwh * 100.0::DOUBLE, 0) AS BIGINT))::BIGINT FROM daily_long
+       UNION ALL SELECT 'monthly_usage', count(*), count(DISTINCT building_id),
+              sum(cast(round_even(electricity_kwh * 100.0::DOUBLE, 0) AS BIGINT))::BIGINT FROM monthly_long
+       UNION ALL SELECT 'investigations', count(*), count(DISTINCT building_id),
+              sum(cast(round_even(electricity_kwh * 100.0::DOUBLE, 0) AS BIGINT))::BIGINT FROM monthly_long
+       UNION ALL SELECT 'metadata', 1, NULL, NULL""",
     "summary",
     "monthly_long",
 )
 def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and totals of a published snapshot, read back from its JSON export."""
     current = publish.read_snapshot(spark, published(spark, sf_dir))
-    counts = None
+    export = scratch_dir(spark, "export")
+    publish.export_json(current, export)
+    counts = []
     for name, df in current.items():
-        ids = (
-            F.count_distinct("account_id")
-            if "account_id" in df.columns
-            else F.lit(None).cast("bigint")
-        )
-        one = df.agg(F.count("*").alias("rows"), ids.alias("accounts")).select(
-            F.lit(name).alias("layer"), "rows", "accounts"
+        rows = spark.read.schema(df.drop(publish.BUCKET).schema).json(f"{export}/{name}")
+        total = next((c for c in ("annual_electricity_kwh", "electricity_kwh") if c in rows.columns), None)
+        ids = F.count_distinct("account_id") if "account_id" in rows.columns else F.lit(None).cast("bigint")
+        hundredths = F.lit(None).cast("bigint") if total is None else F.sum(F.rint(F.col(total) * 100.0).cast("bigint"))
+        counts.append(
+            rows.agg(
+                F.count("*").alias("rows"), ids.alias("accounts"), hundredths.alias("kwh_hundredths")
+            ).select(F.lit(name).alias("layer"), "rows", "accounts", "kwh_hundredths")
         )
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
@@ -261,11 +262,19 @@ def snapshot_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "snapshot_read",
-    "SELECT *, 'DEMO-' || building_id AS account_id FROM monthly_long",
-    "monthly_long",
+    """SELECT 'accounts' AS dataset, * FROM accounts
+       UNION ALL BY NAME SELECT 'daily_usage' AS dataset, 'DEMO-' || building_id AS account_id, * FROM daily_long
+       UNION ALL BY NAME SELECT 'monthly_usage' AS dataset, 'DEMO-' || building_id AS account_id, * FROM monthly_long
+       UNION ALL BY NAME SELECT 'investigations' AS dataset, 'DEMO-' || building_id AS account_id, *
+                         FROM investigation_long""",
+    "accounts",
+    "investigation_long",
 )
 def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.read_snapshot(spark, published(spark, sf_dir))["monthly_usage"]
+    """All rows and columns of the four datasets."""
+    current = publish.read_snapshot(spark, published(spark, sf_dir))
+    parts = [current[name].drop(publish.BUCKET).withColumn("dataset", F.lit(name)) for name in publish.DATASETS]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
 
 
 @query(
