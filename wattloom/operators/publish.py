@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -184,11 +185,10 @@ def publish_snapshot(
                     .write.partitionBy(BUCKET)
                     .parquet(written[name])
                 )
-                stored = _stored(spark, name, written[name])
-                sizes = spark.createDataFrame([(name, counted.get.get("rows", 0))], "layer string, rows bigint")
-                found = gates.same_counts(rollup.layer_counts({name: stored}), sizes)
-                gates.Gate("written rows", found.filter(F.col("status") != "PASS")).enforce()
-                gates.duplicates(stored, KEYS[name]).enforce()
+                computed_rows, stored_rows = counted.get.get("rows", 0), _stored(spark, name, written[name]).count()
+                if computed_rows != stored_rows:
+                    raise gates.GateFailed(f"{name}: {stored_rows} of {computed_rows} rows were written")
+            _no_repeats({name: _stored(spark, name, path) for name, path in written.items()}).enforce()
         except gates.GateFailed:
             for path in written.values():
                 delete_path(spark, path)
@@ -199,6 +199,17 @@ def publish_snapshot(
     return snapshot_id
 
 
+def _no_repeats(stored: dict[str, DataFrame]) -> gates.Gate:
+    """Repeated keys of all datasets, looked for in one job."""
+    repeats = [
+        rollup.duplicate_keys(df, KEYS[name]).select(
+            F.lit(name).alias("dataset"), F.to_json(F.struct(*KEYS[name])).alias("key"), "copies"
+        )
+        for name, df in stored.items()
+    ]
+    return gates.Gate("duplicate keys", reduce(DataFrame.unionByName, repeats))
+
+
 def _stored(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A written dataset; ``BUCKET`` names the folder of a row."""
     schema = T.StructType([*DATASETS[name].fields, T.StructField(BUCKET, T.IntegerType())])

@@ -13,7 +13,6 @@ from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
 from wattloom.plans.oracle import NESTED_DAY, NESTED_MONTH
-from wattloom.plans.queries_sources import published
 
 CREATED_AT = "2024-02-01T00:00:00+00:00"
 
@@ -21,14 +20,14 @@ CREATED_AT = "2024-02-01T00:00:00+00:00"
 def snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The snapshot datasets of the seven-year accounts.
 
-    Days and months are written once, as a published snapshot would be, instead of
-    being computed again for every dataset that derives from them.
+    Days, months and accounts are written once, as a published snapshot would be, instead
+    of being computed again for every dataset and look-up.
     """
     days = b.stored(b.daily_long, spark, sf_dir)
     months = stage(rollup.monthly_rollup(days, 2, WEATHER_DIGITS), "monthly-long")
     return {
-        "accounts": publish.published_accounts(
-            days, b.supplier_buildings(spark, sf_dir), digits=2
+        "accounts": stage(
+            publish.published_accounts(days, b.supplier_buildings(spark, sf_dir), digits=2), "accounts"
         ),
         "daily_usage": publish.with_account_id(days),
         "monthly_usage": publish.with_account_id(months),
@@ -43,7 +42,7 @@ def located(
     spark: SparkSession, sf_dir: str, current: dict[str, DataFrame] | None = None
 ) -> DataFrame:
     current = current or snapshot(spark, sf_dir)
-    checked = requests.validate(requests.parse(b.account_requests(spark, sf_dir)))
+    checked = stage(requests.validate(requests.parse(b.account_requests(spark, sf_dir))), "parsed-requests")
     return requests.locate(checked, current["accounts"], current["investigations"])
 
 
@@ -222,9 +221,10 @@ def evidence_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     "accounts",
 )
 def response_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The responses from a published snapshot, read back from their text."""
-    current = publish.read_snapshot(spark, published(spark, sf_dir))
-    answers = requests.answer(b.account_requests(spark, sf_dir), current, listing_at="snapshots/accounts")
+    """The responses, read back from their text."""
+    answers = requests.answer(
+        b.account_requests(spark, sf_dir), snapshot(spark, sf_dir), listing_at="snapshots/accounts"
+    )
     usage = "array<struct<usage_date: date, electricity_kwh: double>>"
     shape = (
         "error struct<code: string>, result struct<operation: string, data struct<account_id: string,"

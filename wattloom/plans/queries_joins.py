@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattloom import schemas
 from wattloom.functions.measures import WEATHER_DIGITS
 from wattloom.operators import conform, requests, rollup
+from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
 from wattloom.plans.oracle import NESTED_DAY, NESTED_MONTH
@@ -120,7 +121,7 @@ def join_account_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     "summary",
 )
 def lookup_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = requests.parse(b.account_requests(spark, sf_dir))
+    parsed = stage(requests.parse(b.account_requests(spark, sf_dir)), "parsed-requests")
     return conform.lookup_accounts(parsed, b.long_accounts(spark, sf_dir)).select(
         "request_id", "account_id", "building_id", "account_known"
     )

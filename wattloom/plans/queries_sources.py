@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.operators import compare, conform, publish
+from wattloom.functions.measures import WEATHER_DIGITS
+from wattloom.operators import compare, conform, publish, rollup
+from wattloom.operators.upsert import stage
 from wattloom.plans import bindings as b
 from wattloom.plans.catalog import query
 from wattloom.session import scratch_dir
@@ -191,7 +193,7 @@ def published(spark: SparkSession, sf_dir: str) -> str:
     """A snapshot of the seven-year accounts in a folder of its own."""
     root = scratch_dir(spark, "snapshots")
     days = b.stored(b.daily_long, spark, sf_dir)
-    months = b.stored(b.monthly_long, spark, sf_dir)
+    months = stage(rollup.monthly_rollup(days, 2, WEATHER_DIGITS), "monthly-long")
     publish.publish_snapshot(
         root,
         publish.published_accounts(days, b.supplier_buildings(spark, sf_dir), digits=2),
