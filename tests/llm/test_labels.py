@@ -1,12 +1,14 @@
 import random
+import time
 
 import brute
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from wattloom.llm import pii, toxicity
+from wattloom.llm import decontaminate, pii, simhash, toxicity
 
 SPAN = ("kind", "start", "end")
 
@@ -137,3 +139,56 @@ def test_label_model_recovers_rates():
     assert np.allclose(model.toxic_rate[1:5], [a for a, _ in rates[1:]], atol=0.08)
     assert np.allclose(model.clean_rate[1:5], [b for _, b in rates[1:]], atol=0.03)
     assert model.weight[0] < model.weight[1] and model.correlation[0, 5] > 0.2
+
+
+def test_posterior_equals_bayes_over_all_votes():
+    rng = np.random.default_rng(5)
+    toxic, clean, weight = rng.uniform(0.1, 0.9, 6), rng.uniform(0.1, 0.9, 6), rng.uniform(0.1, 1, 6)
+    model = toxicity.LabelModel(0.2, toxic, clean, weight, np.zeros((6, 6)))
+    for row in (rng.random((50, 6)) < 0.4).astype(float):
+        kinds = []
+        for prior, rates in ((0.2, toxic), (0.8, clean)):
+            kinds.append(prior * np.prod([(r if f else 1 - r) ** w for r, f, w in zip(rates, row, weight)]))
+        assert abs(model.posterior(row[None])[0] - kinds[0] / sum(kinds)) < 1e-12
+
+
+def test_gold_labels_move_rates_only():
+    model = toxicity.LabelModel(0.2, np.array([0.9, 0.5]), np.array([0.1, 0.5]), np.ones(2), np.zeros((2, 2)))
+    fired, gold, count = np.array([[1.0, 0], [0, 1], [1, 1]]), np.array([True, True, False]), np.array([3, 1, 4])
+    both = model.with_gold(fired, gold, count)
+    assert np.allclose(both.toxic_rate, [(0.9 + 3.5 / 5) / 2, (0.5 + 1.5 / 5) / 2])
+    assert np.allclose(both.clean_rate, [(0.1 + 4.5 / 5) / 2, (0.5 + 4.5 / 5) / 2])
+
+
+def test_posteriors_are_not_the_gold_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    sample = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", 30_000)
+    kinds = dict(tuple(r) for r in sample.groupBy(F.col("toxic") > 0).count().collect())
+    model = toxicity._pick_cues(sample, kinds[True], kinds[False])
+    found = toxicity._sample_features(sample, model)
+    fired = np.array([toxicity.votes(f, model) for f, _, _ in found], float)
+    gold, count = np.array([g for _, g, _ in found]), np.array([n for *_, n in found])
+    total, both = toxicity._vote_moments(docs, "text", model)
+    fitted = toxicity.fit_label_model(total, both, kinds[True] / count.sum()).with_gold(fired, gold, count)
+    differs = (fitted.posterior(fired) >= 0.5) != gold
+    assert 0 < count[differs].sum() < 0.1 * count.sum()
+
+
+def test_a_million_digits_within_a_second():
+    for text in ("7" * 1_000_000, "1." * 500_000, "1.2.3.4 " + "9" * 1_000_000 + ".1.2"):
+        begin = time.perf_counter()
+        found = pii.base_spans(text)
+        assert time.perf_counter() - begin < 5
+        assert all(kind == "ip" for kind, _, _ in found)
+
+
+@pytest.mark.parametrize("extra", ["_row", "_print", "_key", "_added", "_kept0_", "row", "segment", "fingerprint", "root"])
+def test_extra_columns_of_any_name_stay(spark, extra):
+    rows = [(1, "write to a.b@example.org now", "x"), (2, "one two three four five six seven eight nine ten eleven", "y")]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, `{extra}` string")
+    items = spark.createDataFrame([(5, "five six seven eight")], "item_id long, text string")
+    assert [(r[0], r[2]) for r in decontaminate.clean(docs, items).select(*docs.columns).collect()] == [(1, "x")]
+    assert sorted((r[0], r[2]) for r in simhash.keep_one(docs).select(*docs.columns).collect()) == [(1, "x"), (2, "y")]
+    redacted = pii.redacted(docs)
+    assert redacted.columns == docs.columns
+    assert sorted((r[0], r[1], r[2]) for r in redacted.collect()) == [(1, "write to <email> now", "x"), (2, rows[1][1], "y")]

@@ -47,11 +47,41 @@ def test_long_conversation(spark):
     assert row["n_common"] == 3000 and row["chosen"] == "" and row["rejected"] == turn("user", "more")
 
 
+def test_replaced_replies(spark):
+    rows = [
+        (0, 0, "user", "q", "x"), (0, 1, "assistant", "one", None), (0, 2, "user", "more", None), (0, 3, "assistant", "two", None), (0, 4, "user", "bye", None),
+        (1, 0, "user", "other", None), (1, 1, "assistant", "lent", None),
+        (4, 0, "user", "alone", None), (4, 1, "assistant", None, None), (4, 1, "assistant", "twice", None), (4, 1, "assistant", "twice", None),
+        (6, 0, "user", "no reply", None), (7, 0, "assistant", "first", None), (None, 0, "assistant", "lost", None),
+    ]
+    made = preference.replaced_replies(spark.createDataFrame(rows, SCHEMA))
+    found = {r["pair_id"]: r for r in preference.format_pairs(made).collect()}
+    assert set(found) == {0, 1, 4, 6, 7}
+    assert found[0]["prompt"] == turn("user", "q") + turn("assistant", "one") + turn("user", "more")
+    assert (found[0]["chosen_id"], found[0]["rejected_id"], found[0]["n_common"]) == (0, 1, 3)
+    assert found[0]["chosen"] == turn("assistant", "two") + turn("user", "bye")
+    assert found[0]["rejected"] == turn("assistant", "lent") + turn("user", "bye")
+    assert [found[0]["rejected"][a:b] for a, b in found[0]["rejected_mask"]] == ["lent<|im_end|>"]
+    assert (found[1]["rejected_id"], found[1]["rejected"]) == (0, turn("assistant", "two"))
+    # Nobody lends to 4: one of its repeated last turns is emptied.
+    assert found[4]["rejected_id"] == 4 and found[4]["rejected"].count("twice") == 1
+    assert found[6]["rejected_id"] == 7 and found[6]["chosen"] == found[6]["rejected"] == ""
+    assert found[7]["prompt"] == "" and found[7]["rejected"] == turn("assistant", "")
+
+
+def test_pairs_of_the_query_share_a_prompt(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role = 'assistant'")
+    more = {r["conv_id"] for r in turns.groupBy("conv_id").agg({"turn": "max"}).where("`max(turn)` > 0").collect()}
+    rows = queries.QUERIES["op10_preference"](spark, sf_dir).collect()
+    assert more and all(r["prompt"] for r in rows if r["pair_id"] in more)
+
+
 def test_empty_table(spark):
     assert pairs(spark, []) == {}
+    assert preference.replaced_replies(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-@pytest.mark.parametrize("name", list(queries.SQL))
+@pytest.mark.parametrize("name", ["op8_warc", "op10_preference"])
 def test_query_matches_sql(spark, sf_dir, name):
     assert oracle.difference(queries.QUERIES[name](spark, sf_dir), oracle.connect(sf_dir), queries.SQL[name]) is None
 

@@ -54,6 +54,14 @@ def renamed(field: T.StructField, name: str) -> T.StructField:
     return T.StructField(name, field.dataType, True)
 
 
+def sheltered(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but ``used`` under a name that clashes with none of an
+    operator's, and a function that gives the columns back as they were."""
+    places = {c: c if c in used else f"_kept{k}_" for k, c in enumerate(docs.columns)}
+    hidden = docs.toDF(*places.values())
+    return hidden, lambda out: out.select(*[F.col(p).alias(c) for c, p in places.items()])
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components: edges (a, b) of longs to (node, root), root being the
     smallest node reachable. Roots themselves and nodes without an edge to another node

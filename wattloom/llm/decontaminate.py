@@ -273,6 +273,7 @@ def report(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents in which no window occurs, with all their columns."""
-    rows, spans, _ = matches(docs, items, docs.columns, text, item_key, item_text)
+    hidden, back = common.sheltered(docs, text)
+    rows, spans, _ = matches(hidden, items, hidden.columns, text, item_key, item_text)
     hit = spans.select(F.col("row").alias("_row")).distinct()
-    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
+    return back(rows.join(hit, "_row", "left_anti"))

@@ -43,7 +43,8 @@ MOST_ROUNDS = 1_000
 # Fixed patterns of the base.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_ADDRESS = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Starting only where a run of digits does finds the same and stays linear in long runs.
+_ADDRESS = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -303,6 +304,7 @@ def redact(text: str, found: list[tuple[str, int, int]]) -> str:
 def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with personal data replaced by marks, other columns unchanged. Added
     spans are found per key and text, so repeated rows get the same."""
+    docs, back = common.sheltered(docs, key, text)
     print_of = F.xxhash64(text)
     scanned = scan(docs.select(print_of.alias("_print"), key, text), ["_print", key], text)
     numbered = scanned.select(F.struct("_print", key).alias("_row"), "_mentions")
@@ -325,4 +327,4 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         new = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays([new if n == text else batch.column(n) for n in names], names=names)
 
-    return common.map_batches(wide, run, [common.renamed(docs.schema[n], n) for n in names])
+    return back(common.map_batches(wide, run, [common.renamed(docs.schema[n], n) for n in names]))

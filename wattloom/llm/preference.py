@@ -50,6 +50,37 @@ def label_neighbours(turns: DataFrame, conversation: str = "conv_id") -> DataFra
     )
 
 
+def replaced_replies(turns: DataFrame, conversation: str = "conv_id") -> DataFrame:
+    """Turns with ``pair_id`` and ``side``: every conversation is chosen over itself with its
+    last assistant turn replaced by the last one of its neighbour (2k and 2k + 1 lend to
+    each other), so that a pair shares all turns before.
+
+    The pair is named by the conversation; the rejected side carries the id of the neighbour,
+    or of the conversation itself if that has no assistant turn; the reply is then empty. A
+    conversation without an assistant turn has two equal sides.
+    """
+    clean = turns.where(F.col(conversation).isNotNull()).select(
+        F.col(conversation).alias("id"),
+        "turn",
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    from_last = Window.partitionBy("id", "role").orderBy(F.col("turn").desc_nulls_last(), F.desc("text"))
+    last = (F.col("role") == TRAINED_ROLE) & (F.row_number().over(from_last) == 1)
+    marked = clean.withColumn("last", last)
+    lent = marked.where("last").select(
+        F.col("id").bitwiseXOR(F.lit(1)).alias("id"), F.col("id").alias("lender"), F.col("text").alias("reply")
+    )
+    reply = F.when(F.col("last"), F.coalesce("reply", F.lit(""))).otherwise(F.col("text"))
+    sides = F.array(
+        F.struct(F.lit("chosen").alias("side"), F.col("id").alias(conversation), F.col("text").alias("text")),
+        F.struct(F.lit("rejected").alias("side"), F.coalesce("lender", "id").alias(conversation), reply.alias("text")),
+    )
+    return marked.join(lent, "id", "left").select(
+        F.col("id").alias("pair_id"), "turn", "role", F.inline(sides)
+    )
+
+
 def _joined(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: t["rendered"]), "")
 

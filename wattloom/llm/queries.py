@@ -78,7 +78,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = preference.label_neighbours(common.table(common.prepare(spark), sf_dir, "conversations"))
+    turns = preference.replaced_replies(common.table(common.prepare(spark), sf_dir, "conversations"))
     return (
         preference.format_pairs(turns)
         .withColumn("chosen_mask", preference.mask_text("chosen_mask"))
@@ -87,12 +87,21 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op10_preference"] = """
-WITH turns AS (
-  SELECT conv_id, conv_id >> 1 AS pair_id, conv_id & 1 AS side, turn, coalesce(role, '') AS role,
-         coalesce(text, '') AS text,
-         '<|im_start|>' || coalesce(role, '') || chr(10) AS head,
-         '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS rendered
+WITH marked AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         coalesce(role, '') = 'assistant' AND row_number() OVER (
+           PARTITION BY conv_id, coalesce(role, '') ORDER BY turn DESC NULLS LAST, coalesce(text, '') DESC) = 1 AS last
   FROM conversations WHERE conv_id IS NOT NULL),
+sides AS (
+  SELECT conv_id AS pair_id, 0 AS side, conv_id, turn, role, text FROM marked
+  UNION ALL
+  SELECT m.conv_id, 1, coalesce(l.conv_id, m.conv_id), m.turn, m.role,
+         CASE WHEN m.last THEN coalesce(l.text, '') ELSE m.text END
+  FROM marked m LEFT JOIN (SELECT * FROM marked WHERE last) l ON l.conv_id = xor(m.conv_id, 1)),
+turns AS (
+  SELECT *, '<|im_start|>' || role || chr(10) AS head,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
+  FROM sides),
 placed AS (
   SELECT *, row_number() OVER w AS k, sum(length(rendered)) OVER w AS stop FROM turns
   WINDOW w AS (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),

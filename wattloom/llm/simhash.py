@@ -249,14 +249,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """The documents with one row of each group kept: that of the smallest key, of the
     smallest text hash among equal keys. A row without a key stays only for a group in
     which no row has one. Of equal rows one stays."""
-    marked = docs.withColumn("_print", F.xxhash64(text))
+    hidden, back = common.sheltered(docs, key, text)
+    marked = hidden.withColumn("_print", F.xxhash64(text))
     prints = common.staged(fingerprints(marked, [key, "_print"], text), "prints")
     order = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("key"), F.col("_print").alias("print"))
     first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
     best = first.join(_roots(prints), "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
     kept = best.select(F.col("first.key").alias("_key"), F.col("first.print").alias("_kept"))
     joined = marked.join(kept, (marked["_print"] == kept["_kept"]) & marked[key].eqNullSafe(kept["_key"]), "left_semi")
-    return joined.dropDuplicates([key, "_print"]).drop("_print")
+    return back(joined.dropDuplicates([key, "_print"]))
 
 
 def hexadecimal(column) -> F.Column:

@@ -10,9 +10,11 @@
    of two voters is the product of their strengths. Strengths come from triplets of
    voters; what a pair's covariance has beyond its product is their correlation, which
    lowers the weight of both votes.
-4. The posterior label of a sampled text weighs the votes that fired and, as one more
-   voter of known accuracy, its gold label. A linear classifier on cues and marks is
-   trained on these posteriors and scores every document.
+   Gold labels of the training sample give the prior and a second estimate of the rates;
+   the model uses the mean of both.
+4. The posterior label of a text weighs the votes that fired and those that abstained; its
+   gold label is not looked at. A linear classifier on cues and marks is trained on the
+   posteriors of the sampled texts and scores every document.
 
 Only labels of rows that are not held out are used. Rows: a null or
 empty text has no cues and gets the score of the intercept. Repeated documents keep
@@ -26,7 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +54,9 @@ PATTERN_VOTERS = 8
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Log odds that all votes on a text can give together: many votes on the same cues are
 #: never worth as much as as many independent ones.
-MOST_EVIDENCE = 8.0
-#: Accuracy of a gold label as a voter.
-GOLD_ACCURACY = 0.99999
+MOST_EVIDENCE = 15.0
+#: No voter is taken to fire more seldom, or to abstain more seldom, than this.
+LOW_RATE = 1e-4
 #: Rounds of gradient descent of the classifier and its ridge penalty.
 ROUNDS = 1_000
 RIDGE = 1e-5
@@ -231,14 +233,24 @@ class LabelModel:
     weight: np.ndarray
     correlation: np.ndarray
 
-    def posterior(self, fired: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        """Probability of a toxic text from the votes that fired and its gold label."""
-        votes_for = fired @ (self.weight * np.log(self.toxic_rate / self.clean_rate))
-        votes_for = np.clip(votes_for, -MOST_EVIDENCE, MOST_EVIDENCE)
-        gold_for = np.where(gold, 1, -1) * np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY))
-        logit = np.log(self.prior / (1 - self.prior)) + votes_for + gold_for
+    def posterior(self, fired: np.ndarray) -> np.ndarray:
+        """Probability of a toxic text from the votes that fired and those that did not."""
+        on = self.weight * np.log(self.toxic_rate / self.clean_rate)
+        off = self.weight * np.log((1 - self.toxic_rate) / (1 - self.clean_rate))
+        evidence = np.clip(fired @ on + (1 - fired) @ off, -MOST_EVIDENCE, MOST_EVIDENCE)
+        logit = np.log(self.prior / (1 - self.prior)) + evidence
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
+    def with_gold(self, fired: np.ndarray, gold: np.ndarray, count: np.ndarray) -> LabelModel:
+        """The model with each rate the mean of its own and of that among gold-labelled
+        texts; ``count`` says how many texts a row stands for."""
+        rates = []
+        for own, kind in ((self.toxic_rate, gold), (self.clean_rate, ~gold)):
+            texts = np.where(kind, count, 0)
+            seen = (fired.T @ texts + 0.5) / (texts.sum() + 1.0)
+            rates.append((own + np.clip(seen, LOW_RATE, 1 - LOW_RATE)) / 2)
+        return replace(self, toxic_rate=rates[0], clean_rate=rates[1])
+
 
 def fit_label_model(total: int, both: np.ndarray, prior: float) -> LabelModel:
     """Rates from first and second moments of the votes.
@@ -262,7 +274,7 @@ def fit_label_model(total: int, both: np.ndarray, prior: float) -> LabelModel:
         squared = np.median(found) if found else 0.0
         side = np.sign(covariance[i, others].sum()) or 1.0
         strength[i] = side * np.sqrt(max(0.0, squared))
-    low, high = 1e-4, 1 - 1e-4
+    low, high = LOW_RATE, 1 - LOW_RATE
     toxic_rate = np.clip(mean + strength * np.sqrt((1 - prior) / prior), low, high)
     clean_rate = np.clip(mean - strength * np.sqrt(prior / (1 - prior)), low, high)
     # What is left of the correlation of two voters beyond the common label.
@@ -321,11 +333,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return model
     model = _pick_cues(sample, toxic, clean)
     total, both = _vote_moments(docs, text, model)
-    label_model = fit_label_model(total, both, prior)
     found = _sample_features(sample, model)
-    fired = np.array([votes(f, model) for f, _, _ in found])
-    posterior = label_model.posterior(fired, np.array([g for _, g, _ in found]))
-    model.weights, model.intercept = fit_classifier(found, posterior, model.size)
+    fired = np.array([votes(f, model) for f, _, _ in found], float)
+    gold, count = np.array([g for _, g, _ in found]), np.array([n for _, _, n in found])
+    label_model = fit_label_model(total, both, prior).with_gold(fired, gold, count)
+    model.weights, model.intercept = fit_classifier(found, label_model.posterior(fired), model.size)
     return model
 
 
