@@ -1,13 +1,14 @@
 """Request answering against a plain per-request evaluation."""
 
 import json
+import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from wattloom import schemas
-from wattloom.operators import publish, requests, rollup
+from wattloom.operators import publish, requests, rollup, upsert
 from wattloom.operators.compare import investigation
 from wattloom.operators.publish import with_account_id
 from wattloom.operators.skew import hot_keys, skewed_join
@@ -267,3 +268,13 @@ def test_one_shared_read_of_the_snapshot(spark, stored):
     plan = requests.answer(frame, stored, "/a")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 15
     assert plan.count("Subquery") <= 8
+
+
+def test_written_answers_leave_nothing_staged(spark, snapshot, tmp_path, monkeypatch):
+    staged = []
+    scratch = upsert.scratch_dir
+    monkeypatch.setattr(upsert, "scratch_dir", lambda *a: staged.append(scratch(*a)) or staged[-1])
+    frame = spark.createDataFrame([(json.dumps(g),) for g in GOOD], "request_json string")
+    requests.respond(frame, snapshot, "/a", str(tmp_path / "answers"))
+    assert spark.read.parquet(str(tmp_path / "answers")).filter("ok").count() == len(GOOD)
+    assert len(staged) == 4 and not any(os.path.exists(p) for p in staged)

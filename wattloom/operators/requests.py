@@ -8,6 +8,7 @@ keyed (checked when they are published), so lookups cannot fan out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -19,7 +20,7 @@ from wattloom.functions import periods, text
 from wattloom.operators import conform
 from wattloom.operators.publish import BUCKET
 from wattloom.operators.skew import hot_keys, skewed_join
-from wattloom.operators.upsert import stage
+from wattloom.operators.upsert import Staging, stage
 
 # Operations, error codes, messages and texts of the request contract.
 OPERATIONS = ["list_accounts", "account_details", "investigate_usage", "explain_usage"]
@@ -43,8 +44,26 @@ EXPLANATION_SCOPE = (
     "Bill calculations are not included."
 )
 
+# Sentences of an explanation, with the amounts between them.
+ALONE = (
+    "Modeled electricity usage for this month was ",
+    ". Previous-month data is unavailable, so a monthly comparison cannot be provided.",
+)
+COMPARED = (
+    "Modeled electricity usage was ",
+    ", compared with ",
+    " in the previous month. Total usage ",
+    " by ",
+    ". Average daily usage was ",
+    ", compared with ",
+    " previously. Weather attribution and bill calculations are not included.",
+)
+
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
+#: Writes rows under a label and reads them back.
+Stage = Callable[[DataFrame, str], DataFrame]
+
 
 def _string_field(document: Column, name: str) -> Column:
     """A top-level field if it is a JSON string, else null."""
@@ -133,7 +152,9 @@ def nest_usage(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     )
 
 
-def asked_details(wanted: DataFrame, snapshot: dict[str, DataFrame]) -> DataFrame:
+def asked_details(
+    wanted: DataFrame, snapshot: dict[str, DataFrame], stage: Stage = stage
+) -> DataFrame:
     """``account_details`` of the accounts in ``wanted`` (column account_id) alone.
 
     The accounts found are written, and joined to the usage by building and by the folder
@@ -199,28 +220,18 @@ def explanation(comparison: Column, available: Column) -> Column:
         return F.concat(text.fixed(comparison[name]), F.lit(" kWh"))
 
     change = comparison["electricity_change_kwh"]
-    alone = F.concat(
-        F.lit("Modeled electricity usage for this month was "),
-        kwh("electricity_kwh"),
-        F.lit(
-            ". Previous-month data is unavailable, so a monthly comparison cannot be provided."
-        ),
-    )
-    compared = F.concat(
-        F.lit("Modeled electricity usage was "),
+    lead, gap = map(F.lit, ALONE)
+    alone = F.concat(lead, kwh("electricity_kwh"), gap)
+    amounts = [
         kwh("electricity_kwh"),
-        F.lit(", compared with "),
         kwh("previous_electricity_kwh"),
-        F.lit(" in the previous month. Total usage "),
         F.when(change >= 0, F.lit("increased")).otherwise(F.lit("decreased")),
-        F.lit(" by "),
         F.concat(text.fixed(F.abs(change)), F.lit(" kWh")),
-        F.lit(". Average daily usage was "),
         kwh("average_daily_kwh"),
-        F.lit(", compared with "),
         kwh("previous_average_daily_kwh"),
-        F.lit(" previously. Weather attribution and bill calculations are not included."),
-    )
+    ]
+    sentences = [F.lit(part) for part in COMPARED]
+    compared = F.concat(sentences[0], *[c for pair in zip(amounts, sentences[1:]) for c in pair])
     return F.struct(
         F.when(available, compared).otherwise(alone).alias("text"),
         F.when(available, F.lit("fallback")).otherwise(F.lit("no_comparison")).alias("source"),
@@ -294,7 +305,7 @@ def locate(
 
 
 def answer(
-    requests: DataFrame, snapshot: dict[str, DataFrame], listing_at: str
+    requests: DataFrame, snapshot: dict[str, DataFrame], listing_at: str, stage: Stage = stage
 ) -> DataFrame:
     """Responses to all requests: ``ok``, ``error`` and ``response_json``.
 
@@ -302,7 +313,8 @@ def answer(
     and the number of accounts.
 
     Requests are parsed once and written, looked up once and written, and then answered
-    branch by branch: each operation makes its document in a branch of its own.
+    branch by branch: each operation makes its document in a branch of its own. The result
+    reads what ``stage`` wrote; ``respond`` also deletes that.
     """
     metadata = described(snapshot["metadata"])
     checked = stage(validate(parse(requests)), "parsed-requests")
@@ -318,7 +330,7 @@ def answer(
     investigated = _result("investigate_usage", metadata, _comparison_data())
     told = explanation(F.col("comparison"), F.col("comparison_available")).alias("explanation")
     explained = _result("explain_usage", metadata, _comparison_data(told))
-    details = _answered_details(branch("account_details"), snapshot, metadata, hot)
+    details = _answered_details(branch("account_details"), snapshot, metadata, hot, stage)
     branches = [
         located.filter(F.col("error").isNotNull()).withColumn("_result", F.lit(None).cast("string")),
         branch("list_accounts").withColumn("_result", listing),
@@ -339,13 +351,21 @@ def answer(
     )
 
 
+def respond(
+    requests: DataFrame, snapshot: dict[str, DataFrame], listing_at: str, path: str
+) -> None:
+    """Answer a batch into parquet files at ``path``; nothing staged is left behind."""
+    with Staging(requests.sparkSession) as staging:
+        answer(requests, snapshot, listing_at, staging).write.parquet(path)
+
+
 def _answered_details(
-    asking: DataFrame, snapshot: dict[str, DataFrame], metadata: Column, hot: DataFrame
+    asking: DataFrame, snapshot: dict[str, DataFrame], metadata: Column, hot: DataFrame, stage: Stage
 ) -> DataFrame:
     """Details requests with the document of their account, which is made once however
     many ask for it."""
     data = F.struct("account", "daily_usage", "monthly_usage")
-    documents = asked_details(asking, snapshot).select(
+    documents = asked_details(asking, snapshot, stage).select(
         "account_id",
         _result("account_details", metadata, data).alias("_result"),
         F.col("_bad").alias("_details_bad"),

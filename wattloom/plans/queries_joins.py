@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wattloom import schemas
 from wattloom.functions.measures import WEATHER_DIGITS

@@ -239,6 +239,7 @@ def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+# The texts and numbers are the fixed values of a snapshot's description.
 @query(
     "snapshot_metadata",
     """SELECT 3 AS schema_version, 'ResStock 2022 release, AMY2018 baseline' AS dataset,
