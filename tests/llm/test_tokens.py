@@ -78,8 +78,22 @@ def test_many_files_keep_the_order(spark, tmp_path, docs):
     assert [r["key"] for r in rows] == [None, 2, 2, 5, 5, 7, 9]
 
 
+def test_a_repeated_key_fills_many_small_files(spark, tmp_path):
+    rows = [(4, "the same words")] * 400 + [(4, "other " * k) for k in range(200)] + [(1, "first"), (9, "a long one " * 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = str(tmp_path / "files")
+    token_files.write(docs, path, queries.vocabulary(), file_tokens=1000)
+    encoder = bpe.Encoder(queries.vocabulary())
+    expected = sorted((k, len(i) + 1) for (k, _), i in zip(rows, encoder.encode(pa.array([t for _, t in rows]))))
+    found = sorted(token_files.read(spark, path).collect(), key=lambda r: r["start"])
+    assert [(r["key"], r["n_tokens"]) for r in found] == expected
+    assert [r["start"] for r in found] == np.cumsum([0, *(n for _, n in expected[:-1])]).tolist()
+    files = [token_files.parse(f.read_bytes()) for f in (tmp_path / "files").glob("*/*.txt")]
+    assert len(files) > 10 and all(len(ids) <= 1000 or len(counts) == 1 for _, counts, ids in files)
+
+
 def test_damage_is_noticed():
-    body = b"TOKRANK1" + bytes(60)
+    body = token_files.MAGIC + bytes(60)
     with pytest.raises(ValueError, match="checksum"):
         token_files.parse(body + zlib.crc32(b"other").to_bytes(4, "little") + b"\n")
 

@@ -6,10 +6,15 @@ ranks stands in one control byte, two bits each, and control bytes are kept apar
 data bytes. A decoder reads control bytes through a table of 256 rows and moves all
 data bytes at once.
 
-A file holds a range of keys in ascending order: header (magic, version, number of
-documents, ids, control bytes, ranks), the keys with a null mark, the ids and control
+Documents are dealt out by ranges of keys in ascending order; a range that outgrows a
+file goes on in another. So a file holds at most ``file_tokens`` ids or one document,
+whatever the keys, and a task holds one file. A file: header (magic and version, number
+of documents, ids, control bytes, ranks), the keys with a null mark, the ids and control
 bytes of each document, the table of ids by rank, control bytes, data bytes and a
-checksum. Documents of equal keys stand in the order of their texts' ids; null keys come
+checksum. Its folder's name says range, file and number of ids, so a reader knows the
+ids before each file without opening any.
+
+Documents of equal keys stand by length, then by a hash of their ids; null keys come
 first. Keys are integers. A null or empty text is just its end id; an empty table makes
 no file.
 """
@@ -30,10 +35,12 @@ from pyspark.sql import types as T
 from wattloom.llm import common, pack
 from wattloom.session import scratch_dir
 
-MAGIC = b"TOKRANK1"
-#: Ids in a file, about.
+MAGIC = b"TOKRANK2"
+#: Most ids in a file, unless it holds a single document.
 FILE_TOKENS = 4_000_000
-_HEADER = "<8sqqqqq"  # magic, file number, documents, ids, control bytes, ranks
+_HEADER = "<8sqqqq"  # magic, documents, ids, control bytes, ranks
+#: Partition column whose value names a file: range of keys, file in it, number of ids.
+_NAME = "part_file_ids"
 _SHIFTS = np.arange(4, dtype=np.uint8) * 2
 #: Bytes of each of the four ranks, by control byte.
 LENGTHS = ((np.arange(256, dtype=np.uint8)[:, None] >> _SHIFTS) & 3) + 1
@@ -96,54 +103,71 @@ def write(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, "<u4")
     rank[by_rank] = np.arange(len(by_rank), dtype="<u4")
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    files = max(1, math.ceil(total / file_tokens))
+    parts = max(1, math.ceil(total / file_tokens))
 
-    # Dealing out by range looks at its input twice, so ids are coded only after it.
+    # Dealing out by range looks at its input twice, so ids are coded only after it. Place
+    # in the encoded table makes every row different: a repeated key fills many ranges.
+    order = ["key", "n_tokens", "print", "part", "start"]
     placed = (
-        tokens.select(F.col(key).cast("long").alias("key"), "n_tokens", "ids")
-        .repartitionByRange(files, "key")
-        .sortWithinPartitions("key", "n_tokens", "ids")
+        tokens.select(F.col(key).cast("long").alias("key"), "n_tokens", F.xxhash64("ids").alias("print"), "part", "start", "ids")
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .select("key", "n_tokens", "ids")
     )
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held, controls, data = [], [], []
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch.select(["key", "n_tokens"]))
-                coded = [encode_ranks(rank[np.frombuffer(ids, f"<u{width}")]) for ids in batch.column("ids").to_pylist()]
-                controls += [c for c, _ in coded]
-                data += [d for _, d in coded]
-        if not held:
-            return
-        rows = pa.Table.from_batches(held)
-        keys, counts = rows.column("key"), rows.column("n_tokens").to_numpy()
-        control = b"".join(controls)
-        parts = [
-            keys.fill_null(0).to_numpy().astype("<i8").tobytes(),
-            keys.is_null().to_numpy().astype(np.uint8).tobytes(),
-            counts.astype("<i8").tobytes(),
-            by_rank.tobytes(),
-            control,
-            b"".join(data),
-        ]
-        head = struct.pack(_HEADER, MAGIC, TaskContext.get().partitionId(), len(counts), int(counts.sum()), len(control), len(by_rank))
-        body = b"".join([head, *parts])
-        body += struct.pack("<I", zlib.crc32(body))
-        yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], names=["file"])
+        part, files = TaskContext.get().partitionId(), 0
+        keys, counts, coded, held = [], [], [], 0
 
-    # The text writer puts out the bytes as they are, and one line feed after them.
-    files_df = placed.mapInArrow(assemble, "file binary").select(F.col("file").cast("string"))
-    files_df.write.text(path)
+        def closed() -> pa.RecordBatch:
+            nonlocal files, held
+            body = _file(keys, counts, coded, by_rank)
+            name = f"p{part}-f{files}-n{held}"
+            files, held = files + 1, 0
+            for column in (keys, counts, coded):
+                column.clear()
+            return pa.RecordBatch.from_arrays([pa.array([body], pa.binary()), pa.array([name])], names=["file", _NAME])
 
+        for batch in batches:
+            for one, count, ids in zip(*(batch.column(c).to_pylist() for c in ("key", "n_tokens", "ids"))):
+                if keys and held + count > file_tokens:
+                    yield closed()
+                keys.append(one)
+                counts.append(count)
+                coded.append(encode_ranks(rank[np.frombuffer(ids, f"<u{width}")]))
+                held += count
+        if keys:
+            yield closed()
 
-def parse(content: bytes) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
-    """(file number, keys, ids per document, all ids) of a file."""
+    # The text writer puts out the bytes as they are, and one line feed after them.
+    files_df = placed.mapInArrow(assemble, f"file binary, {_NAME} string").select(F.col("file").cast("string"), _NAME)
+    files_df.write.partitionBy(_NAME).text(path)
+
+
+def _file(keys: list, counts: list[int], coded: list[tuple[bytes, bytes]], by_rank: np.ndarray) -> bytes:
+    """The bytes of a file: documents by key, ids and (control bytes, data bytes)."""
+    control = b"".join(c for c, _ in coded)
+    head = struct.pack(_HEADER, MAGIC, len(keys), sum(counts), len(control), len(by_rank))
+    parts = [
+        np.array([k or 0 for k in keys], "<i8").tobytes(),
+        np.array([k is None for k in keys], np.uint8).tobytes(),
+        np.array(counts, "<i8").tobytes(),
+        by_rank.tobytes(),
+        control,
+        *(d for _, d in coded),
+    ]
+    body = b"".join([head, *parts])
+    return body + struct.pack("<I", zlib.crc32(body))
+
+
+def parse(content: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(keys, ids per document, all ids) of a file."""
     body, check = content[:-5], content[-5:-1]
     if struct.pack("<I", zlib.crc32(body)) != check:
         raise ValueError("token file with a wrong checksum")
-    magic, number, documents, total, controls, ranks = struct.unpack_from(_HEADER, body)
+    magic, documents, total, controls, ranks = struct.unpack_from(_HEADER, body)
     if magic != MAGIC:
         raise ValueError("not a token file")
     at = struct.calcsize(_HEADER)
@@ -159,26 +183,32 @@ def parse(content: bytes) -> tuple[int, pa.Array, np.ndarray, np.ndarray]:
     ids = by_rank[decode_ranks(control, take("u1", len(body) - at), counts)]
     if len(ids) != total:
         raise ValueError("token file with a wrong number of ids")
-    return number, pa.array(keys, mask=nulls.astype(bool)), counts, ids
+    return pa.array(keys, mask=nulls.astype(bool)), counts, ids
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(key, start, n_tokens, ids) of every document in the files below ``path``: ids
     little-endian unsigned 32-bit, ``start`` the ids of all documents before it."""
-    found = spark.read.format("binaryFile").load(path).where("length > 1")
-    heads = found.select(_little("content", 8).alias("number"), _little("content", 24).alias("total")).collect()
+    schema = "key long, start long, n_tokens long, ids binary"
+    found = spark.read.format("binaryFile").load(path)
+    if _NAME not in found.columns:
+        return spark.createDataFrame([], schema)
+    # Folder names alone answer this: one row per file, no file is opened.
+    names = [r[0] for r in found.select(_NAME).distinct().collect()]
     offsets, total = {}, 0
-    for number, count in sorted(tuple(r) for r in heads):  # one row per file
-        offsets[number] = total
-        total += count
+    for name in sorted(names, key=lambda name: _facts(name)[:2]):
+        offsets[name] = total
+        total += _facts(name)[2]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], []]
-        for content in batch.column(0).to_pylist():
-            number, keys, counts, ids = parse(content)
+        for content, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            keys, counts, ids = parse(content)
+            if len(ids) != _facts(name)[2]:
+                raise ValueError("token file in a folder of another number of ids")
             ends = np.cumsum(counts)
             columns[0].append(keys)
-            columns[1].append(offsets[number] + ends - counts)
+            columns[1].append(offsets[name] + ends - counts)
             columns[2].append(counts)
             columns[3] += [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), counts.tolist())]
         return pa.RecordBatch.from_arrays(
@@ -191,15 +221,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             names=["key", "start", "n_tokens", "ids"],
         )
 
-    schema = "key long, start long, n_tokens long, ids binary"
-    return common.map_batches(found.select("content"), run, T._parse_datatype_string(schema).fields)
+    return common.map_batches(found.select("content", _NAME), run, T._parse_datatype_string(schema).fields)
 
 
-def _little(column: str, begin: int) -> F.Column:
-    """The little-endian 64-bit integer at a place in a binary column."""
-    digits = F.hex(F.substring(column, begin + 1, 8))
-    pairs = [F.substring(digits, 2 * k + 1, 2) for k in reversed(range(8))]
-    return F.conv(F.concat(*pairs), 16, 10).cast("long")
+def _facts(name: str) -> tuple[int, int, int]:
+    """(range, file in it, ids) by the name of a file's folder."""
+    part, file, count = (int(x[1:]) for x in name.split("-"))
+    return part, file, count
 
 
 def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
