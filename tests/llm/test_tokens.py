@@ -57,6 +57,8 @@ def test_variable_length_code(docs):
     control, data = (np.frombuffer(b"".join(x), np.uint8) for x in zip(*coded)) if coded else (np.zeros(0, np.uint8),) * 2
     counts = np.array([len(d) for d in docs], np.int64)
     assert token_files.decode_ranks(control, data, counts).tolist() == sum(docs, [])
+    at_once = token_files.encode_ranks(np.array(sum(docs, []), np.uint32), counts)
+    assert at_once == (control.tobytes(), data.tobytes())
 
 
 def test_files_round_trip(spark, docs, expected):

@@ -47,17 +47,29 @@ LENGTHS = ((np.arange(256, dtype=np.uint8)[:, None] >> _SHIFTS) & 3) + 1
 _PLACES = np.arange(4, dtype=np.uint8)
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of one document's ranks."""
+def encode_ranks(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """(control bytes, data bytes) of documents of so many ranks, by default of one; the
+    control bytes of each start at a byte of their own."""
     ranks = np.ascontiguousarray(ranks, "<u4")
+    counts = np.array([len(ranks)]) if counts is None else counts
     extra = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = extra
-    control = (codes.reshape(-1, 4) << _SHIFTS).sum(axis=1).astype(np.uint8)
+    spare = -counts % 4
+    codes = np.zeros(len(ranks) + int(spare.sum()), np.uint8)
+    codes[np.arange(len(ranks)) + np.repeat(np.cumsum(spare) - spare, counts)] = extra
+    codes = codes.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     octets = ranks.view(np.uint8).reshape(-1, 4)
     return control.tobytes(), octets[_PLACES <= extra[:, None]].tobytes()
 
 
+def _flat(column: pa.Array, width: int) -> np.ndarray:
+    """The ids of all rows of a binary column, one after the other."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return np.ascontiguousarray(data).view(f"<u{width}")
+
+
 def decode_ranks(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Ranks of all documents of a file; ``counts``: ranks of each document, whose
     control bytes start at a byte of their own."""
@@ -80,10 +92,7 @@ def _ranking(tokens: DataFrame, width: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            column = batch.column(0).cast(pa.binary())
-            ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
-            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
-            here = np.bincount(np.ascontiguousarray(data).view(f"<u{width}"))
+            here = np.bincount(_flat(batch.column(0), width))
             if len(here) > len(counts):
                 counts, here = here, counts
             counts[: len(here)] += here
@@ -123,21 +132,30 @@ def write(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text
 
         def closed() -> pa.RecordBatch:
             nonlocal files, held
-            body = _file(keys, counts, coded, by_rank)
+            body = _file(pa.concat_arrays(keys), np.concatenate(counts), coded, by_rank)
             name = f"p{part}-f{files}-n{held}"
             files, held = files + 1, 0
-            for column in (keys, counts, coded):
-                column.clear()
+            for pieces in (keys, counts, coded):
+                pieces.clear()
             return pa.RecordBatch.from_arrays([pa.array([body], pa.binary()), pa.array([name])], names=["file", _NAME])
 
         for batch in batches:
-            for one, count, ids in zip(*(batch.column(c).to_pylist() for c in ("key", "n_tokens", "ids"))):
-                if keys and held + count > file_tokens:
+            count = batch.column("n_tokens").to_numpy()
+            ends = np.concatenate([[0], np.cumsum(count)])
+            ranks = rank[_flat(batch.column("ids"), width)]
+            at = 0
+            while at < len(count):
+                # As many documents as the file has room for, one at least.
+                to = int(np.searchsorted(ends, ends[at] + file_tokens - held, "right")) - 1
+                if to <= at and keys:
                     yield closed()
-                keys.append(one)
-                counts.append(count)
-                coded.append(encode_ranks(rank[np.frombuffer(ids, f"<u{width}")]))
-                held += count
+                    continue
+                to = max(to, at + 1)
+                keys.append(batch.column("key").slice(at, to - at))
+                counts.append(count[at:to])
+                coded.append(encode_ranks(ranks[ends[at] : ends[to]], count[at:to]))
+                held += int(ends[to] - ends[at])
+                at = to
         if keys:
             yield closed()
 
@@ -146,14 +164,15 @@ def write(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text
     files_df.write.partitionBy(_NAME).text(path)
 
 
-def _file(keys: list, counts: list[int], coded: list[tuple[bytes, bytes]], by_rank: np.ndarray) -> bytes:
-    """The bytes of a file: documents by key, ids and (control bytes, data bytes)."""
+def _file(keys: pa.Array, counts: np.ndarray, coded: list[tuple[bytes, bytes]], by_rank: np.ndarray) -> bytes:
+    """The bytes of a file: documents by key and ids, and their (control bytes, data
+    bytes) in pieces."""
     control = b"".join(c for c, _ in coded)
-    head = struct.pack(_HEADER, MAGIC, len(keys), sum(counts), len(control), len(by_rank))
+    head = struct.pack(_HEADER, MAGIC, len(keys), int(counts.sum()), len(control), len(by_rank))
     parts = [
-        np.array([k or 0 for k in keys], "<i8").tobytes(),
-        np.array([k is None for k in keys], np.uint8).tobytes(),
-        np.array(counts, "<i8").tobytes(),
+        keys.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
+        keys.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+        counts.astype("<i8").tobytes(),
         by_rank.tobytes(),
         control,
         *(d for _, d in coded),
