@@ -192,3 +192,36 @@ def test_extra_columns_of_any_name_stay(spark, extra):
     redacted = pii.redacted(docs)
     assert redacted.columns == docs.columns
     assert sorted((r[0], r[1], r[2]) for r in redacted.collect()) == [(1, "write to <email> now", "x"), (2, rows[1][1], "y")]
+
+
+def test_words_that_stand_before_anything_are_not_trusted(spark):
+    rows = [(k, f"she lives near the +1 (386) 555-{1000 + k}") for k in range(8)]
+    rows += [(50 + k, f"contact phone: +1 (386) 555-{2000 + k}.") for k in range(12)]
+    rows += [(100 + k, "near the house and the garden") for k in range(20)]
+    rows += [(200, "near the 386 555 7777"), (201, "contact phone: 386 555 8888"), (202, "contact phone " + "0" * 15 + "7")]
+    found = {r["doc_id"]: triples(r["spans"]) for r in pii.spans(docs_frame(spark, rows)).collect()}
+    assert found[200] == [] and found[201] == [("phone", 15, 27)] and found[202] == []
+
+
+def test_occurrences_equal_plain_counting(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["a", "B", "c", "7,", "d!"]) for _ in range(rng.randrange(40))) for _ in range(60)] + [None, ""]
+    patterns = ["a _", "b c _", "a _ d", "zz _", "d _ d"]
+    expected = dict.fromkeys(patterns, 0)
+    for text in texts:
+        words = pii._WORD.findall((text or "").lower())
+        for k, word in enumerate(words):
+            for name in (f"{word} _", " ".join([*words[k : k + 2], "_"]), f"{word} _ {words[k + 2]}" if k + 2 < len(words) else ""):
+                if name in expected and (name != " ".join([*words[k : k + 2], "_"]) or len(words[k : k + 2]) == 2 or name == f"{word} _"):
+                    expected[name] += 1
+        if words and f"{words[-1]} _" in expected:
+            expected[f"{words[-1]} _"] -= 1  # named twice for a last word
+    monkeypatch.setattr(pii, "_CHUNK", 7)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = pii.occurrences(frame, spark.createDataFrame([(p,) for p in patterns], "pattern string"))
+    assert {r["pattern"]: r["n"] for r in found.collect()} == {p: n for p, n in expected.items() if n}
+
+
+def test_contexts_are_whole_words_however_far():
+    text = "Telephone" + "." * 500 + "555 0134" + "-" * 500 + "evenings"
+    assert pii.contexts(text, [(509, 517)]) == [["telephone _", "telephone _ evenings"]]

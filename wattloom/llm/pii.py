@@ -3,14 +3,16 @@
 1. Base patterns find e-mail and network addresses, card and phone numbers in every text.
    These spans are the seeds.
 2. Candidates are other texts that have the form of an identifier of some kind: number
-   groups of seven digits or more, spelled-out e-mail addresses, hexadecimal network
-   addresses.
+   groups of seven to twelve digits, or of 13 to 19 with a right check digit, spelled-out
+   e-mail addresses, hexadecimal network addresses.
 3. The words around a seed or a candidate are lexical patterns (one or two words before,
    a word before with the word after). Patterns and the identifiers they stand next to
-   form a graph, which Spark scores in rounds: a pattern is trusted as far as the
-   identifiers it stands next to are known, an identifier becomes known if the patterns
-   it stands next to make it likely enough. Each round learns new identifiers and with
-   them new patterns, until a round learns nothing.
+   form a graph, which Spark scores in rounds: a pattern is trusted as far as what it
+   stands next to, in all texts, is a known identifier rather than an unknown one or
+   none. An identifier becomes known if its contexts make it likely enough; a context has
+   one vote, that of its best pattern, and the identifier in question does not count
+   in it. Each round learns new identifiers and with them new patterns, until a round
+   learns nothing.
 4. Known candidates are added to the base spans wherever they stand next to a trusted
    pattern.
 
@@ -21,8 +23,14 @@ Positions count code points, ends are exclusive. Only key and text are read.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +39,8 @@ from pyspark.sql import types as T
 from wattloom.llm import common
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Different known identifiers that a pattern needs beside it, and the share of known
-#: ones among all identifiers beside it.
+#: Different known identifiers that a pattern needs beside it, and the share that known
+#: ones have in all its occurrences.
 LEAST_KNOWN = 5
 LEAST_TRUST = 0.6
 #: Likelihood from which a candidate is known.
@@ -58,17 +66,19 @@ _SPELLED = re.compile(
 _HEXADECIMAL = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
 _NUMBER = re.compile(r"(?<![\w.+/-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,18}(?![\w/-]|\.[0-9])")
 _WORD = re.compile(r"[^\W\d_]+")
-#: Code points of a text around an identifier in which its context words are looked for.
-_REACH = 80
+#: Slots of the bitmap that tells which word groups may be patterns, and words of a text
+#: looked at together.
+_SLOTS = 1 << 24
+_CHUNK = 200_000
 
 
 def _is_address(text: str) -> bool:
     return all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or "0") <= 255 for part in text.split("."))
 
 
-def _is_card(text: str) -> bool:
+def _is_card(text: str, least: int = 16) -> bool:
     digits = _NO_DIGIT.sub("", text)
-    if not 16 <= len(digits) <= 19:
+    if not least <= len(digits) <= 19:
         return False
     total = 0
     for place, digit in enumerate(reversed(digits)):
@@ -119,7 +129,8 @@ def candidate_spans(text: str | None, base: list[tuple[str, int, int]]) -> list[
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
             digits = len(_NO_DIGIT.sub("", m[0]))
-            found.append(("phone" if digits <= 12 else "card", *m.span()))
+            if digits <= 12 or _is_card(m[0], 13):
+                found.append(("phone" if digits <= 12 else "card", *m.span()))
     taken = sorted((start, end) for _, start, end in base)
     clear, place, reached = [], 0, 0
     for kind, start, end in sorted(found, key=lambda s: (s[1], -s[2])):
@@ -136,18 +147,22 @@ def identity(kind: str, text: str) -> str:
     return _NO_DIGIT.sub("", text) if kind in ("card", "phone") else text.lower().replace(" ", "")
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span; identifiers next to it are not words."""
-    before = _WORD.findall(text[max(0, start - _REACH) : start].lower())[-2:]
-    after = _WORD.findall(text[end : end + _REACH].lower())[:1]
-    patterns = []
-    if before:
-        patterns.append(f"{before[-1]} _")
-        if after:
-            patterns.append(f"{before[-1]} _ {after[0]}")
-    if len(before) == 2:
-        patterns.append(f"{before[0]} {before[1]} _")
-    return patterns
+def contexts(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
+    """Lexical patterns around each span; words of the identifier itself do not count."""
+    words = [(m[0], *m.span()) for m in _WORD.finditer(text.lower())] if spans else []
+    starts, ends = [w[1] for w in words], [w[2] for w in words]
+    found = []
+    for start, end in spans:
+        at, to = bisect.bisect_right(ends, start), bisect.bisect_left(starts, end)
+        patterns = []
+        if at:
+            patterns.append(f"{words[at - 1][0]} _")
+            if to < len(words):
+                patterns.append(f"{words[at - 1][0]} _ {words[to][0]}")
+        if at > 1:
+            patterns.append(f"{words[at - 2][0]} {words[at - 1][0]} _")
+        found.append(patterns)
+    return found
 
 
 _SPAN = T.StructType(
@@ -174,6 +189,7 @@ def scan(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
         for value in batch.column(text).to_pylist():
             base = base_spans(value)
             both = [(True, *s) for s in base] + [(False, *s) for s in candidate_spans(value, base)]
+            around = contexts(value or "", [s[2:] for s in both])
             bases.append([dict(zip(("kind", "start", "end"), s)) for s in base])
             mentions.append(
                 [
@@ -183,9 +199,9 @@ def scan(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
                         "end": end,
                         "seed": seed,
                         "identity": identity(kind, value[start:end]),
-                        "patterns": contexts(value, start, end),
+                        "patterns": patterns,
                     }
-                    for seed, kind, start, end in both
+                    for (seed, kind, start, end), patterns in zip(both, around)
                 ]
             )
         return pa.RecordBatch.from_arrays(
@@ -201,42 +217,155 @@ def scan(docs: DataFrame, kept: list[str], text: str = "text") -> DataFrame:
     return common.staged(common.map_batches(docs.select(*dict.fromkeys([*kept, text])), run, fields), "mentions")
 
 
-def trusted(mentions: DataFrame, max_rounds: int = MOST_ROUNDS) -> tuple[DataFrame, DataFrame]:
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        # Kept for frequent words; emptied before it grows with the text.
+        if len(self) > _CHUNK:
+            self.clear()
+        self[word] = value = zlib.crc32(word.encode("utf-8", "surrogatepass")) if word else 0
+        return value
+
+
+def _slots(form: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = first * np.uint64(0x9E3779B97F4A7C15) + (second + np.uint64(form)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (mixed >> np.uint64(40)).astype(np.int64)
+
+
+def _parts(pattern: str) -> tuple[int, str, str]:
+    """(form, first word, second word) of a pattern."""
+    words = pattern.split(" ")
+    if len(words) == 2:
+        return 1, words[0], ""
+    return (2, words[0], words[1]) if words[2] == "_" else (3, words[0], words[2])
+
+
+_FORMS = {1: "{0} _", 2: "{0} {1} _", 3: "{0} _ {1}"}
+
+
+def _bitmap(patterns: DataFrame) -> np.ndarray:
+    """Slots of all patterns, one bitmap of fixed size from each of at most eight tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, hashes = np.zeros(_SLOTS, bool), _Hashes()
+        for batch in batches:
+            for pattern in batch.column(0).to_pylist():
+                form, *words = _parts(pattern)
+                marks[_slots(form, *(np.array([hashes[w]], np.uint64) for w in words))] = True
+        if marks.any():
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(marks).tobytes()], pa.binary())], names=["marks"])
+
+    found = np.zeros(_SLOTS // 8, np.uint8)
+    for row in patterns.select("pattern").coalesce(8).mapInArrow(run, "marks binary").collect():
+        found |= np.frombuffer(row["marks"], np.uint8)
+    return found
+
+
+def occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, n) of those ``patterns`` whose words occur in ``texts``: a word, two
+    words, or two words with any one between them."""
+    bits = _bitmap(patterns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, hashes = np.unpackbits(bits).view(bool), _Hashes()
+        for batch in batches:
+            texts = (t for t in batch.column(0).to_pylist() if t)
+            # Empty words keep the words of two texts apart.
+            stream = (w for t in texts for w in itertools.chain(("", ""), (m[0] for m in _WORD.finditer(t.lower()))))
+            counts: Counter = Counter()
+            words = ["", ""]
+            while len(words := [*words[-2:], *itertools.islice(stream, _CHUNK)]) > 2:
+                hashed = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                none = np.zeros(len(words) - 2, np.uint64)
+                for form, first, second in ((1, 0, None), (2, 1, 0), (3, 2, 0)):
+                    stop = len(words)
+                    one = hashed[2 - first : stop - first]
+                    two = none if second is None else hashed[2:]
+                    hits = np.flatnonzero(marks[_slots(form, one, two)]).tolist()
+                    counts.update((form, words[k + 2 - first], "" if second is None else words[k + 2]) for k in hits)
+            names = [_FORMS[form].format(one, two) for form, one, two in counts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"]
+            )
+
+    counted = texts.mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    return counted.join(patterns.select("pattern"), "pattern", "left_semi")
+
+
+def outside(texts: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(pattern, outside): how often patterns that may be trusted, and stand beside a
+    candidate, occur in ``texts`` without an identifier of any kind."""
+    beside = mentions.select("kind", "identity", "seed", F.explode("patterns").alias("pattern"))
+    by_identity = beside.groupBy("pattern", "kind", "identity").agg(F.count("*").alias("n"), F.min("seed").alias("seed"))
+    by_kind = by_identity.groupBy("pattern", "kind").agg(
+        F.sum("n").alias("n"), F.count("*").alias("different"), F.min("seed").alias("seed")
+    )
+    able = (
+        by_kind.groupBy("pattern")
+        .agg(F.sum("n").alias("beside"), F.max((F.col("different") > LEAST_KNOWN) & ~F.col("seed")).alias("able"))
+        .where("able")
+    )
+    able = common.staged(able.select("pattern", "beside"), "able")
+    # Words with one between them are no mention; the other forms count mentions as well.
+    bare = F.when(F.col("pattern").rlike(" _ "), F.col("n")).otherwise(F.greatest(F.col("n") - F.col("beside"), F.lit(0)))
+    return common.staged(occurrences(texts, able).join(able, "pattern").select("pattern", bare.alias("outside")), "outside")
+
+
+def trusted(
+    mentions: DataFrame, max_rounds: int = MOST_ROUNDS, outside: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(patterns, identities) after the last round: trusted (kind, pattern, trust) and
-    newly known (kind, identity). ``mentions``: kind, identity, seed, patterns. What is
-    known stays known, so that a round without new identities changes nothing any more."""
-    graph = common.staged(
-        mentions.select("kind", "identity", "seed", F.explode("patterns").alias("pattern"))
-        .groupBy("kind", "identity", "pattern")
-        .agg(F.max("seed").alias("seed")),
-        "graph",
+    newly known (kind, identity). ``mentions``: kind, identity, seed, patterns;
+    ``outside``: how often a pattern stands beside none. What is known stays known, so
+    that a round without new identities changes nothing any more."""
+    graph = (
+        mentions.withColumn("context", F.array_join("patterns", ","))
+        .select("kind", "identity", "seed", "context", F.explode("patterns").alias("pattern"))
+        .groupBy("kind", "identity", "pattern", "context")
+        .agg(F.max("seed").alias("seed"), F.count("*").alias("n"))
     )
+    if outside is None:
+        graph = graph.withColumn("outside", F.lit(0).cast("long"))
+    else:
+        graph = graph.join(outside, "pattern", "left").withColumn("outside", F.coalesce("outside", F.lit(0)))
+    graph = common.staged(graph, "graph")
     unknown = graph.groupBy("kind", "identity").agg(F.max("seed").alias("seed")).where("not seed").select("kind", "identity")
     known = None
     count = 0
     for _ in range(max_rounds):
         marked = graph if known is None else graph.join(known.withColumn("learned", F.lit(True)), ["kind", "identity"], "left")
         is_known = F.col("seed") if known is None else F.col("seed") | F.coalesce("learned", F.lit(False))
-        # Identities are distinct in the graph, so rows of a pattern count them.
+        by_identity = (
+            marked.groupBy("kind", "pattern", "identity")
+            .agg(F.sum("n").alias("n"), F.max(is_known).alias("is_known"), F.max("outside").alias("outside"))
+        )
         patterns = common.staged(
-            marked.groupBy("kind", "pattern")
-            .agg(F.count_if(is_known).alias("known"), F.count("*").alias("all"))
+            by_identity.groupBy("kind", "pattern")
+            .agg(
+                F.count_if("is_known").alias("different"),
+                F.coalesce(F.sum(F.when(F.col("is_known"), F.col("n"))), F.lit(0)).alias("known"),
+                (F.sum("n") + F.max("outside")).alias("all"),
+            )
             .withColumn("trust", F.col("known") / F.col("all"))
-            .where((F.col("known") >= LEAST_KNOWN) & (F.col("trust") >= LEAST_TRUST))
-            .select("kind", "pattern", "trust"),
+            .where((F.col("different") >= LEAST_KNOWN) & (F.col("trust") >= LEAST_TRUST))
+            .select("kind", "pattern", "trust", "known", "all"),
             "patterns",
         )
+        # What an unknown identifier itself adds to the occurrences is left out.
+        own = by_identity.where("not is_known").select("kind", "identity", "pattern", F.col("n").alias("own"))
+        vote = F.col("known") / (F.col("all") - F.col("own"))
         likely = (
-            marked.withColumn("is_known", is_known)
-            .join(patterns, ["kind", "pattern"])
+            own.join(patterns, ["kind", "pattern"])
+            .select("kind", "identity", "pattern", vote.alias("vote"))
+            .join(graph.select("kind", "identity", "pattern", "context"), ["kind", "identity", "pattern"])
+            .groupBy("kind", "identity", "context")
+            .agg(F.max("vote").alias("vote"))
             .groupBy("kind", "identity")
-            .agg(
-                (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))).alias("likely"),
-                F.max("is_known").alias("is_known"),
-            )
-            .where((F.col("likely") >= LEAST_LIKELY) | F.col("is_known"))
+            .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("vote"), F.lit(1e-9)))))).alias("likely"))
+            .where(F.col("likely") >= LEAST_LIKELY)
+            .select("kind", "identity")
         )
-        known = common.staged(likely.join(unknown, ["kind", "identity"], "left_semi").select("kind", "identity"), "known")
+        likely = likely.join(unknown, ["kind", "identity"], "left_semi")
+        known = common.staged(likely if known is None else likely.union(known), "known")
         learned = known.count()
         if learned == count:
             return patterns, known
@@ -244,10 +373,10 @@ def trusted(mentions: DataFrame, max_rounds: int = MOST_ROUNDS) -> tuple[DataFra
     raise RuntimeError(f"personal data did not settle in {max_rounds} rounds")
 
 
-def found_spans(scanned: DataFrame, row: str) -> DataFrame:
+def found_spans(scanned: DataFrame, row: str, texts: DataFrame) -> DataFrame:
     """(row, kind, start, end) of the candidates that bootstrapping adds."""
     mentions = scanned.select(row, F.explode("_mentions").alias("m")).select(row, "m.*")
-    patterns, known = trusted(mentions)
+    patterns, known = trusted(mentions, outside=outside(texts, mentions))
     beside = mentions.where("not seed").withColumn("pattern", F.explode("patterns"))
     return (
         beside.join(known, ["kind", "identity"], "left_semi")
@@ -261,7 +390,8 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     """Per document: key, ``base`` and ``spans`` (arrays of kind, start, end; spans holds
     base and added ones)."""
     scanned = scan(docs.select(F.monotonically_increasing_id().alias("_row"), key, text), ["_row", key], text)
-    added = found_spans(scanned, "_row").groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("_added"))
+    found = found_spans(scanned, "_row", docs.select(text))
+    added = found.groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("_added"))
     joined = scanned.select("_row", key, "_base").join(added, "_row", "left")
     return joined.select(
         key,
@@ -309,7 +439,7 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     scanned = scan(docs.select(print_of.alias("_print"), key, text), ["_print", key], text)
     numbered = scanned.select(F.struct("_print", key).alias("_row"), "_mentions")
     added = (
-        found_spans(numbered, "_row")
+        found_spans(numbered, "_row", docs.select(text))
         .groupBy("_row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("_added"))
         .select("_row._print", F.col(f"_row.{key}").alias("_key"), "_added")
