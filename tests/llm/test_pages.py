@@ -1,5 +1,7 @@
 import gzip
 import random
+import re
+import time
 import zlib
 
 import brute
@@ -13,9 +15,46 @@ def tree(spark):
     return html_blocks.train(spark)
 
 
-def test_tree_fits_its_table(tree):
-    for *features, label in html_blocks.LABELLED:
-        assert html_blocks.keeps(tree, tuple(map(float, features))) == bool(label)
+def test_tree_fits_its_pages(tree):
+    for features, label in html_blocks.labelled_blocks():
+        assert html_blocks.keeps(tree, features) == bool(label)
+
+
+def test_marks_decide_where_there_are_any(tree):
+    rng = random.Random(2)
+    for _ in range(5_000):
+        shape = [rng.choice([0, 1, 2, 5, 15, 60, 300]) if k % 2 == 0 else rng.random() for k in range(6)]
+        rest = [rng.randint(0, 1) for _ in range(3)]
+        assert html_blocks.keeps(tree, (*shape, html_blocks.IN_ARTICLE, *rest))
+        assert not html_blocks.keeps(tree, (*shape, html_blocks.BESIDE, *rest))
+
+
+def test_pages_without_their_marks(tree, spark, sf_dir):
+    counts = {(a, b): 0 for a in (False, True) for b in (False, True)}
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect():
+        marked = html_blocks.blocks_of(row["html"])
+        bare = re.sub(r"<(/?)(?:article|nav|footer)\b[^>]*>", r"<\1div>", row["html"] or "").replace(' class="ad"', "")
+        blocks = html_blocks.blocks_of(bare)
+        assert [b.text for b in blocks] == [b.text for b in marked]
+        for block, features in zip(marked, html_blocks.describe(blocks)):
+            assert features[html_blocks.FEATURES.index("mark")] == html_blocks.UNMARKED
+            counts[block.article and not block.boilerplate, html_blocks.keeps(tree, features)] += 1
+    right = counts[True, True]
+    assert right >= 0.85 * (right + counts[True, False]) and right >= 0.85 * (right + counts[False, True])
+
+
+def test_wrapper_only_named_like_an_article(tree):
+    menu = "<ul>" + "".join(f"<li><a href=x>Menu {k}</a>" for k in range(4)) + "</ul>"
+    text = "<h1>A title</h1><p>{0}</p><p>{0}</p>".format("plain words " * 20)
+    kept = "\n\n".join(["A title"] + [("plain words " * 20).strip()] * 2)
+    assert html_blocks.extract(f"<div class=content>{menu}{text}{menu}</div>", tree) == kept
+
+
+def test_deep_pages_take_linear_time(tree):
+    started = time.monotonic()
+    deep = 40_000
+    assert html_blocks.extract("<article>" + "<div>" * deep + "x" + "</section>" * deep + "</div>" * deep, tree) == "x"
+    assert time.monotonic() - started < 10
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head>
