@@ -23,6 +23,25 @@ def test_equals_brute_force(spark, rows):
     assert found(grid_join.groups(df, rows=rows)) == brute.vector_groups(table)
 
 
+def test_clustered_vectors_are_mostly_skipped(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 8))
+    vectors = [(centres[k % 60] + rng.normal(size=8) * 0.05).astype(np.float32).tolist() for k in range(6_000)]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    assert grid_join.compared_share(df) < 0.1
+    assert grid_join.groups(df).select("component_id").distinct().count() <= 60
+
+
+def test_intervals_hold_every_link():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 32))
+    rows = np.array(sorted((centres[k % 20] + rng.normal(size=32) * 0.3).tolist() for k in range(900)))
+    axes = np.linalg.qr(rng.normal(size=(32, 32)))[0][:, :12]
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    links, compared = grid_join.compare_blocks(rows[:500], rows[500:], False, 0.9, {32: axes})
+    assert (links == (unit[:500] @ unit[500:].T >= 0.9)).all() and links.any() and compared <= 200_000
+
+
 def test_border_of_the_cosine(spark):
     a = [1.0, 0.0]
     near = [0.9, float(np.sqrt(1 - 0.81))]

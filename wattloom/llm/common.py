@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattloom.operators.skew import HOT, PIECES, skewed_join
 from wattloom.session import apply_defaults, scratch_dir
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -68,9 +69,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     are not listed.
 
     Alternating large-star and small-star rounds; each keeps one row per edge, reduces
-    to minima before the shuffle and ends as a table in the shared folder. A round that
-    changes nothing ends the loop; the number of rounds grows with the logarithm of the
-    longest path.
+    to minima before the shuffle and ends as a table in the shared folder. Where many
+    edges meet in one node, they are dealt out in pieces by the node's own count. A round
+    that changes nothing ends the loop; the number of rounds grows with the logarithm of
+    the longest path.
     """
     clean = edges.where("a is not null and b is not null and a <> b")
     current = staged(
@@ -83,10 +85,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
         state = digest
         both = current.union(current.select("v", "u"))
-        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        turned = large.join(low, "u").select("u", "v", "m")
+        low, hot = _minima(both, F.least("u", "v"), digest[0])
+        turned = skewed_join(both.where("v > u"), low, ["u"], hot=hot)
+        large = turned.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low, hot = _minima(large, F.col("v"), digest[0])
+        turned = skewed_join(large, low, ["u"], hot=hot).select("u", "v", "m")
         small = turned.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             low.select("u", F.col("m").alias("v"))
         )
@@ -94,6 +97,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def _minima(edges: DataFrame, value: F.Column, total: int) -> tuple[DataFrame, DataFrame]:
+    """(u, m), the least value of each node, and the nodes where more than a quarter of an
+    even share of ``total`` edges meet, with the pieces to cut each into by its own count.
+    Fewer than eight nodes a shuffle partition can be that large, of both directions."""
+    even = total / int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low = edges.groupBy("u").agg(F.min(value).alias("m"), F.count("*").alias("n"))
+    pieces = F.least(F.ceil(F.col("n") * PIECES / F.lit(even)), F.col("n")).cast("int")
+    return low.select("u", "m"), low.where(F.col("n") > even * HOT).select("u", pieces.alias("_salts"))
+
+
 def local_forest(count: int, near: Callable[[int, object], object]) -> list[tuple[int, int]]:
     """Edges that connect what ``near`` connects among items 0..count-1.
 

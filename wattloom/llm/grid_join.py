@@ -3,10 +3,11 @@
 Unit vectors have cosine >= c exactly when they lie within eps = sqrt(2 - 2c). They are
 projected on their leading principal directions, cut into grid cells of side eps and
 sorted lexicographically by cell; the sorted sequence is cut into intervals (blocks)
-with the bounding box of their projections. Interval pairs are found recursively, from
-long intervals of intervals down to blocks: a pair whose boxes are more than eps apart
-holds no link and is dropped with everything below it. The blocks of each pair left are
-compared in double precision.
+with the bounding box of their projections and of the norms of what these leave. Interval
+pairs are found recursively, from long intervals of intervals down to blocks, and within
+a task on to intervals of some dozen rows: a pair whose boxes are more than eps apart
+holds no link and is dropped with everything below it. What is left is compared in double
+precision.
 
 Equal vectors are one class with a count. A pair of blocks yields sums of links per
 class and the edges of a spanning forest, never all its pairs.
@@ -28,15 +29,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.llm import common
+from wattloom.operators.skew import skewed_join
 
 COSINE = 0.9
 #: Vectors the principal directions are fitted on, at most about this many. The fit
 #: decides only how well distant blocks are skipped.
 DIRECTIONS_SAMPLE = 20_000
-#: Leading directions that make the grid order, and those that bound a block.
-ORDER_DIRECTIONS = 6
+#: Leading directions that make the grid order and bound a block, and sides of its box.
 BOX_DIRECTIONS = 12
+BOX_SIDES = BOX_DIRECTIONS + 1
 BLOCK_ROWS = 2_048
+#: Rows of the smallest intervals, compared or skipped as a whole.
+STEP_ROWS = 16
 FAN_OUT = 16
 _NEAR_BORDER = 1e-9
 
@@ -71,8 +75,12 @@ def _directions(classes: DataFrame, total: int) -> dict[int, np.ndarray]:
 
 
 def _project(unit: np.ndarray, directions: dict[int, np.ndarray]) -> np.ndarray:
+    """Coordinates on the directions, then the norm of the rest. As a rest differs from
+    another by no less than their norms do, rows are at least as far apart as these
+    points are."""
     axes = directions.get(unit.shape[1], np.eye(unit.shape[1])[:, :BOX_DIRECTIONS])
-    return unit @ axes
+    at = unit @ axes
+    return np.column_stack([at, np.linalg.norm(unit - at @ axes.T, axis=1)])
 
 
 def _by_size(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -92,17 +100,15 @@ def _classes(vectors: DataFrame, column: str) -> DataFrame:
     return common.staged(counted.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
 
-def _ordered_blocks(classes: DataFrame, eps: float, rows: int) -> DataFrame:
+def _ordered_blocks(classes: DataFrame, directions: dict[int, np.ndarray], total: int, eps: float, rows: int) -> DataFrame:
     """The classes in grid order, packed into blocks: part, seq, size, low, high (box),
     cids, copies and vectors as binary."""
-    total = classes.count()
-    directions = _directions(classes, total)
 
     def locate(batch: pa.RecordBatch) -> pa.RecordBatch:
         column = batch.column("vector")
         cells: list = [None] * len(column)
         for at, matrix in _by_size(column):
-            grid = np.floor(_project(_unit(matrix), directions)[:, :ORDER_DIRECTIONS] / eps).astype(int)
+            grid = np.floor(_project(_unit(matrix), directions)[:, :-1] / eps).astype(int)
             for k, cell in zip(at.tolist(), grid.tolist()):
                 cells[k] = cell
         return pa.RecordBatch.from_arrays(
@@ -177,7 +183,7 @@ def _block_batch(made: list[tuple], part: int, seq: int) -> pa.RecordBatch:
 
 def _extreme(function: str, column: str) -> F.Column:
     """Element-wise minimum or maximum of the boxes of a group."""
-    ends = [F.__dict__[function](F.get(column, F.lit(k))) for k in range(BOX_DIRECTIONS)]
+    ends = [F.__dict__[function](F.get(column, F.lit(k))) for k in range(BOX_SIDES)]
     return F.array_compact(F.array(*ends))
 
 
@@ -226,17 +232,43 @@ def _boxes_meet(eps: float) -> F.Column:
     )
 
 
-def compare_blocks(left: np.ndarray, right: np.ndarray, same: bool, cosine: float) -> np.ndarray:
-    """Matrix of links between two blocks of vectors; a vector is not linked with itself."""
+def _meeting(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
+    """Which intervals of ``STEP_ROWS`` rows have boxes within eps: a row for each of a's,
+    a column for each of b's."""
+
+    def box(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.arange(0, len(points), STEP_ROWS)
+        return np.minimum.reduceat(points, at), np.maximum.reduceat(points, at)
+
+    (a_low, a_high), (b_low, b_high) = box(a), box(b)
+    apart = np.zeros((len(a_low), len(b_low)))
+    for k in range(a.shape[1]):
+        gap = np.maximum(np.subtract.outer(a_low[:, k], b_high[:, k]), np.subtract.outer(b_low[:, k], a_high[:, k]).T)
+        apart += np.maximum(gap, 0) ** 2
+    return apart <= eps * eps + _NEAR_BORDER
+
+
+def compare_blocks(
+    left: np.ndarray, right: np.ndarray, same: bool, cosine: float, directions: dict[int, np.ndarray]
+) -> tuple[np.ndarray, int]:
+    """Matrix of links between two blocks of vectors, and how many of its entries were
+    compared; a vector is not linked with itself."""
     a, b = _unit(left), _unit(right)
-    dots = a @ b.T
-    links = dots >= cosine
-    for i, j in zip(*np.nonzero(np.abs(dots - cosine) < _NEAR_BORDER)):
-        x, y = left[i].astype(np.float64), right[j].astype(np.float64)
-        links[i, j] = float(x @ y) / math.sqrt(float(x @ x) * float(y @ y)) >= cosine
+    meeting = _meeting(_project(a, directions), _project(b, directions), math.sqrt(2 - 2 * cosine))
+    links, compared = np.zeros((len(a), len(b)), bool), 0
+    for step in np.flatnonzero(meeting.any(axis=1)):
+        rows = slice(step * STEP_ROWS, (step + 1) * STEP_ROWS)
+        near = np.flatnonzero(np.repeat(meeting[step], STEP_ROWS)[: len(b)])
+        dots = a[rows] @ (b if len(near) == len(b) else b[near]).T
+        compared += dots.size
+        found = dots >= cosine
+        for i, j in zip(*np.nonzero(np.abs(dots - cosine) < _NEAR_BORDER)):
+            x, y = left[rows][i].astype(np.float64), right[near[j]].astype(np.float64)
+            found[i, j] = float(x @ y) / math.sqrt(float(x @ x) * float(y @ y)) >= cosine
+        links[rows, near] = found
     if same:
         np.fill_diagonal(links, False)
-    return links
+    return links, compared
 
 
 def _forest(links: np.ndarray, same: bool) -> list[tuple[int, int]]:
@@ -263,8 +295,11 @@ def _forest(links: np.ndarray, same: bool) -> list[tuple[int, int]]:
     return [(int(names[a]), int(names[b])) for a, b in forest]
 
 
-def _compare(blocks: DataFrame, pairs: DataFrame, cosine: float, kind: type) -> DataFrame:
-    """Per block pair: rows (a, b, null) for forest edges, (a, null, n) for link sums."""
+def _compare(
+    blocks: DataFrame, pairs: DataFrame, cosine: float, kind: type, directions: dict[int, np.ndarray]
+) -> DataFrame:
+    """Per block pair: rows (a, b, null) for forest edges, (a, null, n) for link sums, and
+    (null, null, n), the pairs of rows compared."""
 
     def side(name: str) -> DataFrame:
         return blocks.select(
@@ -283,24 +318,27 @@ def _compare(blocks: DataFrame, pairs: DataFrame, cosine: float, kind: type) ->
             ids = [np.frombuffer(get(f"{s}_cids"), np.int64) for s in "ab"]
             copies = [np.frombuffer(get(f"{s}_copies"), np.int64) for s in "ab"]
             data = [np.frombuffer(get(f"{s}_vectors"), kind).reshape(len(i), -1) for s, i in zip("ab", ids)]
-            links = compare_blocks(data[0], data[1], same, cosine)
+            links, compared = compare_blocks(data[0], data[1], same, cosine, directions)
+            rows_a.append(pa.nulls(1, pa.int64()))
+            rows_b.append(pa.nulls(1, pa.int64()))
+            rows_n.append(pa.array([(compared - len(links)) // 2 if same else compared], pa.int64()))
             if not links.any():
                 continue
             names = ids[0] if same else np.concatenate(ids)
             edges = np.array(_forest(links, same), np.int64).reshape(-1, 2)
             sums = [(ids[0], links @ copies[1])] + ([] if same else [(ids[1], copies[0] @ links)])
-            rows_a.append(names[edges[:, 0]])
+            rows_a.append(pa.array(names[edges[:, 0]]))
             rows_b.append(pa.array(names[edges[:, 1]]))
             rows_n.append(pa.nulls(len(edges), pa.int64()))
             for name, total in sums:
                 some = total > 0
-                rows_a.append(name[some])
+                rows_a.append(pa.array(name[some]))
                 rows_b.append(pa.nulls(int(some.sum()), pa.int64()))
                 rows_n.append(pa.array(total[some].astype(np.int64)))
         if not rows_a:
             return None
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(rows_a)), pa.concat_arrays(rows_b), pa.concat_arrays(rows_n)], names=["a", "b", "n"]
+            [pa.concat_arrays(rows_a), pa.concat_arrays(rows_b), pa.concat_arrays(rows_n)], names=["a", "b", "n"]
         )
 
     fields = [T.StructField(c, T.LongType()) for c in ("a", "b", "n")]
@@ -316,7 +354,24 @@ def _numbered(blocks: DataFrame) -> DataFrame:
         base.append((part, total))
         total += count
     offsets = blocks.sparkSession.createDataFrame(base, "part int, base long")
-    return blocks.join(F.broadcast(offsets), "part").withColumn("number", F.col("base") + F.col("seq")).drop("base")
+    return blocks.join(offsets, "part").withColumn("number", F.col("base") + F.col("seq")).drop("base")
+
+
+def _links(classes: DataFrame, total: int, cosine: float, kind: type, rows: int) -> DataFrame:
+    """What ``_compare`` finds among all classes."""
+    eps = math.sqrt(2 - 2 * cosine)
+    directions = _directions(classes, total)
+    blocks = _numbered(_ordered_blocks(classes, directions, total, eps, rows))
+    return _compare(blocks, _interval_pairs(blocks, eps), cosine, kind, directions)
+
+
+def compared_share(vectors: DataFrame, column: str = "embedding", cosine: float = COSINE, rows: int = BLOCK_ROWS) -> float:
+    """Share of all pairs of different vectors that the join compares; it skips the rest."""
+    kind = np.float64 if isinstance(vectors.schema[column].dataType.elementType, T.DoubleType) else np.float32
+    classes = _classes(vectors, column)
+    total = classes.count()
+    compared = _links(classes, total, cosine, kind, rows).where("a is null").agg(F.sum("n")).first()[0]
+    return (compared or 0) / max(1, total * (total - 1) // 2)
 
 
 def groups(
@@ -324,14 +379,12 @@ def groups(
 ) -> DataFrame:
     """Per vector: its key, ``n_links`` (other vectors within the cosine),
     ``component_id`` (smallest key reachable) and ``kept``."""
-    eps = math.sqrt(2 - 2 * cosine)
     kind = np.float64 if isinstance(vectors.schema[column].dataType.elementType, T.DoubleType) else np.float32
     vectors = vectors.select(F.col(key), F.col(column).alias("vector"))
     classes = _classes(vectors, "vector")
-    blocks = _numbered(_ordered_blocks(classes, eps, rows))
-    found = _compare(blocks, _interval_pairs(blocks, eps), cosine, kind)
+    found = _links(classes, classes.count(), cosine, kind, rows)
     roots = common.components(found.where("b is not null").select("a", "b"))
-    sums = found.where("n is not null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("others"))
+    sums = found.where("a is not null and n is not null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("others"))
     known = (
         classes.join(sums, "cid", "left")
         .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
@@ -344,6 +397,6 @@ def groups(
     usable = F.expr(_USABLE.format(c="vector"))
     rows_known = common.staged(vectors.where(usable).join(known, "vector").select(key, "n_links", "root"), "known")
     names = rows_known.groupBy("root").agg(F.min(key).alias("component_id"))
-    linked = rows_known.join(names, "root").select(key, "n_links", "component_id")
+    linked = skewed_join(rows_known, names, ["root"]).select(key, "n_links", "component_id")
     alone = vectors.where(~usable | usable.isNull()).select(key, F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"))
     return linked.union(alone).withColumn("kept", F.col(key) == F.col("component_id"))

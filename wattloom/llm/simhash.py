@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattloom.llm import common
+from wattloom.operators.skew import skewed_join
 
 RADIUS = 3
 SHINGLE_WORDS = 3
@@ -241,8 +242,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     first = prints.groupBy("fingerprint").agg(F.min(key).alias("first"))
     rooted = first.join(_roots(prints), "fingerprint")
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(names, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    named = skewed_join(rooted, names, ["root"]).select("fingerprint", "component_id")
+    return skewed_join(prints, named, ["fingerprint"]).select(key, "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
