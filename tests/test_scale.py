@@ -3,10 +3,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import oracle
 from test_plans import plan
+from wattloom.operators import publish
+from wattloom.session import apply_defaults
 
 
 @pytest.mark.parametrize("name", ["hourly_rollup", "join_weather", "daily_rollup", "reading_to_comparison"])
@@ -32,3 +35,17 @@ def test_grid_of_odd_readings(spark, tmp_path):
     con.execute(f"CREATE OR REPLACE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
     df = driver.queries()["hourly_rollup"](spark, str(tmp_path))
     assert oracle.difference(df, con, driver.oracle_sql()["hourly_rollup"]) is None
+
+
+def test_exported_lines_are_compressed(spark, sf_dir, tmp_path):
+    months = publish.with_account_id(driver.queries()["monthly_rollup"](spark, sf_dir))
+    publish.export_json({"monthly_usage": months}, str(tmp_path))
+    lines = publish.json_rows(months).agg(F.sum(F.octet_length("json") + 1)).first()[0]
+    stored = sum(f.stat().st_size for f in tmp_path.glob("monthly_usage/part-*"))
+    assert stored < lines / 4
+    assert spark.read.schema(months.schema).json(f"{tmp_path}/monthly_usage").exceptAll(months).isEmpty()
+
+
+def test_partitions_are_cut_below_what_fills_a_task(spark):
+    """Partitions of days held 64 MB, which are more than a gigabyte in hash tables."""
+    assert apply_defaults(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"

@@ -189,17 +189,31 @@ def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.json_rows(comparisons).select(read_back, null_kept).select("row.*", "null_kept")
 
 
-def published(spark: SparkSession, sf_dir: str) -> str:
-    """A snapshot of the seven-year accounts in a folder of its own."""
-    root = scratch_dir(spark, "snapshots")
+def long_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The layers of the seven-year accounts that a snapshot publishes; days, months and
+    accounts are written once and read by all that follows."""
     days = b.stored(b.daily_long, spark, sf_dir)
     months = stage(rollup.monthly_rollup(days, 2, WEATHER_DIGITS), "monthly-long")
+    buildings = b.supplier_buildings(spark, sf_dir)
+    return {
+        "accounts": stage(publish.published_accounts(days, buildings, digits=2), "accounts"),
+        "daily_usage": days,
+        "monthly_usage": months,
+        "investigations": compare.investigation(months),
+    }
+
+
+def published(spark: SparkSession, sf_dir: str, layers: dict[str, DataFrame] | None = None) -> str:
+    """A snapshot of the seven-year accounts in a folder of its own."""
+    root = scratch_dir(spark, "snapshots")
+    layers = layers or long_layers(spark, sf_dir)
+    days = layers["daily_usage"]
     publish.publish_snapshot(
         root,
-        publish.published_accounts(days, b.supplier_buildings(spark, sf_dir), digits=2),
+        layers["accounts"],
         days,
-        months,
-        compare.investigation(months),
+        layers["monthly_usage"],
+        layers["investigations"],
         days.filter(F.col("weather_city").isNull()),
     )
     return root
