@@ -1,6 +1,8 @@
 """What must not grow faster than the input: shuffles of expanded rows, memory of a task."""
 
-from datetime import datetime
+import importlib
+import uuid
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,8 @@ from test_plans import plan
 from wattloom.operators import publish
 from wattloom.session import apply_defaults
 
+upsert_module = importlib.import_module("wattloom.operators.upsert")
+
 
 @pytest.mark.parametrize("name", ["hourly_rollup", "join_weather", "daily_rollup", "reading_to_comparison"])
 def test_the_grid_of_quarter_hours_is_not_shuffled(name, spark, sf_dir):
@@ -49,3 +53,34 @@ def test_exported_lines_are_compressed(spark, sf_dir, tmp_path):
 def test_partitions_are_cut_below_what_fills_a_task(spark):
     """Partitions of days held 64 MB, which are more than a gigabyte in hash tables."""
     assert apply_defaults(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_new_months_are_written_once(spark, sf_dir, monkeypatch):
+    """Hours and days were staged, then shuffled and written again into their tables."""
+    rewritten = []
+    write = upsert_module._write
+    monkeypatch.setattr(upsert_module, "_write", lambda rows, folder, by: (rewritten.append(folder), write(rows, folder, by)))
+    counts = driver.queries()["layer_counts"](spark, sf_dir).collect()
+    assert all(row["rows"] for row in counts)
+    large = ("/consumption/", "/consumption_hourly/", "/energy_weather_hourly/", "/daily_energy_weather/")
+    assert rewritten and not [f for f in rewritten if any(name in f for name in large)]
+
+
+def test_a_table_takes_new_partitions_as_they_lie_and_merges_known_ones(spark, tmp_path):
+    table, root = f"taken_{uuid.uuid4().hex}", str(tmp_path)
+
+    def put(rows, folder):
+        with upsert_module.Staging(spark) as staging:
+            source = staging.by_partition(spark.createDataFrame(rows, "k int, v int, p date"), f"{root}/{folder}", "p")
+            taken = upsert_module.upsert(source, table, ["k"], root, "p", staged=True, laid_out=f"{root}/{folder}")
+            if taken == f"{root}/{folder}":
+                staging.keep(taken)
+        return taken
+
+    may, june = date(2018, 5, 1), date(2018, 6, 1)
+    assert put([(1, 1, may), (2, 1, may)], "a") == f"{root}/a"
+    assert put([(3, 1, june), (4, 1, None)], "b") == f"{root}/b"
+    assert put([(2, 2, may), (5, 2, None)], "c") != f"{root}/c"
+    assert not (tmp_path / "c").exists()
+    rows = {tuple(r) for r in upsert_module.read_table(spark, table).collect()}
+    assert rows == {(1, 1, may), (2, 2, may), (3, 1, june), (4, 1, None), (5, 2, None)}

@@ -9,6 +9,7 @@ when it ends, whether it succeeds or fails.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
@@ -45,11 +46,46 @@ class Tables:
 
     def upsert(self, rows: DataFrame, name: str, keys: list[str], period: str | None = None, **known: bool) -> None:
         """Upsert into a table; one with a ``period`` is kept by its month."""
-        rows.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+        self._create(rows.sparkSession)
         if period is not None:
-            rows = rows.withColumn(PART, F.trunc(F.col(period).cast("date"), "month"))
+            rows = _by_month(rows, period)
         upsert(rows, self.name(name), keys, self.path(name), PART if period else None, **known)
 
+    def stage(self, staging: Staging, rows: DataFrame, name: str, period: str, *checks: gates.Check) -> Layer:
+        """Rows written by month where the table's files are, to be checked before ``take``."""
+        folder = f"{self.path(name)}/{uuid.uuid4().hex}"
+        return Layer(name, folder, staging.by_partition(_by_month(rows, period), folder, PART, *checks))
+
+    def take(self, staging: Staging, layer: Layer, keys: list[str], keys_unique: bool = False) -> None:
+        """Upsert a staged layer. Months that the table does not have yet are taken as they lie."""
+        self._create(staging.spark)
+        taken = upsert(
+            layer.written, self.name(layer.name), keys, self.path(layer.name), PART,
+            staged=True, keys_unique=keys_unique, laid_out=layer.folder,
+        )
+        if taken == layer.folder:
+            staging.keep(layer.folder)
+
+    def _create(self, spark: SparkSession) -> None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'")
+
+
+@dataclass(frozen=True)
+class Layer:
+    """Rows staged for a table: ``written`` has its month column, ``rows`` has not."""
+
+    name: str
+    folder: str
+    written: DataFrame
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.written.drop(PART)
+
+
+def _by_month(rows: DataFrame, period: str) -> DataFrame:
+    return rows.withColumn(PART, F.trunc(F.col(period).cast("date"), "month"))
+
 
 def refresh_audit(tables: Tables, bronze: DataFrame, expected_rows: int) -> None:
     """Reconcile the raw layer by building and ingest date."""
@@ -80,20 +116,22 @@ def refresh_silver(
         bronze = bronze.filter(F.col("timestamp") >= F.lit(first).cast(bronze.schema["timestamp"].dataType))
     with Staging(spark) as stage:
         clean = gates.Counted([gates.no_rescued()])
-        readings = stage(conform.project_consumption(clean.over(bronze)), "readings")
+        readings = tables.stage(
+            stage, conform.project_consumption(clean.over(bronze)), "consumption", "source_timestamp"
+        )
         clean.enforce()
-        gates.duplicates(readings, ["building_id", "source_timestamp"]).enforce()
-        hours = stage(rollup.hourly_rollup(readings), "hours", gates.whole_hours())
-        located = conform.join_buildings(hours, tables.read(spark, "buildings"))
+        gates.duplicates(readings.rows, ["building_id", "source_timestamp"]).enforce()
+        hours = tables.stage(
+            stage, rollup.hourly_rollup(readings.rows), "consumption_hourly", "source_hour_end", gates.whole_hours()
+        )
+        located = conform.join_buildings(hours.rows, tables.read(spark, "buildings"))
         gates.weather_complete(located, weather).enforce()
-        enriched = stage(conform.join_weather(located, weather), "enriched-hours")
-        for rows, name, time_key in [
-            (readings, "consumption", "source_timestamp"),
-            (hours, "consumption_hourly", "source_hour_end"),
-            (enriched, "energy_weather_hourly", "hour_end"),
-        ]:
-            # Staged above; the gates and the grouping have settled that keys are unique.
-            tables.upsert(rows, name, ["building_id", time_key], time_key, staged=True, keys_unique=True)
+        enriched = tables.stage(
+            stage, conform.join_weather(located, weather), "energy_weather_hourly", "hour_end"
+        )
+        for layer, time_key in [(readings, "source_timestamp"), (hours, "source_hour_end"), (enriched, "hour_end")]:
+            # The gates and the grouping have settled that keys are unique.
+            tables.take(stage, layer, ["building_id", time_key], keys_unique=True)
 
 
 def refresh_gold(tables: Tables, spark: SparkSession, since: date | None = None) -> None:
@@ -110,10 +148,12 @@ def refresh_gold(tables: Tables, spark: SparkSession, since: date | None = None)
         # of a month is the next; its usage date decides.
         hours = hours.filter(F.col("usage_date") >= F.lit(since))
     with Staging(spark) as stage:
-        days = stage(rollup.daily_rollup(hours), "days", gates.whole_days())
-        tables.upsert(days, "daily_energy_weather", ["building_id", "usage_date"], "usage_date", staged=True)
+        days = tables.stage(
+            stage, rollup.daily_rollup(hours), "daily_energy_weather", "usage_date", gates.whole_days()
+        )
+        tables.take(stage, days, ["building_id", "usage_date"])
         monthly = ["building_id", "usage_month"]
-        tables.upsert(rollup.monthly_rollup(days), "monthly_energy_weather", monthly, "usage_month")
+        tables.upsert(rollup.monthly_rollup(days.rows), "monthly_energy_weather", monthly, "usage_month")
         changes = _comparisons(tables, spark, since)
         tables.upsert(changes, "usage_investigation_weather", monthly, "usage_month")
     publish.create_account_view(
