@@ -12,7 +12,7 @@ from wattloom.plans import bindings as b
 from wattloom.plans import medallion
 from wattloom.plans.catalog import query
 from wattloom.plans.queries_joins import candidates
-from wattloom.plans.queries_sources import published
+from wattloom.plans.queries_sources import long_layers, published
 from wattloom.session import scratch_dir
 
 
@@ -170,14 +170,8 @@ def gate_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "monthly_long",
 )
 def gate_snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshot = publish.read_snapshot(spark, published(spark, sf_dir))
-    months = b.stored(b.monthly_long, spark, sf_dir)
-    expected = {
-        "accounts": b.long_accounts(spark, sf_dir),
-        "daily_usage": b.daily_long(spark, sf_dir),
-        "monthly_usage": months,
-        "investigations": compare.investigation(months),
-    }
+    expected = long_layers(spark, sf_dir)
+    snapshot = publish.read_snapshot(spark, published(spark, sf_dir, expected))
     stored = {name: snapshot[name] for name in expected}
     return gates.same_counts(rollup.layer_counts(stored), rollup.layer_counts(expected))
 
