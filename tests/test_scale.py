@@ -11,6 +11,7 @@ import __spark_entry__ as driver
 import oracle
 from test_plans import plan
 from wattloom.operators import publish
+from wattloom.plans import bindings, queries_sources
 from wattloom.session import apply_defaults
 
 upsert_module = importlib.import_module("wattloom.operators.upsert")
@@ -84,3 +85,32 @@ def test_a_table_takes_new_partitions_as_they_lie_and_merges_known_ones(spark, t
     assert not (tmp_path / "c").exists()
     rows = {tuple(r) for r in upsert_module.read_table(spark, table).collect()}
     assert rows == {(1, 1, may), (2, 2, may), (3, 1, june), (4, 1, None), (5, 2, None)}
+
+
+def test_layers_of_a_snapshot_are_computed_once(spark, sf_dir, monkeypatch):
+    """Days were computed four times to count what had been published."""
+    computed, build = [], bindings.daily_long
+    monkeypatch.setattr(bindings, "daily_long", lambda *a: computed.append(a) or build(*a))
+    report = driver.queries()["gate_snapshot_counts"](spark, sf_dir).collect()
+    assert {r["status"] for r in report} == {"PASS"} and len(computed) == 1
+
+
+def test_staged_days_of_a_building_lie_together(spark, sf_dir):
+    """They were dealt by building and date, so that no month was reduced before its shuffle."""
+    days = queries_sources.long_layers(spark, sf_dir)["daily_usage"]
+    files = days.select("building_id", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("building_id").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_datasets_that_lie_together_are_published_whole(spark, sf_dir, tmp_path):
+    layers = queries_sources.long_layers(spark, sf_dir)
+    accounts, daily, monthly, changes = layers.values()
+    publish.publish_snapshot(
+        str(tmp_path), accounts, daily, monthly, changes, daily.limit(0),
+        accounts_per_bucket=3, together=("daily_usage", "investigations"),
+    )
+    stored = publish.read_snapshot(spark, str(tmp_path))
+    for name, layer in (("daily_usage", daily), ("monthly_usage", monthly), ("investigations", changes)):
+        rows = stored[name].drop(publish.BUCKET)
+        assert rows.count() == layer.count()
+        assert rows.exceptAll(publish.with_account_id(layer).select(*rows.columns)).isEmpty()

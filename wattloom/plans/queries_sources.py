@@ -191,8 +191,14 @@ def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The layers of the seven-year accounts that a snapshot publishes; days, months and
-    accounts are written once and read by all that follows."""
-    days = b.stored(b.daily_long, spark, sf_dir)
+    accounts are written once and read by all that follows.
+
+    Days of a building lie together, so that months and accounts are reduced before they
+    are shuffled, and days are published without another shuffle. So are comparisons, as
+    their window leaves them.
+    """
+    days = b.daily_long(spark, sf_dir).hint("rebalance", "building_id")
+    days = stage(days.sortWithinPartitions("building_id", "usage_date"), "daily-long")
     months = stage(rollup.monthly_rollup(days, 2, WEATHER_DIGITS), "monthly-long")
     buildings = b.supplier_buildings(spark, sf_dir)
     return {
@@ -215,6 +221,7 @@ def published(spark: SparkSession, sf_dir: str, layers: dict[str, DataFrame] | N
         layers["monthly_usage"],
         layers["investigations"],
         days.filter(F.col("weather_city").isNull()),
+        together=("daily_usage", "investigations"),
     )
     return root
 
