@@ -278,3 +278,44 @@ def test_written_answers_leave_nothing_staged(spark, snapshot, tmp_path, monkeyp
     requests.respond(frame, snapshot, "/a", str(tmp_path / "answers"))
     assert spark.read.parquet(str(tmp_path / "answers")).filter("ok").count() == len(GOOD)
     assert len(staged) == 4 and not any(os.path.exists(p) for p in staged)
+
+
+def test_the_response_all_who_ask_share_is_made_and_read_once(spark, snapshot):
+    """Each request for details got a text of all days of its account, and each was read back."""
+    broken = dict(snapshot)
+    broken["daily_usage"] = with_account_id(days(spark, nan=True))
+    asked = ["DEMO-1"] * 30 + ["DEMO-2"] * 3 + ["DEMO-3"] * 2 + ["DEMO-77"] * 2
+    texts = [json.dumps({"operation": "account_details", "account_id": a}) for a in asked]
+    texts += [json.dumps(g) for g in GOOD] + list(BAD) + [None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, request_json string")
+    staged = {}
+
+    def keep(df, label):
+        staged[label] = upsert.stage(df, label)
+        return staged[label]
+
+    def length(answers):
+        return answers.withColumn("length", F.length("response_json")).drop("response_json")
+
+    read = requests.answer(frame, broken, "/a", keep, length)
+    plain = requests.answer(frame, broken, "/a")
+    expected = plain.select("n", "request_json", "ok", "error_code", F.length("response_json").alias("length"))
+    assert read.columns == expected.columns and read.count() == len(texts)
+    assert read.exceptAll(expected).isEmpty() and expected.exceptAll(read).isEmpty()
+    answers = {r._account: r for r in staged["account-answers"].collect()}
+    assert {a: r.ok for a, r in answers.items()} == {"DEMO-1": True, "DEMO-2": True, "DEMO-3": False, "DEMO-77": False}
+    assert staged["account-answers"].count() == len(answers)
+
+
+def test_arrays_of_usage_are_not_shuffled_again(spark, snapshot):
+    """A full outer join of days and months forgot where they lie."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = [snapshot[n] for n in ("accounts", "daily_usage", "monthly_usage")]
+        plan = requests.account_details(*parts)._jdf.queryExecution().sparkPlan().toString()
+        final = requests.account_details(*parts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "FullOuter" not in plan
+    above = final[: final.index("ObjectHashAggregate")]
+    assert above.count("Exchange hashpartitioning") <= 1  # of the account rows alone
