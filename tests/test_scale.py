@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import oracle
 from test_plans import plan
-from wattloom.operators import publish
-from wattloom.plans import bindings, queries_sources
+from wattloom.functions.measures import WEATHER_DIGITS
+from wattloom.operators import publish, requests, rollup
+from wattloom.plans import bindings, queries_answers, queries_sources
 from wattloom.session import apply_defaults
 
 upsert_module = importlib.import_module("wattloom.operators.upsert")
@@ -114,3 +115,28 @@ def test_datasets_that_lie_together_are_published_whole(spark, sf_dir, tmp_path)
         rows = stored[name].drop(publish.BUCKET)
         assert rows.count() == layer.count()
         assert rows.exceptAll(publish.with_account_id(layer).select(*rows.columns)).isEmpty()
+
+
+def test_days_and_months_of_a_snapshot_are_used_where_they_lie(spark, sf_dir):
+    """Days were shuffled for months, for totals and for details, months for comparisons and details."""
+    layers = queries_answers.snapshot(spark, sf_dir)
+    days, months = layers["daily_usage"], layers["monthly_usage"]
+    nested = requests.nest_usage(days, months)
+    totals = rollup.account_metrics(days, 2)
+    again = rollup.monthly_rollup(days, 2, WEATHER_DIGITS)
+    for df in (layers["investigations"], nested, totals, again):
+        assert "Exchange" not in plan(df)
+    assert again.exceptAll(months.select(*again.columns)).isEmpty() and again.count() == months.count()
+
+
+def test_days_lie_together_in_as_many_buckets_as_they_fill(spark, sf_dir, monkeypatch):
+    items = bindings.table(spark, sf_dir, "lineitem").count()
+    monkeypatch.setattr(bindings, "BUCKET_ROWS", items // 20)
+    buckets = bindings.day_buckets(spark, sf_dir)
+    assert 20 <= buckets <= 21
+    plain = bindings.daily_long(spark, sf_dir)
+    rows = upsert_module.stage_together(bindings.daily_long(spark, sf_dir, buckets), "days", "building_id", buckets)
+    files = rows.select("building_id", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("building_id").count().agg(F.max("count")).first()[0] == 1
+    assert files.select("file").distinct().count() <= buckets
+    assert rows.count() == plain.count() and rows.exceptAll(plain).isEmpty()
